@@ -44,6 +44,26 @@ def gt_dosage(gt: Column, haploid: str = "missing") -> Column:
     )
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row.
+
+    The optimizer copies an expression into every place that uses it, also when it pushes a
+    filter below the projection that computes it; a lambda parameter cannot be copied.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def plain_code(gt: Column) -> Column:
+    """0, 1, 2 for the common two-allele diploid texts, 9 for a wholly missing call, null for
+    any other text."""
+    return (
+        F.when(gt.isin("0/0", "0|0"), 0)
+        .when(gt.isNull() | gt.isin(*MISSING_CALLS), 9)
+        .when(gt.isin("0/1", "1/0", "0|1", "1|0"), 1)
+        .when(gt.isin("1/1", "1|1"), 2)
+    )
+
+
 def allele_count(gt: Column, allele: Column) -> Column:
     """How often an allele code occurs in a fully called genotype; 0 when it is unknown."""
     parts = F.split(gt, r"[/|]")

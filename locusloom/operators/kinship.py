@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrow import dosage_matrix, fill_with_mean
+from ..session import ship_package
 
 BLOCK_CELLS = 4_000_000
 
@@ -47,6 +48,7 @@ def _partial_products(
                     ["i", "j", "k", "m"],
                 )
 
+    ship_package(geno.sparkSession)
     markers = geno.select("dosage")
     if max_partials is None:
         max_partials = 2 * geno.sparkSession.sparkContext.defaultParallelism

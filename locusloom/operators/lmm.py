@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..functions.arrow import dosage_matrix, fill_with_mean
 from ..functions.special import chi2_tail_1df, f_tail_1df
+from ..session import ship_package
 
 # The range searched for the variance ratio.
 RATIO_MIN, RATIO_MAX = 1e-5, 1e5
@@ -402,6 +403,7 @@ def lmm_scan(
     """
     if test not in ("lrt", "all"):
         raise ValueError("test must be 'lrt' or 'all'")
+    ship_package(geno.sparkSession)
     several = isinstance(models, Mapping)
     shared = geno.sparkSession.sparkContext.broadcast(dict(models) if several else {"": models})
     schema = LRT_SCHEMA if test == "lrt" else ALL_SCHEMA
@@ -436,6 +438,7 @@ def lmm_scan(
 
 def prune_collinear(geno: DataFrame, W: np.ndarray, r2: float = 0.9999) -> DataFrame:
     """Drop markers whose dosage the covariates (nearly) determine. Rows keep all columns."""
+    ship_package(geno.sparkSession)
     W = np.asarray(W, dtype=float)
     shared = geno.sparkSession.sparkContext.broadcast(W)
 

@@ -31,6 +31,7 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, out: str) ->
     for part, total in sorted(zip(totals["_part"], totals["total"])):
         starts[part], seen = seen, seen + (total or 0)
     shared = df.sparkSession.sparkContext.broadcast(starts)
+    kept = df.columns
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
@@ -41,10 +42,10 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, out: str) ->
                 at = shared.value[batch.column("_part")[0].as_py()]
             amounts = batch.column(value).to_numpy(zero_copy_only=False)
             ends = at + np.cumsum(amounts)
-            columns = [batch.column(c) for c in df.columns]
+            columns = [batch.column(c) for c in kept]
             columns.append(pa.array(ends - amounts, pa.int64()))
             at = int(ends[-1])
-            yield pa.RecordBatch.from_arrays(columns, [*df.columns, out])
+            yield pa.RecordBatch.from_arrays(columns, [*kept, out])
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
     return placed.mapInArrow(carry, schema)

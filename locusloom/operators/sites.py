@@ -129,31 +129,32 @@ def gt_to_dosage(sites: DataFrame, haploid: str = "missing", array: str = "calls
     ).drop(array)
 
 
-def _dosage(sites: DataFrame) -> Column:
+def _counts(sites: DataFrame) -> Column:
+    """``struct(ac, n_called, n)`` of a row; the dosages are decoded once and bound."""
+
+    def count(d: Column) -> Column:
+        return F.struct(
+            F.aggregate(d, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0))).alias("ac"),
+            F.size(F.filter(d, lambda x: x.isNotNull())).cast("long").alias("n_called"),
+            F.size(d).cast("long").alias("n"),
+        )
+
     if "dosage" in sites.columns:
-        return F.col("dosage")
-    return F.transform("calls", lambda c: G.gt_dosage(c["gt"]))
+        return G.bind(F.col("dosage"), count)
+    return G.bind(F.transform("calls", lambda c: G.gt_dosage(c["gt"])), count)
 
 
 def site_stats(sites: DataFrame) -> DataFrame:
-    """Add ``ac, an, af, n_called, n_miss`` from the calls or dosages of each row.
-
-    The three numbers come out of one pass over the array; ``af`` is null when nothing is called.
-    """
-    dosage = _dosage(sites)
-    zero = F.struct(F.lit(0.0).alias("ac"), F.lit(0).cast("long").alias("n"))
-    step = lambda acc, d: F.struct(
-        (acc["ac"] + F.coalesce(d, F.lit(0.0))).alias("ac"),
-        (acc["n"] + d.isNotNull().cast("long")).alias("n"),
-    )
-    stats = sites.withColumn("_s", F.aggregate(dosage, zero, step)).withColumn("_n", F.size(dosage))
-    return stats.select(
+    """Add ``ac, an, af, n_called, n_miss`` from the calls or dosages of each row; ``af`` is
+    null when nothing is called."""
+    s = F.col("_s")
+    return sites.withColumn("_s", _counts(sites)).select(
         *sites.columns,
-        F.col("_s.ac").cast("long").alias("ac"),
-        (2 * F.col("_s.n")).alias("an"),
-        F.try_divide(F.col("_s.ac"), 2.0 * F.col("_s.n")).alias("af"),
-        F.col("_s.n").alias("n_called"),
-        (F.col("_n") - F.col("_s.n")).cast("long").alias("n_miss"),
+        s["ac"].cast("long").alias("ac"),
+        (2 * s["n_called"]).alias("an"),
+        F.try_divide(s["ac"], 2.0 * s["n_called"]).alias("af"),
+        s["n_called"].alias("n_called"),
+        (s["n"] - s["n_called"]).alias("n_miss"),
     )
 
 
@@ -177,28 +178,34 @@ def site_stats_long(calls: DataFrame, n_samples: int, key: str = "variant_id") -
     )
 
 
-def _having(sites: DataFrame, condition: Column) -> DataFrame:
-    return site_stats(sites).filter(condition).select(*sites.columns)
+def _having(sites: DataFrame, condition) -> DataFrame:
+    """Filter on the row's counts, given as ``condition(ac, n_called, n)``."""
+    return sites.filter(G.bind(_counts(sites), lambda s: condition(s["ac"], s["n_called"], s["n"])))
 
 
 def min_ac(sites: DataFrame, k: int = 1) -> DataFrame:
     """Keep sites with at least ``k`` non-reference alleles among the called ones."""
-    return _having(sites, F.col("ac") >= k)
+    return _having(sites, lambda ac, called, n: ac >= k)
 
 
 def max_missing_count(sites: DataFrame, k: int) -> DataFrame:
     """Drop sites with more than ``k`` missing calls (``k`` itself stays)."""
-    return _having(sites, F.col("n_miss") <= k)
+    return _having(sites, lambda ac, called, n: n - called <= k)
 
 
 def missing_rate_filter(sites: DataFrame, rate: float = 0.05) -> DataFrame:
     """Keep sites whose share of missing calls is at most ``rate``."""
-    return _having(sites, F.col("n_miss") <= rate * (F.col("n_called") + F.col("n_miss")))
+    return _having(sites, lambda ac, called, n: n - called <= rate * n)
 
 
 def maf_filter(sites: DataFrame, threshold: float = 0.05) -> DataFrame:
     """Keep sites whose rarer allele has at least this frequency."""
-    return _having(sites, F.least(F.col("af"), 1.0 - F.col("af")) >= threshold)
+
+    def common(ac: Column, called: Column, n: Column) -> Column:
+        af = F.try_divide(ac, 2.0 * called)
+        return F.least(af, 1.0 - af) >= threshold
+
+    return _having(sites, common)
 
 
 def minor_allele_recode(geno: DataFrame) -> DataFrame:
@@ -236,40 +243,84 @@ def chrom_code(sites: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- singletons
 
 
-def _singleton_entries(include_doubletons: bool) -> Column:
-    """Per row: the alleles seen once, or twice in one homozygous sample."""
-    genotypes = F.transform("calls", lambda c: c["gt"])
+_HIT = "struct<code:int,kind:string,sample_idx:int>"
+
+
+def _hit(code: Column | int, kind: Column | str, sample: Column) -> Column:
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    code = F.lit(code) if isinstance(code, int) else code
+    return F.struct(code.cast("int").alias("code"), kind.alias("kind"), sample.cast("int").alias("sample_idx"))
+
+
+def _hits_from_codes(codes: Column, include_doubletons: bool) -> Column:
+    """Rare alleles of a two-allele diploid site."""
+    count = lambda k: F.size(F.filter(codes, lambda c: c == k))
+    first = lambda k: F.array_position(codes, k) - 1
+
+    def rare(n: Column) -> Column:
+        het = n["het"] == 1
+        found = []
+        for allele, homozygous, homs in ((0, 0, n["ref"]), (1, 2, n["alt"])):
+            one = F.when(het & (homs == 0), _hit(allele, "S", first(1)))
+            if include_doubletons:
+                one = one.when((n["het"] == 0) & (homs == 1), _hit(allele, "D", first(homozygous)))
+            found.append(one)
+        return F.filter(F.array(*found), lambda h: h.isNotNull())
+
+    counts = F.struct(count(0).alias("ref"), count(1).alias("het"), count(2).alias("alt"))
+    return G.bind(counts, rare)
+
+
+def _hits_from_calls(include_doubletons: bool) -> Column:
+    """The same for any number of alleles and any text, counted allele by allele."""
 
     def describe(allele: Column) -> Column:
-        counts = F.transform(
-            genotypes, lambda gt: F.coalesce(G.allele_count(gt, allele.cast("string")), F.lit(0))
-        )
-        return F.struct(
-            allele.alias("code"),
-            F.aggregate(counts, F.lit(0), lambda acc, n: acc + n).alias("ac"),
-            F.size(F.filter(counts, lambda n: n > 0)).alias("carriers"),
-            (F.array_position(F.transform(counts, lambda n: n > 0), True) - 1).cast("int").alias("sample_idx"),
-        )
+        counts = F.transform("calls", lambda c: G.allele_count(c["gt"], allele.cast("string")))
+
+        def total(n: Column) -> Column:
+            return F.struct(
+                allele.alias("code"),
+                F.aggregate(n, F.lit(0), lambda acc, x: acc + x).alias("ac"),
+                F.filter(F.transform(n, lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull()).alias("carriers"),
+            )
 
-    alleles = F.transform(F.sequence(F.lit(0), F.size("alts")), describe)
-    rare = lambda a: (a["ac"] == 1)
-    if include_doubletons:
-        rare = lambda a: (a["ac"] == 1) | ((a["ac"] == 2) & (a["carriers"] == 1))
-    return F.filter(alleles, rare)
+        return G.bind(counts, total)
+
+    def rare(a: Column) -> Column:
+        once = a["ac"] == 1
+        return once | ((a["ac"] == 2) & (F.size(a["carriers"]) == 1)) if include_doubletons else once
+
+    described = F.transform(F.sequence(F.lit(0), F.size("alts")), describe)
+    return F.transform(
+        F.filter(described, rare),
+        lambda a: _hit(a["code"], F.when(a["ac"] == 1, "S").otherwise("D"), F.get(a["carriers"], F.lit(0))),
+    )
+
+
+def _hits(include_doubletons: bool) -> Column:
+    """Array of the row's rare alleles."""
+    codes = F.transform("calls", lambda c: G.plain_code(c["gt"]))
+    return G.bind(
+        codes,
+        lambda v: F.when(F.exists(v, lambda c: c.isNull()), _hits_from_calls(include_doubletons).cast(f"array<{_HIT}>"))
+        .otherwise(_hits_from_codes(v, include_doubletons).cast(f"array<{_HIT}>")),
+    )
 
 
 def singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:
     """One row per allele seen once (``S``) or in one homozygous sample only (``D``):
     ``chrom, pos, kind, allele, sample_idx``. Reference alleles count too."""
-    hit = F.col("hit")
-    return sites.select(
-        "chrom", "pos", "ref", "alts", F.explode(_singleton_entries(include_doubletons)).alias("hit")
-    ).select(
-        "chrom",
-        "pos",
-        F.when(hit["ac"] == 1, "S").otherwise("D").alias("kind"),
-        F.when(hit["code"] == 0, F.col("ref")).otherwise(F.get("alts", hit["code"] - 1)).alias("allele"),
-        hit["sample_idx"].alias("sample_idx"),
+    # The outer explode keeps the optimizer from computing the array a second time as a filter.
+    return (
+        sites.select("chrom", "pos", "ref", "alts", F.explode_outer(_hits(include_doubletons)).alias("hit"))
+        .filter(F.col("hit").isNotNull())
+        .select(
+            "chrom",
+            "pos",
+            F.col("hit.kind").alias("kind"),
+            F.when(F.col("hit.code") == 0, F.col("ref")).otherwise(F.get("alts", F.col("hit.code") - 1)).alias("allele"),
+            F.col("hit.sample_idx").alias("sample_idx"),
+        )
     )
 
 
@@ -287,11 +338,11 @@ def drop_singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFr
     *different* record at the same position needs a join, so just the positions and one flag
     are aggregated, and the list to exclude shrinks to positions with several records.
     """
-    flag = F.size(_singleton_entries(include_doubletons)) > 0
+    rare = F.size(_hits(include_doubletons)) > 0
     shared = (
-        sites.select("chrom", "pos", flag.alias("hit"))
+        sites.select("chrom", "pos", rare.alias("hit"))
         .groupBy("chrom", "pos")
         .agg(F.count("*").alias("records"), F.max("hit").alias("hit"))
         .filter((F.col("records") > 1) & F.col("hit"))
     )
-    return exclude_positions(sites.filter(~flag), shared)
+    return exclude_positions(sites.filter(~rare), shared)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -84,6 +86,21 @@ def try_cast(col: Column | str, kind: str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).try_cast(kind)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application. The kernels import it
+    there, and a cluster's machines need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="locusloom-ship-"), "locusloom")
+        archive = shutil.make_archive(target, "zip", os.path.dirname(here), os.path.basename(here))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
