@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.arrow import dosage_matrix, fill_with_mean
 from ..functions.special import chi2_tail_1df, f_tail_1df
@@ -36,6 +37,11 @@ ALL_SCHEMA = (
     "beta double, se double, l_remle double, l_mle double, p_wald double, p_lrt double, p_score double"
 )
 
+NULL_SCHEMA = (
+    "n_total int, n_analyzed int, n_covariates int, loglik_reml double, loglik_ml double, pve double, se_pve double, "
+    "vg double, ve double, beta array<double>, se_beta array<double>"
+)
+
 
 @dataclass
 class NullModel:
@@ -65,24 +71,13 @@ class NullModel:
 
     def summary(self, spark: SparkSession, **labels) -> DataFrame:
         """One row with the run's null-model numbers, behind any label columns."""
-        return spark.createDataFrame(
-            [
-                Row(
-                    **labels,
-                    n_total=int(self.n_total),
-                    n_analyzed=int(self.n),
-                    n_covariates=int(self.W.shape[1]),
-                    loglik_reml=self.loglik_reml,
-                    loglik_ml=self.loglik_ml,
-                    pve=self.pve,
-                    se_pve=self.se_pve,
-                    vg=self.vg,
-                    ve=self.ve,
-                    beta=[float(b) for b in self.beta],
-                    se_beta=[float(s) for s in self.se_beta],
-                )
-            ]
-        )
+        row = [(
+            int(self.n_total), int(self.n), int(self.W.shape[1]), float(self.loglik_reml), float(self.loglik_ml),
+            float(self.pve), float(self.se_pve), float(self.vg), float(self.ve),
+            [float(b) for b in self.beta], [float(s) for s in self.se_beta],
+        )]
+        df = spark.createDataFrame(row, NULL_SCHEMA)
+        return df.select(*[F.lit(v).alias(k) for k, v in labels.items()], *df.columns)
 
 
 # ---------------------------------------------------------------- likelihoods for many markers

@@ -12,16 +12,16 @@ from ..functions.genotype import call_or_null
 FIXED_FIELDS = 9
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"))
+def _unix(value: Column) -> Column:
+    return F.rtrim(value, F.lit("\r"))
 
 
 def _header(spark: SparkSession, path: str) -> str:
     """The first column header found; it stands near a file's start, so few splits are read."""
-    found = _lines(spark, path).filter(F.col("value").startswith("#CHROM")).first()
+    found = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).first()
     if found is None:
         raise ValueError(f"{path}: no #CHROM header")
-    return found["value"]
+    return found["value"].rstrip("\r")
 
 
 def _names(header: str) -> list[str]:
@@ -44,18 +44,18 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
     header = _header(spark, path)
     n = len(_names(header))
     # Headers of further files are compared in the same pass that reads the sites.
-    same = F.sha2("value", 256) == hashlib.sha256(header.encode()).hexdigest()
+    same = F.sha2(_unix(F.col("value")), 256) == hashlib.sha256(header.encode()).hexdigest()
     is_site = (
-        F.when(~F.col("value").startswith("#"), F.col("value") != "")
+        F.when(~F.col("value").startswith("#"), ~F.col("value").isin("", "\r"))
         .when(~F.col("value").startswith("#CHROM") | same, False)
         .otherwise(F.raise_error(F.lit("the files list different samples")).cast("boolean"))
     )
-    lines = _lines(spark, path).filter(is_site)
+    lines = spark.read.text(path).filter(is_site)
     if partitions is None and path.endswith(".gz"):
         partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if partitions:
         lines = lines.repartition(partitions, F.xxhash64("value"))
-    fields = F.split("value", "\t")
+    fields = F.split(_unix(F.col("value")), "\t")
     at = lambda i: F.get(F.col("f"), F.lit(i))
     rows = lines.select(fields.alias("f")).select(
         at(0).alias("chrom"),
@@ -77,7 +77,8 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
             F.get(parts, F.col("at_GQ")).try_cast("int").alias("gq"),
         )
 
-    complete = F.size("texts") == n
+    # Filters pushed to the scan may be evaluated on header lines too, so those must not fail here.
+    complete = (F.size("texts") == n) | F.col("chrom").startswith("#") | F.col("chrom").isin("", "\r")
     calls = F.when(complete, F.transform("texts", call)).otherwise(
         F.raise_error(F.concat(F.lit("wrong number of sample fields at "), "chrom", F.lit(":"), F.col("pos").cast("string")))
         .cast("array<struct<gt:string,dp:int,gq:int>>")
