@@ -77,6 +77,25 @@ def lmm_scan_markers(spark, sf):
     return scanned.select("chr", "rs", "ps", "n_miss", "allele1", "allele0", rounded("af").alias("af"))
 
 
+@query(
+    "lmm_scan_unrelated",
+    "geno_long pheno markers",
+    """, x AS (SELECT g.variant_id, coalesce(d, mean) AS x, y FROM geno_long g JOIN pheno USING (sample_idx) JOIN markers m
+           ON m.variant_id = g.variant_id
+           WHERE 64 - called <= 0.05e0 * 64 AND least(mean / 2, 1 - mean / 2) >= 0.05e0 AND kinds > 1),
+    f AS (SELECT variant_id, count(*) AS n, regr_slope(y, x) AS beta, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy
+          FROM x GROUP BY variant_id)
+    SELECT 'snp' || CAST(variant_id AS VARCHAR) AS rs, round(beta, 6) AS beta,
+      round(sqrt((syy - beta * beta * sxx) / (n - 2) / sxx), 6) AS se FROM f""",
+)
+def lmm_scan_unrelated(spark, sf):
+    """Without relatedness the model is ordinary regression, which SQL can state."""
+    pheno = fx.pheno(spark, sf)
+    none = pheno.select(F.col("sample_idx").alias("i"), F.col("sample_idx").alias("j"), F.lit(0.0).alias("k"))
+    scanned = L.lmm_scan(fx.geno(spark, sf), L.null_model(pheno, none, n_samples=N), "all")
+    return scanned.select("rs", rounded("beta", 6).alias("beta"), rounded("se", 6).alias("se"))
+
+
 @query("association_traits")
 def traits(spark, sf):
     geno = fx.geno(spark, sf)

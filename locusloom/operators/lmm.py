@@ -335,13 +335,13 @@ def null_model(
 
 
 def _r_squared(x: np.ndarray, W: np.ndarray) -> np.ndarray:
-    """Share of each row's variance explained by the covariates."""
+    """Share of each row's variance explained by the covariates; NaN for a row without variance."""
     Q, _ = np.linalg.qr(W)
     centred = x - x.mean(axis=1, keepdims=True)
     total = (centred * centred).sum(axis=1)
     left = x - (x @ Q) @ Q.T
     with np.errstate(invalid="ignore", divide="ignore"):
-        return 1.0 - (left * left).sum(axis=1) / total
+        return np.where(total > 1e-12, 1.0 - (left * left).sum(axis=1) / total, np.nan)
 
 
 def marker_mask(raw: np.ndarray, W: np.ndarray, maf: float, max_missing: float, r2: float):
