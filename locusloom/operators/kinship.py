@@ -13,48 +13,13 @@ from ..functions.arrow import dosage_matrix, fill_with_mean
 from ..session import ship_package
 
 BLOCK_CELLS = 4_000_000
+PARTIAL_BYTES = 64 * 1024**3
 
 
-def _partial_products(
-    geno: DataFrame, n: int, standardize: bool, maf: float, max_missing: float, max_partials: int | None
-) -> DataFrame:
-    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, used = np.zeros((n, n)), 0
-        rows = max(1, BLOCK_CELLS // n)
-        for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                x, n_miss, mean = fill_with_mean(dosage_matrix(batch.slice(start, rows), "dosage", n))
-                var = (x * x).mean(axis=1) - mean * mean
-                af = mean / 2.0
-                keep = (n_miss <= max_missing * n) & (np.minimum(af, 1.0 - af) >= maf) & (var > 1e-12)
-                z = x[keep] - mean[keep, None]
-                if standardize:
-                    z /= np.sqrt(var[keep])[:, None]
-                total += z.T @ z
-                used += int(keep.sum())
-        if used:
-            i, j = np.triu_indices(n)
-            # One array per row of the upper triangle would not combine on the map side either;
-            # flat cells let the sum run as an ordinary hash aggregate spread over all tasks.
-            for start in range(0, len(i), BLOCK_CELLS // 4):
-                cut = slice(start, start + BLOCK_CELLS // 4)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(i[cut], pa.int32()),
-                        pa.array(j[cut], pa.int32()),
-                        pa.array(total[i[cut], j[cut]], pa.float64()),
-                        pa.array(np.full(len(i[cut]), used), pa.int64()),
-                    ],
-                    ["i", "j", "k", "m"],
-                )
-
-    ship_package(geno.sparkSession)
-    markers = geno.select("dosage")
-    if max_partials is None:
-        max_partials = 2 * geno.sparkSession.sparkContext.defaultParallelism
-    # Every task emits one triangle, so fewer and longer tasks keep that output far below the
-    # input; coalesce only merges inputs and moves no rows.
-    return markers.coalesce(max_partials).mapInArrow(products, "i int, j int, k double, m long")
+def _usable(x: np.ndarray, n_miss: np.ndarray, mean: np.ndarray, var: np.ndarray, maf: float, max_missing: float):
+    af = mean / 2.0
+    with np.errstate(invalid="ignore"):
+        return (n_miss <= max_missing * x.shape[1]) & (np.minimum(af, 1.0 - af) >= maf) & (var > 1e-12)
 
 
 def kinship(
@@ -70,9 +35,64 @@ def kinship(
 
     Gaps take the marker mean. Markers without variation, below ``maf`` or with more than the
     allowed share of gaps are not counted. Phenotypes play no part.
+
+    Every task multiplies its markers into one triangle and emits it as one array per sample;
+    the arrays are summed per sample as they stream in. Where the samples are many, inputs are
+    merged first (``max_partials`` tasks, without moving rows), so that the triangles stay
+    smaller than the genotypes they come from.
     """
-    partial = _partial_products(geno, n_samples, standardize, maf, max_missing, max_partials)
-    return partial.groupBy("i", "j").agg((F.sum("k") / F.sum("m")).alias("k"))
+    n = n_samples
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, used = np.zeros((n, n)), 0
+        rows = max(1, BLOCK_CELLS // n)
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                x, n_miss, mean = fill_with_mean(dosage_matrix(batch.slice(start, rows), "dosage", n))
+                var = (x * x).mean(axis=1) - mean * mean
+                keep = _usable(x, n_miss, mean, var, maf, max_missing)
+                z = x[keep] - mean[keep, None]
+                if standardize:
+                    z /= np.sqrt(var[keep])[:, None]
+                total += z.T @ z
+                used += int(keep.sum())
+        step = max(1, BLOCK_CELLS // n)
+        for start in range(0, n if used else 0, step):
+            samples = np.arange(start, min(start + step, n))
+            values = np.concatenate([total[i, i:] for i in samples])
+            ends = np.r_[0, np.cumsum(n - samples)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(samples, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
+                    pa.array(np.full(len(samples), used), pa.int64()),
+                ],
+                ["i", "row", "m"],
+            )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
+        for batch in batches:
+            for i, row, m in zip(batch.column("i").to_pylist(), batch.column("row"), batch.column("m").to_pylist()):
+                sums[i] = sums.get(i, 0.0) + row.values.to_numpy()
+                counts[i] = counts.get(i, 0) + m
+        for i, row in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(n - i, i), pa.int32()),
+                    pa.array(np.arange(i, n), pa.int32()),
+                    pa.array(row / counts[i]),
+                ],
+                ["i", "j", "k"],
+            )
+
+    ship_package(geno.sparkSession)
+    if max_partials is None:
+        cores = geno.sparkSession.sparkContext.defaultParallelism
+        max_partials = max(2 * cores, PARTIAL_BYTES // (4 * n * n))
+    partial = geno.select("dosage").coalesce(max_partials).mapInArrow(multiply, "i int, row array<double>, m long")
+    return partial.repartition("i").mapInArrow(add, "i int, j int, k double")
 
 
 def kinship_centered(geno: DataFrame, n_samples: int, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,24 +13,39 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
-EXPAND_CHUNK = 10_000
+HOT_COUNT = 1_000
+HOT_CHUNK = 1_000_000
 
 
-def running_total(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` (a long) over all rows ordered before this one.
+def place_in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Range partition on ``order``, sort within partitions and write once; ``_part`` is the
+    number of the partition. ``order`` should tell rows apart, so give a table already
+    aggregated on those columns: a value that fills a third of the raw data is one row here."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return cut_lineage(ordered).withColumn("_part", F.spark_partition_id())
 
-    ``order`` must identify a row, so give a table already aggregated on those columns; a
-    value that fills a third of the raw data is then one row here. The table is range
-    partitioned, sorted within partitions and written once; one total per partition goes to
-    the driver, and each task adds its own start to a carry. Nothing is gathered in one task.
+
+@dataclass
+class Totals:
+    """What the driver learns about a column: its sum and its largest value."""
+
+    total: int
+    largest: int
+
+
+def running_total(placed: DataFrame, value: str, out: str) -> tuple[DataFrame, Totals]:
+    """``(placed with out, totals)``: ``out`` is the sum of ``value`` (a long) over all rows
+    ordered before this one.
+
+    One total per partition goes to the driver, and each task adds its own start to a carry:
+    nothing is gathered in one task and no row moves.
     """
-    placed = cut_lineage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ).withColumn("_part", F.spark_partition_id())
-    totals = placed.groupBy("_part").agg(F.sum(value).alias("total")).toArrow().to_pydict()
+    df = placed.drop("_part")
+    per_part = placed.groupBy("_part").agg(F.sum(value).alias("total"), F.max(value).alias("largest")).collect()
     starts, seen = {}, 0
-    for part, total in sorted(zip(totals["_part"], totals["total"])):
-        starts[part], seen = seen, seen + (total or 0)
+    for row in sorted(per_part):
+        starts[row["_part"]], seen = seen, seen + (row["total"] or 0)
+    largest = max((row["largest"] or 0 for row in per_part), default=0)
     shared = df.sparkSession.sparkContext.broadcast(starts)
     kept = df.columns
 
@@ -48,22 +64,29 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, out: str) ->
             yield pa.RecordBatch.from_arrays(columns, [*kept, out])
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
-    return placed.mapInArrow(carry, schema)
+    return placed.mapInArrow(carry, schema), Totals(seen, largest)
 
 
-def split_counts(df: DataFrame, count: str, chunk: str) -> DataFrame:
-    """Cut every row's ``count`` into pieces of at most ``EXPAND_CHUNK``, numbered by ``chunk``.
+def expand_counts(df: DataFrame, count: str, index: str, largest: int) -> DataFrame:
+    """Repeat each row ``count`` times with ``index`` = 0, 1, ...; ``largest`` is the largest count.
 
-    Done before the table is range partitioned on (..., chunk), so a value with a huge count
-    is spread over many partitions and no task has to repeat it alone.
+    Rows with a large count, if any, are cut into chunks that are spread over the cluster
+    before they are repeated, so a value that fills a third of the data is not one task's work.
     """
-    size = F.lit(EXPAND_CHUNK).cast("long")
-    pieces = F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / size).cast("long") - 1)
-    return df.withColumn(chunk, F.explode(pieces)).withColumn(
-        count, F.least(size, F.col(count) - F.col(chunk) * size)
+    ordinals = lambda low, high: F.explode(F.sequence(low, high - 1))
+    n, zero = F.col(count), F.lit(0).cast("long")
+    if largest <= HOT_COUNT:
+        return df.withColumn(index, ordinals(zero, n))
+    cold = df.filter(n <= HOT_COUNT).withColumn(index, ordinals(zero, n))
+    chunk = F.lit(HOT_CHUNK).cast("long")
+    # A stated number of partitions: chunks are tiny until they are expanded, and adaptive
+    # execution would otherwise merge them by size into one task.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = (
+        df.filter(n > HOT_COUNT)
+        .withColumn("_from", F.explode(F.sequence(zero, n - 1, chunk)))
+        .repartition(spread, *df.columns, "_from")
+        .withColumn(index, ordinals(F.col("_from"), F.least(F.col("_from") + chunk, n)))
+        .drop("_from")
     )
-
-
-def expand_counts(df: DataFrame, count: str, index: str) -> DataFrame:
-    """Repeat each row ``count`` times with ``index`` = 0, 1, ...; counts come from ``split_counts``."""
-    return df.withColumn(index, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)))
+    return cold.unionByName(hot)

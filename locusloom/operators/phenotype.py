@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import naming
-from ..session import broadcast_if_small
-from .ordering import running_total
+from ..session import cut_lineage, settle_if_small
+from .ordering import place_in_order, running_total
 
 MAX_LEVELS = 10_000
 
@@ -128,50 +129,62 @@ def summarize_accessions(
 # ---------------------------------------------------------------- box plots
 
 
-def _box_tables(df: DataFrame, group: str, variable: str) -> tuple[DataFrame, DataFrame]:
-    """``(value counts, one row of box statistics per group)``.
-
-    Quantiles interpolate between order statistics found by rank in the table of distinct
-    (group, value) pairs. The pairs are counted before the shuffle and ranked by range
-    partitions, so a group holding a third of all rows is split like any other data; the
-    built-in exact percentile would hold such a group's values in one task.
-    """
+def _value_counts(df: DataFrame, group: str, variable: str) -> DataFrame:
+    """``g, v, n`` in order of group and value, stored once."""
     counts = (
         df.select(F.col(group).alias("g"), F.col(variable).cast("double").alias("v"))
         .filter(F.col("v").isNotNull() & ~F.isnan("v"))
         .groupBy("g", "v")
         .agg(F.count("*").alias("n"))
     )
-    ranked = running_total(counts, ["g", "v"], "n", "before")
-    sizes = ranked.groupBy(F.col("g").alias("_g")).agg(F.min("before").alias("start"), F.sum("n").alias("size"))
+    return place_in_order(counts, ["g", "v"])
+
+
+def _boxes(placed: DataFrame) -> DataFrame:
+    """One row of quartiles and fences per group.
+
+    Quartiles interpolate between order statistics found by rank in the table of distinct
+    (group, value) pairs. The pairs are counted before the shuffle and ranked by range
+    partitions, so a group holding a third of all rows is split like any other data; the
+    built-in exact percentile would hold such a group's values in one task.
+    """
+    ranked, _ = running_total(placed, "n", "before")
+    sizes, small = settle_if_small(placed.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("size")))
+    if small:
+        start = F.sum("size").over(W.orderBy(F.col("_g").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1))
+        sizes = F.broadcast(sizes.withColumn("start", F.coalesce(start, F.lit(0))))
+    else:
+        sizes = ranked.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("size"), F.min("before").alias("start"))
     lo = F.col("before") - F.col("start")
-    at = ranked.join(broadcast_if_small(sizes), F.col("g").eqNullSafe(F.col("_g"))).select(
+    at = ranked.join(sizes, F.col("g").eqNullSafe(F.col("_g"))).select(
         "g", "v", "size", lo.alias("lo"), (lo + F.col("n")).alias("hi")
     )
-    picks, quantiles = [], []
+    picks, quartiles = [], []
     for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
         h = (F.col("size") - 1) * share
         for end, k in (("low", F.floor(h)), ("high", F.ceil(h))):
             picks.append(F.max(F.when((F.col("lo") <= k) & (k < F.col("hi")), F.col("v"))).alias(f"{name}_{end}"))
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        quantiles.append((low + (h - F.floor(h)) * (high - low)).alias(name))
-    boxes = at.groupBy("g", "size").agg(*picks).select("g", "size", *quantiles)
+        quartiles.append((low + (h - F.floor(h)) * (high - low)).alias(name))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    return counts, boxes.withColumn("fence_low", F.col("q1") - reach).withColumn("fence_high", F.col("q3") + reach)
-
-
-def _with_fences(rows: DataFrame, boxes: DataFrame, key: str) -> DataFrame:
-    fences = boxes.withColumnRenamed("g", "_g")
-    return rows.join(broadcast_if_small(fences), rows[key].eqNullSafe(F.col("_g"))).drop("_g")
+    boxes = (
+        at.groupBy("g", "size")
+        .agg(*picks)
+        .select(F.col("g").alias("_g"), "size", *quartiles)
+        .withColumn("fence_low", F.col("q1") - reach)
+        .withColumn("fence_high", F.col("q3") + reach)
+    )
+    settled, small = settle_if_small(boxes)
+    return F.broadcast(settled) if small else cut_lineage(boxes)
 
 
 def boxplot_stats(df: DataFrame, group: str, variable: str) -> DataFrame:
     """``group, n, q1, median, q3, whisker_low, whisker_high, n_outliers`` per group: quartiles
     by linear interpolation, whiskers at the outermost values within 1.5 times the box height."""
-    counts, boxes = _box_tables(df, group, variable)
+    placed = _value_counts(df, group, variable)
     inside = F.col("v").between(F.col("fence_low"), F.col("fence_high"))
     return (
-        _with_fences(counts, boxes, "g")
+        placed.join(_boxes(placed), F.col("g").eqNullSafe(F.col("_g")))
         .groupBy("g", "size", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
@@ -184,10 +197,10 @@ def boxplot_stats(df: DataFrame, group: str, variable: str) -> DataFrame:
 
 def boxplot_outliers(df: DataFrame, group: str, variable: str) -> DataFrame:
     """The rows of ``df`` beyond the whiskers."""
-    _, boxes = _box_tables(df, group, variable)
+    fences = _boxes(_value_counts(df, group, variable)).select("_g", "fence_low", "fence_high")
     value = F.col(variable)
     return (
-        _with_fences(df, boxes.select("g", "fence_low", "fence_high"), group)
+        df.join(fences, df[group].eqNullSafe(F.col("_g")))
         .filter((value < F.col("fence_low")) | (value > F.col("fence_high")))
         .select(*df.columns)
     )

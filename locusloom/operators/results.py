@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import naming
 from ..session import broadcast_if_small, require_columns, settle_if_small
-from .ordering import expand_counts, running_total, split_counts
+from .ordering import expand_counts, place_in_order, running_total
 
 # The two reference lines of a genome-position plot, as p-values.
 SUGGESTIVE_P = 1e-5
@@ -213,14 +213,14 @@ def qq_points(clean: DataFrame) -> DataFrame:
     """Observed against expected -log10 P, one row per valid P (0 < P < 1): ``rank, P, observed, expected``.
 
     Equal p-values are counted before they are shuffled, the distinct ones are range
-    partitioned, and ranks follow from one start per partition.
+    partitioned, ranks follow from one start per partition, and counts are expanded again.
     """
     counted = clean.filter((F.col("P") > 0) & (F.col("P") < 1)).groupBy("P").agg(F.count("*").alias("copies"))
-    ranked = running_total(split_counts(counted, "copies", "chunk"), ["P", "chunk"], "copies", "before")
-    n = ranked.agg(F.max(F.col("before") + F.col("copies")).cast("double").alias("n")).scalar()
-    shift = F.when(n <= 10, F.lit(0.375)).otherwise(F.lit(0.5))
+    ranked, totals = running_total(place_in_order(counted, ["P"]), "copies", "before")
+    n = totals.total
+    shift = 0.375 if n <= 10 else 0.5
     return (
-        expand_counts(ranked, "copies", "copy")
+        expand_counts(ranked, "copies", "copy", totals.largest)
         .select("P", (F.col("before") + F.col("copy") + 1).alias("rank"))
         .select(
             "rank",
@@ -242,7 +242,7 @@ def chromosome_layout(clean: DataFrame) -> tuple[DataFrame, bool]:
         before = W.orderBy("CHR").rowsBetween(W.unboundedPreceding, -1)
         placed = table.withColumn("offset", F.coalesce(F.sum("max_bp").over(before), F.lit(0)).cast("long"))
     else:
-        placed = running_total(table, ["CHR"], "max_bp", "offset")
+        placed, _ = running_total(place_in_order(table, ["CHR"]), "max_bp", "offset")
     tick = F.col("offset") + (F.col("min_bp") + F.col("max_bp")) / 2.0
     return placed.withColumn("tick", tick), small
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.genotype import LENIENT
 from ..operators import sites as S
+from ..session import cut_lineage
 
 
 def quality_funnel(
@@ -25,7 +26,7 @@ def quality_funnel(
 
     The conditions that need only a site's own columns come first so the scan applies them
     before any array is touched; dropping them earlier changes no result. Every step is a
-    narrow expression; only the singleton step aggregates positions.
+    narrow expression; only the singleton step stores its input and aggregates positions.
     """
     df = sites
     if chromosomes is not None:
@@ -37,6 +38,7 @@ def quality_funnel(
     if max_missing is not None:
         df = S.max_missing_count(df, max_missing)
     if not singletons:
-        df = S.drop_singletons(df)
+        # Two passes follow; what is left by now is far smaller than the calls it came from.
+        df = S.drop_singletons(cut_lineage(df))
     df = S.default_variant_id(df)
     return df if strip_prefix is None else S.strip_chrom_prefix(df, strip_prefix)

@@ -12,8 +12,11 @@ from ..operators.samples import MISSING_PHENOTYPE
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``sample_idx, value``: the lines of a headerless file with their number from 0."""
+    """``sample_idx, value``: the lines of one headerless file with their number from 0. Several
+    files have no order among them, so they are refused."""
     lines = spark.read.text(path)
+    if len(lines.inputFiles()) > 1:
+        raise ValueError(f"{path}: lines are numbered within one file only")
     numbered = lines.rdd.zipWithIndex().map(lambda pair: (pair[1], pair[0].value))
     return spark.createDataFrame(numbered, "sample_idx int, value string")
 

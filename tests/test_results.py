@@ -98,11 +98,15 @@ def test_qq_points_against_brute_force(spark, n):
 
 def test_ties_beyond_a_chunk_are_spread_and_complete(spark, monkeypatch):
     """A third of all rows share one value."""
-    monkeypatch.setattr(O, "EXPAND_CHUNK", 50)
+    monkeypatch.setattr(O, "HOT_COUNT", 5)
+    monkeypatch.setattr(O, "HOT_CHUNK", 50)
     ps = [0.25] * 1000 + [i / 4001 for i in range(1, 2001)]
     df = spark.createDataFrame([(p,) for p in ps], "P double").repartition(7)
-    got = sorted(tuple(r) for r in R.qq_points(df).collect())
+    points = R.qq_points(df)
+    got = sorted(tuple(r) for r in points.collect())
     assert [g[:2] for g in got] == [w[:2] for w in brute_qq(ps)]
+    tied = points.filter("P = 0.25").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tied) > 1
 
 
 def test_running_total_over_many_partitions(spark):
@@ -113,8 +117,8 @@ def test_running_total_over_many_partitions(spark):
         total += v
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = O.running_total(df, ["k"], "v", "before")
-        assert got.rdd.getNumPartitions() > 1
+        got, grand = O.running_total(O.place_in_order(df, ["k"]), "v", "before")
+        assert got.rdd.getNumPartitions() > 1 and (grand.total, grand.largest) == (total, 4)
         assert {r.k: r.before for r in got.collect()} == want
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -70,6 +70,13 @@ def test_line_numbers_over_many_splits(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
 
 
+def test_numbered_files_must_be_single(spark, folder):
+    first = folder("p/a.tsv", "1\n")
+    folder("p/b.tsv", "2\n")
+    with pytest.raises(ValueError, match="one file only"):
+        tables.read_phenotypes(spark, os.path.dirname(first), ["y"])
+
+
 LRT = "chr\trs\tps\tn_miss\tallele1\tallele0\taf\tl_mle\tp_lrt\n"
 ALL = "chr\trs\tps\tn_miss\tallele1\tallele0\taf\tbeta\tse\tl_remle\tl_mle\tp_wald\tp_lrt\tp_score\n"
 
