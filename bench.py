@@ -27,7 +27,7 @@ HEADLINE = (
     "summarize_accessions", "boxplot_stats", "kinship_centered", "null_model", "lmm_scan_lrt", "lmm_scan_all",
     "association_run",
 )
-COPIES = 50
+COPIES = 200
 
 
 def consume(df) -> None:

@@ -26,8 +26,9 @@ from ..session import ship_package
 RATIO_MIN, RATIO_MAX = 1e-5, 1e5
 GRID_STEPS = 40
 MAX_SAMPLES = 5_000
-CHUNK_CELLS = 1_000_000
+CHUNK_CELLS = 256_000
 
+MARKER_COLUMNS = ("chrom", "rs", "pos", "a1", "a0", "dosage")
 LRT_SCHEMA = (
     "chr string, rs string, ps long, n_miss int, allele1 string, allele0 string, af double, "
     "l_mle double, p_lrt double"
@@ -427,7 +428,7 @@ def lmm_scan(
                         columns.insert(0, pa.array([trait] * int(keep.sum()), pa.string()))
                     yield pa.RecordBatch.from_arrays(columns, (["trait"] if several else []) + names)
 
-    typed = geno.selectExpr("chrom", "rs", "CAST(pos AS BIGINT) AS pos", "a1", "a0", "dosage")
+    typed = geno.select(*MARKER_COLUMNS).withColumn("pos", F.col("pos").cast("bigint"))
     return typed.mapInArrow(test_markers, ("trait string, " if several else "") + schema)
 
 

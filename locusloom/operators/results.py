@@ -148,12 +148,12 @@ def chr_scatter(clean: DataFrame) -> DataFrame:
 def pretty_edges(low: float, high: float, bins: int) -> tuple[float, float, int]:
     """Round bin edges covering [low, high] with about ``bins`` bins of width 1, 2 or 5 times a
     power of ten: ``(first edge, width, number of bins)``."""
-    span = high - low
-    if span == 0:
-        span = abs(high) or 1.0
-        cell = span / bins
-    else:
-        cell = span / bins
+    least = bins // 3
+    if high > low:
+        cell = (high - low) / bins
+    else:  # a single value: a width of its own magnitude
+        cell = max(abs(low), abs(high)) or 1.0
+        cell = 0.75 * (9.0 + cell / 10.0 if cell > 10.0 else cell) / max(least, 1)
     base = 10.0 ** math.floor(math.log10(cell))
     width = base
     # The bias towards the larger of two neighbouring widths (1.5 and 0.5 + 1.5 * 1.5).
@@ -163,7 +163,6 @@ def pretty_edges(low: float, high: float, bins: int) -> tuple[float, float, int]
     slack = 1e-10
     first = math.floor(low / width + slack)
     last = math.ceil(high / width - slack)
-    least = bins // 3
     if last - first < least:
         lack = least - (last - first)
         if low == 0.0 and first == 0 and high != 0.0:

@@ -6,7 +6,7 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import kinship as K
@@ -58,17 +58,19 @@ def association_run(
     """Relatedness (unless given), null model, marker scan, cleaned result and run summary.
 
     The scan result is written once, so the cleaned table, the counts and later reports read
-    it instead of testing the markers again.
+    it instead of testing the markers again. ``geno`` is read once for the relatedness and once
+    for the scan (its rows are counted on the way), so store it when it comes from raw calls.
     """
     started = time.monotonic()
     if kin is None:
         kin = relatedness(geno, n_samples, maf=kinship_maf)
     model = L.null_model(pheno, kin, trait, covar, n_samples)
-    assoc = cut_lineage(L.lmm_scan(geno, model, test, maf, max_missing))
+    seen = Observation()
+    counted = geno.select(*L.MARKER_COLUMNS).observe(seen, F.count(F.lit(1)).alias("markers"))
+    assoc = cut_lineage(L.lmm_scan(counted, model, test, maf, max_missing))
     stat = "l_mle" if test == "lrt" else "beta"
-    counts = geno.agg(F.count("*")).first()[0], assoc.count()
     summary = run_summary(
-        geno.sparkSession, model, run_id, *counts, time.monotonic() - started,
+        geno.sparkSession, model, run_id, seen.get["markers"], assoc.count(), time.monotonic() - started,
         {"trait": trait, "test": test, "maf": maf, "max_missing": max_missing, "kinship_maf": kinship_maf},
     )
     return Run(run_id, kin, model, assoc, R.clean_assoc(assoc, "p_lrt", stat), summary)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from locusloom import fixtures as fx
 from locusloom.operators import results as R
 from locusloom.operators import samples as SA
+from locusloom.operators.report import append_summary
 from locusloom.plans import analysis, association, phenotyping
 from locusloom.plans.funnel import quality_funnel
 from locusloom.session import scratch_path
@@ -21,6 +22,11 @@ def test_from_calls_to_hits(spark, sf_mid):
     summary = run.summary.first()
     assert summary.n_markers == geno.count() and summary.n_tested == run.assoc.count() > 0
     assert run.clean.count() == run.assoc.count()
+    path = scratch_path(spark, "runs")
+    for _ in range(2):
+        append_summary(run.summary, path)
+    kept_runs = spark.read.parquet(path)
+    assert kept_runs.count() == 2 and kept_runs.first().parameters["maf"] == "0.1"
     assert run.assoc.filter("af > 0.5 OR af < 0.1").count() == 0
     out = analysis.result_tables(run.clean, 0.05, ["snp3"])
     n = run.clean.filter("P < 1").count()

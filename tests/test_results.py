@@ -147,6 +147,7 @@ def test_layout(spark, monkeypatch):
         (0.0, 31.0, 15, (0.0, 2.0, 16)),
         (2.3, 2.9, 4, (2.2, 0.2, 4)),
         (-3.0, 4.0, 3, (-4.0, 2.0, 4)),
+        (5.0, 5.0, 5, (0.0, 5.0, 1)),
     ],
 )
 def test_round_edges(low, high, bins, want):
