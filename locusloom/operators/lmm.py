@@ -313,6 +313,8 @@ def null_model(
     n = n_samples or rows.num_rows
     if rows.num_rows > MAX_SAMPLES or n > MAX_SAMPLES:
         raise ValueError(f"more than {MAX_SAMPLES} samples: the dense decomposition does not fit the driver")
+    if sorted(rows["sample_idx"].to_pylist()) != list(range(n)):
+        raise ValueError(f"phenotypes must have one row per sample: {rows.num_rows} rows for {n} samples")
     y = np.full(n, np.nan)
     y[rows["sample_idx"].to_numpy()] = rows[trait].cast(pa.float64()).to_numpy()
     cells = kin.select("i", "j", "k").limit(n * n + 1).toArrow()
@@ -325,10 +327,12 @@ def null_model(
     W = None
     if covar is not None:
         codes = covar.select("sample_idx", "w").limit(n + 1).toArrow()
-        if codes.num_rows != n:
-            raise ValueError("covariates must have one row per sample")
+        if sorted(codes["sample_idx"].to_pylist()) != list(range(n)):
+            raise ValueError(f"covariates must have one row per sample: {codes.num_rows} rows for {n} samples")
         W = np.full((n, len(codes["w"][0].as_py())), np.nan)
         W[codes["sample_idx"].to_numpy()] = np.array(codes["w"].to_pylist(), dtype=float)
+        if not np.all(W[:, 0] == 1.0):
+            raise ValueError("the first covariate column must be all 1")
     return fit_null(K, y, W)
 
 

@@ -80,7 +80,7 @@ def subset_samples(sites: DataFrame, ordinals: Sequence[int], array: str = "call
 
 def subset_samples_long(calls: DataFrame, kept: DataFrame) -> DataFrame:
     """Long layout: semi join with the kept ordinals. The list is broadcast after a size check."""
-    return calls.join(broadcast_if_small(kept.select("sample_idx").distinct()), "sample_idx", "left_semi")
+    return calls.join(broadcast_if_small(kept.select("sample_idx")), "sample_idx", "left_semi")
 
 
 def keep_chromosomes(sites: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -327,8 +327,10 @@ def singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:
 def exclude_positions(sites: DataFrame, positions: DataFrame) -> DataFrame:
     """Remove every site at a listed (chrom, pos). The list is broadcast only when a size
     check allows it; otherwise both sides are shuffled on the two columns."""
-    listed = positions.select("chrom", "pos").distinct()
-    return sites.join(broadcast_if_small(listed), ["chrom", "pos"], "left_anti")
+    # The size is checked before duplicates are removed: a long list is recognised from its
+    # first partitions, without computing all of it.
+    listed = broadcast_if_small(positions.select("chrom", "pos"))
+    return sites.join(listed, ["chrom", "pos"], "left_anti")
 
 
 def drop_singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:

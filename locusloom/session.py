@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROW_LIMIT = 100_000
-BROADCAST_BYTE_LIMIT = 32 * 1024 * 1024
 
 
 def local_session(cores: int | str = "*", app: str = "locusloom", **conf: str) -> SparkSession:
@@ -67,16 +66,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def settle_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """``(local copy, True)`` if ``df`` is proven to stay under the row and byte limits,
-    else ``(df, False)``. At most ``max_rows + 1`` rows ever reach the driver."""
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows or table.nbytes > BROADCAST_BYTE_LIMIT:
+    """``(local copy, True)`` if ``df`` is proven to stay within ``max_rows``, else ``(df, False)``.
+
+    Meant for narrow tables. Rows are taken partition by partition, so a large table is given
+    up on as soon as the limit is passed, and no more than ``max_rows + 1`` rows reach the driver.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
         return df, False
-    return df.sparkSession.createDataFrame(table, df.schema), True
+    return df.sparkSession.createDataFrame(rows, df.schema, verifySchema=False), True
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Mark ``df`` for broadcast after checking its size; beyond the limits it is returned
+    """Mark ``df`` for broadcast after checking its size; beyond the limit it is returned
     unmarked and the join runs as a shuffled one, with adaptive skew splitting."""
     settled, small = settle_if_small(df, max_rows)
     return F.broadcast(settled) if small else settled

@@ -232,6 +232,14 @@ def test_limits_are_checked(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_SAMPLES", 5)
     with pytest.raises(ValueError, match="more than 5 samples"):
         L.null_model(pheno, kin)
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="one row per sample"):
+        L.null_model(pheno.filter("sample_idx <> 3"), kin, n_samples=6)
+    with pytest.raises(ValueError, match="one row per sample"):
+        L.null_model(pheno.union(pheno.limit(1)), kin)
+    covar = pheno.selectExpr("sample_idx", "array(y, 1.0D) AS w")
+    with pytest.raises(ValueError, match="must be all 1"):
+        L.null_model(pheno, kin, covar=covar)
     with pytest.raises(ValueError, match="too few"):
         L.fit_null(np.eye(2), np.array([1.0, 2.0]))
 
