@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The quality presets (minimum depth, minimum genotype quality).
@@ -53,6 +53,17 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Set column ``name`` so that filters on it use the computed value.
+
+    A filter on a projected column is pushed below the projection together with a copy of the
+    whole expression; one on a generated column is not. Filters on other columns still move to
+    the scan, ahead of the computation.
+    """
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name)).select(*rest, name)
+
+
 def plain_code(gt: Column) -> Column:
     """0, 1, 2 for the common two-allele diploid texts, 9 for a wholly missing call, null for
     any other text."""

@@ -111,7 +111,7 @@ def mask_calls(sites: DataFrame, min_dp: int, min_gq: int, array: str = "calls")
             ),
         ),
     )
-    return sites.withColumn(array, masked)
+    return G.compute_once(sites, array, masked)
 
 
 def mask_calls_long(calls: DataFrame, min_dp: int, min_gq: int) -> DataFrame:
@@ -124,9 +124,8 @@ def mask_calls_long(calls: DataFrame, min_dp: int, min_gq: int) -> DataFrame:
 
 def gt_to_dosage(sites: DataFrame, haploid: str = "missing", array: str = "calls") -> DataFrame:
     """Replace the calls by the array of non-reference allele counts."""
-    return sites.withColumn(
-        "dosage", F.transform(array, lambda c: G.gt_dosage(c["gt"], haploid))
-    ).drop(array)
+    dosage = F.transform(array, lambda c: G.gt_dosage(c["gt"], haploid))
+    return G.compute_once(sites, "dosage", dosage).drop(array)
 
 
 def _counts(sites: DataFrame) -> Column:

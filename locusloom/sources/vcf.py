@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.genotype import call_or_null
+from ..functions.genotype import call_or_null, compute_once
 
 FIXED_FIELDS = 9
 
@@ -57,7 +57,7 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
         lines = lines.repartition(partitions, F.xxhash64("value"))
     fields = F.split(_unix(F.col("value")), "\t")
     at = lambda i: F.get(F.col("f"), F.lit(i))
-    rows = lines.select(fields.alias("f")).select(
+    rows = compute_once(lines, "f", fields).select(
         at(0).alias("chrom"),
         at(1).try_cast("bigint").alias("pos"),
         at(2).alias("id"),
@@ -69,8 +69,7 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
     keys = {k: F.array_position("format", k).cast("int") - 1 for k in ("GT", "DP", "GQ")}
     rows = rows.select("*", *[v.alias(f"at_{k}") for k, v in keys.items()])
 
-    def call(text: Column) -> Column:
-        parts = F.split(text, ":")
+    def call(parts: Column) -> Column:
         return F.struct(
             call_or_null(F.get(parts, F.col("at_GT"))).alias("gt"),
             F.get(parts, F.col("at_DP")).try_cast("int").alias("dp"),
@@ -79,11 +78,11 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
 
     # Filters pushed to the scan may be evaluated on header lines too, so those must not fail here.
     complete = (F.size("texts") == n) | F.col("chrom").startswith("#") | F.col("chrom").isin("", "\r")
-    calls = F.when(complete, F.transform("texts", call)).otherwise(
+    calls = F.when(complete, F.transform(F.transform("texts", lambda text: F.split(text, ":")), call)).otherwise(
         F.raise_error(F.concat(F.lit("wrong number of sample fields at "), "chrom", F.lit(":"), F.col("pos").cast("string")))
         .cast("array<struct<gt:string,dp:int,gq:int>>")
     )
-    return rows.select(
+    return compute_once(rows, "calls", calls).select(
         F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", F.concat_ws(",", "alts")).alias("variant_id"),
-        "chrom", "pos", "id", "ref", "alts", calls.alias("calls"),
+        "chrom", "pos", "id", "ref", "alts", "calls",
     )
