@@ -242,9 +242,25 @@ _GRID = np.linspace(math.log(RATIO_MIN), math.log(RATIO_MAX), GRID_STEPS + 1)
 # ---------------------------------------------------------------- null model
 
 
-def fit_null(K: np.ndarray, y: np.ndarray, W: np.ndarray | None = None) -> NullModel:
-    """Fit without a marker. Samples whose ``y`` is NaN are left out of y, W and K first;
-    K is centred, then decomposed once."""
+Decomposed = dict[bytes, tuple[np.ndarray, np.ndarray]]
+
+
+def _decompose(K: np.ndarray, keep: np.ndarray, done: Decomposed) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues and vectors of the centred matrix of the kept samples, computed once per set."""
+    key = keep.tobytes()
+    if key not in done:
+        part = K[np.ix_(keep, keep)]
+        part = part - part.mean(axis=0)[None, :] - part.mean(axis=1)[:, None] + part.mean()
+        d, U = np.linalg.eigh((part + part.T) / 2)
+        done[key] = np.where(d < 1e-10, 0.0, d), U
+    return done[key]
+
+
+def fit_null(
+    K: np.ndarray, y: np.ndarray, W: np.ndarray | None = None, decomposed: Decomposed | None = None
+) -> NullModel:
+    """Fit without a marker. Samples whose ``y`` or covariates are NaN are left out of y, W and K
+    first. ``decomposed`` keeps decompositions for further traits of the same samples."""
     y = np.asarray(y, dtype=float)
     W = np.ones((len(y), 1)) if W is None else np.asarray(W, dtype=float)
     if K.shape != (len(y), len(y)) or len(W) != len(y):
@@ -254,10 +270,9 @@ def fit_null(K: np.ndarray, y: np.ndarray, W: np.ndarray | None = None) -> NullM
     n, c = Wk.shape
     if n <= c + 1:
         raise ValueError(f"{n} samples with a phenotype are too few for {c} covariate(s)")
-    Kk = K[np.ix_(keep, keep)]
-    Kk = Kk - Kk.mean(axis=0)[None, :] - Kk.mean(axis=1)[:, None] + Kk.mean()
-    d, U = np.linalg.eigh((Kk + Kk.T) / 2)
-    d = np.where(d < 1e-10, 0.0, d)
+    if np.linalg.matrix_rank(Wk) < c:
+        raise ValueError("the covariates of the analysed samples are linearly dependent")
+    d, U = _decompose(K, keep, {} if decomposed is None else decomposed)
     model = NullModel(keep, len(y), U, d, U.T @ Wk, U.T @ yk, Wk)
 
     profile = _Profile(d, model.Wr, model.yr, None)
@@ -300,40 +315,56 @@ def _se_pve(share: float, r: float, d, Wr, w, inv_S, left) -> float:
     return share / (share * r + 1.0) ** 2 * math.sqrt(-1.0 / curvature)
 
 
-def null_model(
-    pheno: DataFrame, kin: DataFrame, trait: str = "y", covar: DataFrame | None = None, n_samples: int | None = None
-) -> NullModel:
-    """``fit_null`` on tables: ``pheno(sample_idx, <trait>)``, ``kin(i, j, k)`` with i <= j and
-    optionally ``covar(sample_idx, w array<double>)``.
-
-    The three tables live in sample space. They are collected only after their row counts
-    have been checked against the stated limit on the number of samples.
-    """
-    rows = pheno.select("sample_idx", trait).limit(MAX_SAMPLES + 1).toArrow()
-    n = n_samples or rows.num_rows
-    if rows.num_rows > MAX_SAMPLES or n > MAX_SAMPLES:
+def _check_samples(n: int) -> None:
+    if n > MAX_SAMPLES:
         raise ValueError(f"more than {MAX_SAMPLES} samples: the dense decomposition does not fit the driver")
-    if sorted(rows["sample_idx"].to_pylist()) != list(range(n)):
-        raise ValueError(f"phenotypes must have one row per sample: {rows.num_rows} rows for {n} samples")
-    y = np.full(n, np.nan)
-    y[rows["sample_idx"].to_numpy()] = rows[trait].cast(pa.float64()).to_numpy()
+
+
+def relatedness_matrix(kin: DataFrame, n: int) -> np.ndarray:
+    """``kin(i, j, k)`` with i <= j as a dense matrix; at most n x n cells are collected."""
+    _check_samples(n)
     cells = kin.select("i", "j", "k").limit(n * n + 1).toArrow()
-    if cells.num_rows > n * n:
-        raise ValueError("the relatedness table has more cells than pairs of samples")
-    K = np.zeros((n, n))
+    if not 0 < cells.num_rows <= n * n:
+        raise ValueError(f"the relatedness table has {cells.num_rows} cells for {n} samples")
     i, j, k = (cells[c].to_numpy() for c in ("i", "j", "k"))
+    K = np.zeros((n, n))
     K[i, j] = k
     K[j, i] = k
+    return K
+
+
+def _per_sample(df: DataFrame, value: str, n: int | None, what: str) -> list:
+    """Values in sample order; every ordinal must occur exactly once."""
+    rows = df.select("sample_idx", value).limit((n or MAX_SAMPLES) + 1).toArrow()
+    _check_samples(n or rows.num_rows)
+    found = dict(zip(rows["sample_idx"].to_pylist(), rows[value].to_pylist()))
+    n = n or rows.num_rows
+    if rows.num_rows != n or sorted(found) != list(range(n)):
+        raise ValueError(f"{what} must have one row per sample: {rows.num_rows} rows for {n} samples")
+    return [found[i] for i in range(n)]
+
+
+def null_model(
+    pheno: DataFrame,
+    kin: DataFrame | np.ndarray,
+    trait: str = "y",
+    covar: DataFrame | None = None,
+    n_samples: int | None = None,
+    decomposed: Decomposed | None = None,
+) -> NullModel:
+    """``fit_null`` on tables: ``pheno(sample_idx, <trait>)``, ``kin(i, j, k)`` with i <= j (or its
+    matrix) and optionally ``covar(sample_idx, w array<double>)``.
+
+    The tables live in sample space and are collected only within the stated limit on samples.
+    """
+    y = np.array(_per_sample(pheno, trait, n_samples, "phenotypes"), dtype=float)
+    K = kin if isinstance(kin, np.ndarray) else relatedness_matrix(kin, len(y))
     W = None
     if covar is not None:
-        codes = covar.select("sample_idx", "w").limit(n + 1).toArrow()
-        if sorted(codes["sample_idx"].to_pylist()) != list(range(n)):
-            raise ValueError(f"covariates must have one row per sample: {codes.num_rows} rows for {n} samples")
-        W = np.full((n, len(codes["w"][0].as_py())), np.nan)
-        W[codes["sample_idx"].to_numpy()] = np.array(codes["w"].to_pylist(), dtype=float)
+        W = np.array(_per_sample(covar, "w", len(y), "covariates"), dtype=float)
         if not np.all(W[:, 0] == 1.0):
             raise ValueError("the first covariate column must be all 1")
-    return fit_null(K, y, W)
+    return fit_null(K, y, W, decomposed)
 
 
 # ---------------------------------------------------------------- marker scan

@@ -17,6 +17,9 @@ from .ordering import expand_counts, place_in_order, running_total
 SUGGESTIVE_P = 1e-5
 GENOME_WIDE_P = 5e-8
 
+# Fixed value: the error rate of the corrected threshold.
+ALPHA = 0.05
+
 # ---------------------------------------------------------------- cleaning
 
 
@@ -79,16 +82,20 @@ def rejected_assoc(assoc: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- thresholds and hits
 
 
-def bonferroni_threshold(clean: DataFrame, alpha: float = 0.05) -> DataFrame:
+def is_bonferroni(threshold: float | str) -> bool:
+    return isinstance(threshold, str) and threshold.strip().lower() == "bonferroni"
+
+
+def bonferroni_threshold(clean: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """One row: ``n_tests`` (rows with a null P count) and ``threshold`` = alpha / n_tests."""
     return clean.agg(F.count("*").alias("n_tests")).select(
         "n_tests", F.try_divide(F.lit(alpha), F.col("n_tests").cast("double")).alias("threshold")
     )
 
 
-def threshold_column(clean: DataFrame, threshold: float | str, alpha: float = 0.05) -> Column:
+def threshold_column(clean: DataFrame, threshold: float | str, alpha: float = ALPHA) -> Column:
     """A number, a numeric text, or ``"bonferroni"`` (a scalar subquery, evaluated once)."""
-    if isinstance(threshold, str) and threshold.strip().lower() == "bonferroni":
+    if is_bonferroni(threshold):
         return bonferroni_threshold(clean, alpha).select("threshold").scalar()
     return F.lit(float(threshold))
 
@@ -257,10 +264,13 @@ def manhattan_layout(
     (P below the threshold) and ``highlight``."""
     table, small = chromosome_layout(clean)
     offsets = table.select("CHR", "offset")
-    limit = threshold_column(clean, threshold)
-    flagged = highlight(clean, highlighted) if not isinstance(highlighted, (list, tuple)) or highlighted else (
-        clean.withColumn("highlight", F.lit(False))
-    )
+    if is_bonferroni(threshold):
+        # The layout has counted the rows already.
+        limit = table.agg(F.try_divide(F.lit(ALPHA), F.sum("n_snps").cast("double")).alias("threshold")).scalar()
+    else:
+        limit = F.lit(float(threshold))
+    listed = isinstance(highlighted, DataFrame) or len(highlighted) > 0
+    flagged = highlight(clean, highlighted) if listed else clean.withColumn("highlight", F.lit(False))
     return (
         flagged.join(F.broadcast(offsets) if small else offsets, "CHR")
         .withColumn("x", F.col("BP") + F.col("offset"))

@@ -85,6 +85,8 @@ def association_traits(
     covar: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Several traits tested in one pass over the genotypes; one ``trait`` column more."""
-    models: Mapping[str, L.NullModel] = {t: L.null_model(pheno, kin, t, covar, n_samples) for t in traits}
+    """Several traits tested in one pass over the genotypes; one ``trait`` column more. The
+    relatedness is collected once and decomposed once per set of analysed samples."""
+    K_, done = L.relatedness_matrix(kin, n_samples), {}
+    models: Mapping[str, L.NullModel] = {t: L.null_model(pheno, K_, t, covar, n_samples, done) for t in traits}
     return L.lmm_scan(geno, models, **options)

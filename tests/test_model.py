@@ -210,8 +210,12 @@ def test_samples_without_a_phenotype_are_left_out(spark):
 
 def test_traits_share_one_pass(spark, fitted):
     G, y, W, K_, model, _ = fitted
-    other = L.fit_null(K_, np.where(np.arange(40) < 4, np.nan, -y), W)
+    other_y = np.where(np.arange(40) < 4, np.nan, -y)
+    other = L.fit_null(K_, other_y, W)
     both = L.lmm_scan(as_geno(spark, G), {"a": model, "b": other})
+    done = {}
+    fits = [L.fit_null(K_, v, W, done) for v in (y, -y, other_y)]
+    assert len(done) == 2 and fits[0].U is fits[1].U and fits[0].pve == pytest.approx(fits[1].pve)
     for trait, single in (("a", model), ("b", other)):
         want = {r.rs: r.p_lrt for r in L.lmm_scan(as_geno(spark, G), single).collect()}
         assert {r.rs: r.p_lrt for r in both.filter(F.col("trait") == trait).collect()} == pytest.approx(want)
@@ -240,6 +244,10 @@ def test_limits_are_checked(spark, monkeypatch):
     covar = pheno.selectExpr("sample_idx", "array(y, 1.0D) AS w")
     with pytest.raises(ValueError, match="must be all 1"):
         L.null_model(pheno, kin, covar=covar)
+    with pytest.raises(ValueError, match="0 cells"):
+        L.null_model(pheno, kin.filter("false"))
+    with pytest.raises(ValueError, match="linearly dependent"):
+        L.fit_null(np.eye(6), np.arange(6.0), np.ones((6, 2)))
     with pytest.raises(ValueError, match="too few"):
         L.fit_null(np.eye(2), np.array([1.0, 2.0]))
 

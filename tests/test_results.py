@@ -132,6 +132,7 @@ def test_layout(spark, monkeypatch):
     assert {r.SNP: r.x for r in R.manhattan_layout(df).collect()} == expect
     above = {r.SNP for r in R.manhattan_layout(df, "bonferroni", ["c"]).filter("above").collect()}
     assert above == {"b"}
+    assert {r.threshold_y for r in R.manhattan_layout(df, "bonferroni").collect()} == {-math.log10(0.05 / 4)}
     ticks = {r.CHR: (r.offset, r.tick) for r in R.manhattan_ticks(df).collect()}
     assert ticks == {1: (0, 50.0), 3: (90, 95.0), 7: (95, 99.0)}
     # Beyond the broadcast limit the same numbers come from the partitioned running total.
