@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import results as R
-from ..operators import samples as SA
 from ..session import scratch_path
 from ..sources import sinks, store, tables, vcf
 from . import phenotypes, query

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions import naming
@@ -34,7 +35,8 @@ def nest_calls(
     A group never exceeds ``n_samples`` entries: a pair occurring twice, or an ordinal out of
     range, fails the job before anything is collected, in an aggregation that combines on the
     map side. Pass ``unique=True`` when the input is already one row per pair (for example
-    straight from a ``groupBy`` on both columns) to save that shuffle.
+    straight from a ``groupBy`` on both columns) to save that shuffle; the size of every array
+    is checked either way.
     """
     idx = F.col("sample_idx").cast("int")
     entry = F.struct(*[F.col(f) for f in fields]) if len(fields) > 1 else F.col(fields[0])
@@ -51,15 +53,19 @@ def nest_calls(
             .alias("sample_idx"),
             "entry",
         )
-    grouped = rows.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("sample_idx", "entry"))).alias("pairs")
-    )
     ordinals = F.sequence(F.lit(0), F.lit(n_samples - 1))
-    complete = F.transform("pairs", lambda p: p["sample_idx"]) == ordinals
-    in_order = F.transform("pairs", lambda p: p["entry"])
-    by_ordinal = F.map_from_entries("pairs")
-    filled = F.transform(ordinals, lambda i: F.element_at(by_ordinal, i))
-    return grouped.select(key, F.when(complete, in_order).otherwise(filled).alias("calls"))
+    grouped = rows.groupBy(key).agg(F.collect_list(F.struct("sample_idx", "entry")).alias("pairs"))
+    kind = grouped.schema["pairs"].dataType.elementType
+    absent = F.transform(
+        F.array_except(ordinals, F.transform("pairs", lambda p: p["sample_idx"])),
+        lambda i: F.struct(i.alias("sample_idx"), F.lit(None).cast(kind["entry"].dataType).alias("entry")),
+    )
+    filled = F.array_sort(F.concat("pairs", absent))
+    whole = F.when(F.size(filled) == n_samples, filled).otherwise(
+        F.raise_error(F.lit("repeated or out-of-range (site, sample) pair")).cast(T.ArrayType(kind))
+    )
+    nested = G.bind(whole, lambda pairs: F.transform(pairs, lambda p: p["entry"]))
+    return G.compute_once(grouped, "calls", nested).select(key, "calls")
 
 
 def unnest_calls(sites: DataFrame, array: str = "calls", keep: Sequence[str] = ("variant_id",)) -> DataFrame:

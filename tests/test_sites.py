@@ -122,8 +122,13 @@ def test_nesting_fills_gaps_and_rejects_repeats(spark):
     assert got == {1: ["0/0", None, "0/1"], 2: ["0/0", "1/1", "0/1"]}
     with pytest.raises(Exception, match="repeated or out-of-range"):
         S.nest_calls(long.union(long.limit(1)), 3).collect()
+    for unique in (False, True):
+        with pytest.raises(Exception, match="repeated or out-of-range"):
+            S.nest_calls(long, 2, unique=unique).collect()
     with pytest.raises(Exception, match="repeated or out-of-range"):
-        S.nest_calls(long, 2).collect()
+        S.nest_calls(long.union(long.filter("variant_id = 2")), 3, unique=True).collect()
+    one = S.nest_calls(long, 3, fields=["gt"]).filter("variant_id = 1").first()
+    assert one.calls == ["0/0", None, "0/1"]
 
 
 def test_long_and_nested_layouts_agree(spark, sf):
