@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, secret_scan, simhash
+from . import decontaminate, packing, quality, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,3 +48,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontaminate")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlap_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
