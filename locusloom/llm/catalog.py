@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secret_scan, simhash
+from . import decontaminate, packing, quality, secret_scan, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,3 +53,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_packing")
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
