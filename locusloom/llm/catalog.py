@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secret_scan, simhash, token_files
+from . import chat, decontaminate, lattice_lm, packing, quality, secret_scan, simhash, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,3 +58,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op6_lattice_lm")
+def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_perspectives", chat.SQL)
+def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = spark.createDataFrame(url_filter.labelled_urls(), "url string, blocked int")
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.fit_url_table(labelled))

@@ -201,9 +201,12 @@ def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def bad_words(docs: DataFrame, least: int = 3, share: float = 0.8, most: int = 500) -> frozenset[bytes]:
-    """Words of at least three letters that stand in at least ``least`` bad documents of the sample,
-    and mostly there; the ``most`` with the best lower bound of that share (a documented bound)."""
+def bad_words(docs: DataFrame, least: int = 3, support: float = 0.004, share: float = 0.8, most: int = 100) -> frozenset[bytes]:
+    """Words of at least three bytes that stand in at least ``least`` and a share of ``support`` of the
+    sample's bad documents, and mostly there: chance, or a few copies, bring no word onto the list. The
+    ``most`` with the highest share of bad documents are kept (a documented bound)."""
+    n_bad = docs.agg(F.coalesce(F.sum(1 - F.col("good")), F.lit(0))).first()[0]
+    least = max(least, math.ceil(support * n_bad))
     words = docs.select("good", F.explode("words").alias("word")).filter(F.length("word") >= 3)
     counts = words.groupBy("word").agg(F.sum(1 - F.col("good")).alias("bad"), F.count("*").alias("n"))
     shown = counts.filter((F.col("bad") >= least) & (F.col("bad") >= share * F.col("n")))
