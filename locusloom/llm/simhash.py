@@ -89,7 +89,7 @@ def planes(prints: np.ndarray) -> np.ndarray:
     padded = np.zeros(blocks * 64, dtype="<u8")
     padded[: len(prints)] = prints
     bits = np.unpackbits(padded.view(np.uint8).reshape(blocks, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view("<u8")[:, :, 0]
+    return np.ascontiguousarray(np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little")).view("<u8")[:, :, 0]
 
 
 def within(queries: np.ndarray, blocks: np.ndarray, sliced: np.ndarray, valid: np.ndarray, radius: int = RADIUS) -> np.ndarray:
