@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, lattice_lm, packing, quality, secret_scan, simhash, token_files, url_filter
+from . import chat, decontaminate, lattice_lm, packing, quality, secret_scan, simhash, suffix_dedup, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,3 +74,8 @@ def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = spark.createDataFrame(url_filter.labelled_urls(), "url string, blocked int")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.fit_url_table(labelled))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
