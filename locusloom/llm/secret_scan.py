@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership, in built-in column functions only.
 
 Spans come from splitting a text at a pattern: the pieces and the matches alternate, so running
-lengths give every place. Long random-looking tokens are candidates; their hashes are counted by
-distinct repositories (documents) and owners (sources) over the whole corpus. A candidate that many
-owners carry is a copied example; one that few owners have looks live, and its spans are added.
+lengths give every place. Candidates are the values of the base kinds and long random-looking tokens;
+their hashes are counted by distinct repositories (documents) and owners (sources) over the whole
+corpus. A value that many owners or repositories carry is a copied example; one that few have looks
+live. Base spans always stay and are marked live or not; live tokens outside them are added.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ KINDS = ("assign", "access", "hex", "owned")
 #: A match of ASSIGN counts if this many value characters end it.
 ASSIGN_VALUE = r"""[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}$"""
 
-#: Candidate tokens: at least 20 characters with a digit, a small and a capital letter.
+#: Candidate tokens: at least 20 characters, a digit and a letter among them.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 #: A candidate looks live if at most so many owners, and so many repositories, carry it.
 MAX_OWNERS = 1
@@ -42,8 +43,11 @@ def running(sizes: Column) -> Column:
     return F.flatten(F.zip_with(parts, starts, lambda p, s: F.transform(p["before"], lambda x: x + s)))
 
 
-def spans_of(text: Column, pattern: str, kind: str, number: int, keep: str | None = None, with_token: bool = False) -> Column:
-    """Matches of ``pattern`` as structs (start, number, end, kind[, token]); code points, end exclusive.
+_SPAN = "start:int,number:int,end:int,kind:string"
+
+
+def spans_of(text: Column, pattern: str, kind: str, keep: str | None = None) -> Column:
+    """Matches of ``pattern`` as structs (start, number, end, kind, token); code points, end exclusive.
     ``number`` is the kind's place in ``KINDS``; ``keep``: matches without this pattern are dropped."""
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # One piece more than matches: the last pair has no match and ends the text.
@@ -51,7 +55,7 @@ def spans_of(text: Column, pattern: str, kind: str, number: int, keep: str | Non
 
     def span(pair: Column, at: Column) -> Column:
         start = at + pair["skip"]
-        fields = [start.alias("start"), F.lit(number).alias("number"), (start + F.length(pair["match"])).alias("end"), F.lit(kind).alias("kind")]
+        fields = [start.alias("start"), F.lit(KINDS.index(kind)).alias("number"), (start + F.length(pair["match"])).alias("end"), F.lit(kind).alias("kind")]
         return F.struct(*fields, pair["match"].alias("token"))
 
     def placed(pairs: Column) -> Column:
@@ -61,18 +65,16 @@ def spans_of(text: Column, pattern: str, kind: str, number: int, keep: str | Non
     spans = bind(pairs, placed)
     if keep is not None:
         spans = F.filter(spans, lambda s: s["token"].rlike(keep))
-    if not with_token:
-        spans = F.transform(spans, lambda s: F.struct(*(s[c].alias(c) for c in ("start", "number", "end", "kind"))))
-    none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string" + (",token:string" if with_token else "") + ">>")
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<struct<{_SPAN},token:string>>"))
+
 
+def base_spans(text: Column) -> Column:
+    return F.flatten(F.array(spans_of(text, ASSIGN, "assign", keep=ASSIGN_VALUE), spans_of(text, ACCESS, "access"), spans_of(text, HEX, "hex")))
 
-def base_spans(text: Column) -> list[Column]:
-    return [
-        spans_of(text, ASSIGN, "assign", 0, keep=ASSIGN_VALUE),
-        spans_of(text, ACCESS, "access", 1),
-        spans_of(text, HEX, "hex", 2),
-    ]
+
+def bare(span: Column) -> Column:
+    """A span without its text."""
+    return F.struct(*(span[c].alias(c) for c in ("start", "number", "end", "kind")))
 
 
 def digest(spans: Column) -> Column:
@@ -82,13 +84,18 @@ def digest(spans: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Candidate tokens; one that a base span overlaps is left to that span."""
-    mixed = lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[a-z]") & s["token"].rlike("[A-Z]")
+    """All base spans, and the candidate tokens that none of them overlaps."""
+    mixed = lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]")
     overlaps = lambda t, b: (t["start"] < b["end"]) & (b["start"] < t["end"])
-    found = F.filter(spans_of(text, TOKEN, "owned", 3, with_token=True), mixed)
-    base = F.flatten(F.array(*base_spans(text)))
-    free = lambda x: F.filter(x["found"], lambda t: ~F.exists(x["base"], lambda b: overlaps(t, b)))
-    return bind(F.struct(found.alias("found"), base.alias("base")), free)
+    found = F.filter(spans_of(text, TOKEN, "owned"), mixed)
+    free = lambda x: F.concat(x["base"], F.filter(x["found"], lambda t: ~F.exists(x["base"], lambda b: overlaps(t, b))))
+    return bind(F.struct(found.alias("found"), base_spans(text).alias("base")), free)
+
+
+def value_hash(span: Column) -> Column:
+    """Of what is secret in a span: the value of an assignment, else all of it."""
+    value = F.when(span["kind"] == "assign", F.regexp_extract(span["token"], ASSIGN, 2)).otherwise(span["token"])
+    return F.sha2(value, 256)
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
@@ -110,10 +117,10 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan_secrets(
     docs: DataFrame, repository: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, base (spans of the base kinds, sorted), and added (candidate
-    spans that look live), each an array of (start, number, end, kind).
+    """One row per row of ``docs``: doc_id, key, base (spans of the base kinds, sorted), live (those whose
+    value looks live) and added (other candidate spans that look live); spans are (start, number, end, kind).
 
-    A null or empty text has no spans. Added spans are joined back by a hash of the row's id and text,
+    A null or empty text has no spans. Live spans are joined back by a hash of the row's id and text,
     so null ids and repeated rows are right (equal rows have equal spans). Only these columns are read.
     """
     require_columns(docs, "doc_id", "text", repository, owner)
@@ -122,24 +129,27 @@ def scan_secrets(
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
     )
     key = row_key(F.col("doc_id"), F.col("text"))
-    tokens = rows.filter(F.col("text").rlike(TOKEN)).select(key.alias("key"), "repository", "owner", F.explode(candidates(F.col("text"))).alias("t"))
-    tokens = tokens.select("key", "repository", "owner", F.sha2("t.token", 256).alias("hash"), F.struct(*(F.col(f"t.{c}").alias(c) for c in ("start", "number", "end", "kind"))).alias("span"))
-    live = ownership(tokens.select("hash", "owner", "repository")).filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
-    added = tokens.join(live.select("hash"), "hash", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set("span")).alias("added"))
-    base = rows.select(key.alias("key"), "doc_id", F.array_sort(F.flatten(F.array(*base_spans(F.col("text"))))).alias("base"))
-    none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
-    return base.join(added, "key", "left").select("doc_id", "key", "base", F.coalesce("added", none).alias("added"))
+    some = F.col("text").rlike(TOKEN) | F.col("text").rlike(ASSIGN)  # the other kinds are tokens as well
+    found = rows.filter(some).select(key.alias("key"), "repository", "owner", F.explode(candidates(F.col("text"))).alias("t"))
+    found = found.select("key", "repository", "owner", value_hash(F.col("t")).alias("hash"), bare(F.col("t")).alias("span"))
+    few = ownership(found.select("hash", "owner", "repository")).filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
+    live = found.join(few.select("hash"), "hash", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    base = rows.select(key.alias("key"), "doc_id", F.transform(F.array_sort(base_spans(F.col("text"))), bare).alias("base"))
+    spans = F.coalesce("spans", F.array().cast(f"array<struct<{_SPAN}>>"))
+    of = lambda added: F.filter(spans, lambda s: (s["kind"] == "owned") == F.lit(added))
+    return base.join(live, "key", "left").select("doc_id", "key", "base", of(False).alias("live"), of(True).alias("added"))
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
-    """Counts by base kind, a hash of the base spans, all spans as text, and how many look live."""
+    """Counts by base kind, a hash of the base spans, all spans as text, and how many base and added
+    spans look live."""
     found = scan_secrets(docs)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(digest(F.col("base")), 256).alias("base_sha256"),
         digest(F.concat("base", "added")).alias("spans"),
-        F.size("added").cast("long").alias("n_owned"),
+        F.size("live").cast("long").alias("n_live"), F.size("added").cast("long").alias("n_owned"),
     )
 
 
