@@ -25,7 +25,7 @@ from .tokens import byte_bpe
 CAPACITY = 2048
 END = 0
 #: Alternative fillings that are tried for one sequence, and steps of the search beyond one full dive.
-FILLINGS = 8
+FILLINGS = 12
 MORE_STEPS = 2_000
 
 Pattern = tuple[int, ...]
@@ -121,6 +121,7 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[Patter
                 break
 
     budget = 8 * FILLINGS
+    width = 3
 
     def extend(chosen: Pattern, rest: int, limit: int) -> None:
         nonlocal budget
@@ -130,7 +131,7 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[Patter
         if counts.get(rest, 0) > chosen.count(rest) and rest <= limit:
             found[(*chosen, rest)] = None
             return
-        while at and tried < 3 and budget > 0:
+        while at and tried < width and budget > 0:
             at -= 1
             if counts[sizes[at]] > chosen.count(sizes[at]):
                 tried += 1
@@ -138,6 +139,9 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[Patter
         if not tried:
             found[chosen] = None
 
+    # First a few of the largest at each place, for different fillings; then all, for few items.
+    extend((), room, room)
+    budget, width = 8 * FILLINGS, len(sizes)
     extend((), room, room)
     ranked = sorted(found, key=lambda p: (room - sum(p), len(p), [-x for x in p]))
     kept: list[Pattern] = []

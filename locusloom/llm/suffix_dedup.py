@@ -36,7 +36,7 @@ DEPTH = 50
 ANCHOR = 16
 #: Text bytes, about, of a shard of documents, and of the corpus for each bucket of anchors.
 SHARD_BYTES = 8_000_000
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 4_000_000
 _SEGMENT = (1 << 20) - 64
 _PLACE = np.uint64((1 << 20) - 1)
 _KEY_BITS = 48
