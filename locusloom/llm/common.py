@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import require_columns, scratch_path, ship_package
@@ -37,35 +34,17 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def flat(kind: pa.DataType, lists: list, values: np.ndarray) -> pa.Array:
-    """A list array from row lengths and the values of all rows."""
-    ends = np.zeros(len(lists) + 1, dtype=np.int32)
-    np.cumsum(lists, out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, type=kind))
-
-
 def rows(batch: pa.RecordBatch) -> tuple[list, list[bytes]]:
     """Ids and texts of a batch of :func:`id_and_text`."""
     return batch.column(0).to_pylist(), batch.column(1).to_pylist()
 
 
-def bounded(batches: Iterator[pa.RecordBatch], most_bytes: int, column: int = 1) -> Iterator[list[tuple]]:
-    """Rows in runs whose ``column`` stays near ``most_bytes``; a single longer row is a run of its own."""
-    run: list[tuple] = []
-    held = 0
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if run and held + len(row[column]) > most_bytes:
-                yield run
-                run, held = [], 0
-            run.append(row)
-            held += len(row[column])
-    if run:
-        yield run
-
-
-def session(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, or with underscores behind it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def lower_az(col: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import require_columns, ship_package
-from .common import LOWER
+from .common import LOWER, fresh
 
 WINDOW = 13
 #: A document with a share of 1 / SHARE or more of its words hit is contaminated.
@@ -285,9 +285,7 @@ def contaminated(overlap: str = "overlap") -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    name = "overlap"
-    while name in docs.columns:
-        name += "_"
+    name = fresh("overlap", docs)
     return find_overlaps(docs, benchmark, name=name).filter(~contaminated(name)).drop(name)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.genotype import bind
 from ..session import require_columns
+from .common import fresh
 
 #: The patterns of the three base kinds, in the order they are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -174,11 +175,12 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with all base and added spans of their text replaced, and n_chars, where
     there is such a column, counted anew. Rows without spans come back as they are."""
-    found = scan_secrets(docs).select("key", F.concat("base", "added").alias("found_spans")).filter(F.size("found_spans") > 0).dropDuplicates(["key"])
-    keyed = docs.withColumn("found_key", row_key(docs["doc_id"], docs["text"]))
-    joined = keyed.join(found, keyed["found_key"] == found["key"], "left")
-    marked = joined.withColumn("text", F.when(F.col("found_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("found_spans"))))
+    key, theirs, spans = fresh("found_key", docs), fresh("their_key", docs), fresh("found_spans", docs)
+    found = scan_secrets(docs).select(F.col("key").alias(theirs), F.concat("base", "added").alias(spans)).filter(F.size(spans) > 0).dropDuplicates([theirs])
+    joined = docs.withColumn(key, row_key(docs["doc_id"], docs["text"])).join(found, F.col(key) == F.col(theirs), "left")
+    untouched = F.col(spans).isNull()
+    marked = joined.withColumn("text", F.when(untouched, F.col("text")).otherwise(redacted(F.col("text"), F.col(spans))))
     if "n_chars" in docs.columns:
-        counted = F.when(F.col("found_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        counted = F.when(untouched, F.col("n_chars")).otherwise(F.length("text"))
         marked = marked.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))
     return marked.select(*docs.columns)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, NULL_ID, id_and_text, rows, store
+from .common import LOWER, NULL_ID, fresh, id_and_text, rows, store
 
 SHINGLE = 4
 RADIUS = 4
@@ -328,8 +328,9 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     none, one of them each. All columns of ``docs`` come back."""
     _, named = resolve(docs, radius)
     named = store(named, "named")
-    kept = named.filter(F.col("component_id") != NULL_ID).select(F.col("component_id").alias("kept_id"))
-    firsts = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    own, bits, root, kept_id = (fresh(c, docs) for c in ("own_bits", "their_bits", "their_root", "kept_id"))
+    kept = named.filter(F.col("component_id") != NULL_ID).select(F.col("component_id").alias(kept_id))
+    firsts = docs.join(kept, docs["doc_id"] == kept[kept_id], "left_semi").dropDuplicates(["doc_id"])
     nameless = docs.filter(docs["doc_id"].isNull())
     place, column = len(docs.columns), docs.columns.index("text")
 
@@ -341,11 +342,8 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             columns[place] = pa.array(bits)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    own = "own_bits"
-    while own in docs.columns:
-        own += "_"
     printed = nameless.withColumn(own, F.lit(None).cast("long"))
     printed = printed.mapInArrow(add, printed.schema)
-    alone = named.filter(F.col("component_id") == NULL_ID).select(F.col("bits").alias("a_bits"), F.col("root").alias("a_root"))
-    others = printed.join(alone, printed[own] == alone["a_bits"]).dropDuplicates(["a_root"]).select(*docs.columns)
+    alone = named.filter(F.col("component_id") == NULL_ID).select(F.col("bits").alias(bits), F.col("root").alias(root))
+    others = printed.join(alone, printed[own] == alone[bits]).dropDuplicates([root]).select(*docs.columns)
     return firsts.unionByName(others)

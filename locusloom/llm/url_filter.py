@@ -110,7 +110,7 @@ class UrlModel:
         return self.bias + (float(self.weights[at].sum()) / np.sqrt(len(at)) if len(at) else 0.0)
 
 
-def fit_urls(rows: Sequence[tuple[str, str, int]], rounds: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> UrlModel:
+def fit_urls(rows: Sequence[tuple[str, str, int]], rounds: int = 1_000, rate: float = 2.0, ridge: float = 1e-5) -> UrlModel:
     """Logistic regression of ``(host, path, blocked)``, plain gradient steps over all rows. The bias is
     that of the labelled table and stays: what shows no known n-gram is judged by it alone."""
     y = np.array([r[2] for r in rows], dtype=float)
