@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import results as R
+from ..operators.sites import site_stats
+from ..operators.sites import subset_by_id as subset
+from ..plans.study import study_inputs
 from ..session import scratch_path
 from ..sources import sinks, store, tables, vcf
 from . import phenotypes, query
 from .results import clean
+from .variants import FUNNEL_SQL
 
 
 def _vcf(spark, sf, compression: str = "none") -> str:
@@ -26,7 +30,8 @@ def _vcf(spark, sf, compression: str = "none") -> str:
             F.lit("GT:GQ:DP"), F.array_join(F.transform("calls", call), "\t"),
         ).alias("value"),
     )
-    columns = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"] + [f"s{i}" for i in range(fx.N_CALL_SAMPLES)]
+    names = [r["sample_id"] for r in fx.call_samples(spark, sf).orderBy("sample_idx").collect()]
+    columns = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names]
     head = spark.createDataFrame(
         [(0, 0, "##fileformat=VCFv4.2"), (1, 0, "\t".join(columns))], "section int, variant_id bigint, value string"
     )
@@ -57,11 +62,60 @@ def read_vcf_gzip(spark, sf):
     ).select("chrom", "pos", "id", "ref", "alts", "sample_idx", "c.gt", "c.dp", "c.gq")
 
 
-@query("vcf_samples", sql="SELECT CAST(i AS INT) AS sample_idx, 's' || CAST(i AS VARCHAR) AS sample_id FROM range(10) t(i)")
+@query("vcf_samples", sql=fx.CALL_SAMPLES)
 def vcf_samples(spark, sf):
     return vcf.vcf_samples(spark, _vcf(spark, sf))
 
 
+_KEEP = f"""SELECT row_number() OVER (ORDER BY sample_id DESC) - 1 AS position, sample_idx, sample_id
+            FROM ({fx.CALL_SAMPLES}) WHERE sample_idx % 3 <> 1"""
+
+
+def _keep_list(spark, sf) -> str:
+    """A file with the ids of some samples, in another order than the study's."""
+    path = scratch_path(spark, "keep")
+    ids = fx.call_samples(spark, sf).filter("sample_idx % 3 <> 1").orderBy(F.col("sample_id").desc())
+    ids.select("sample_id").coalesce(1).write.text(path)
+    return path
+
+
+@query("read_keep_list", sql=f"SELECT CAST(position AS INT) AS position, sample_id FROM ({_KEEP})")
+def read_keep_list(spark, sf):
+    return tables.read_keep_list(spark, _keep_list(spark, sf))
+
+
+@query(
+    "subset_by_id",
+    "sites calls d",
+    f"""SELECT s.variant_id, CAST(position AS INT) AS sample_idx, sample_id, d.gt
+        FROM sites s CROSS JOIN ({_KEEP}) k LEFT JOIN d ON d.variant_id = s.variant_id AND d.sample_idx = k.sample_idx""",
+)
+def subset_by_id(spark, sf):
+    keep = tables.read_keep_list(spark, _keep_list(spark, sf))
+    sites, order = subset(fx.called_sites(spark, sf), fx.call_samples(spark, sf), keep)
+    return sites.select("variant_id", F.posexplode("calls").alias("sample_idx", "c")).join(order, "sample_idx").select("variant_id", "sample_idx", "sample_id", "c.gt")
+
+
+@query(
+    "study_inputs",
+    "sites calls d md stats",
+    f"""SELECT f.chrom, f.id AS rs, f.pos, n.n_samples, n.total FROM ({FUNNEL_SQL}) f
+        CROSS JOIN (SELECT count(*) AS n_samples, CAST(sum(sample_idx * sample_idx) AS DOUBLE) AS total FROM ({fx.CALL_SAMPLES})) n""",
+)
+def study(spark, sf):
+    """Phenotypes, covariates and calls as files; their checks, and the markers that stay."""
+    lines = fx.call_samples(spark, sf).orderBy("sample_idx")
+    paths = {name: scratch_path(spark, name) for name in ("height.tsv", "covar.txt", "markers")}
+    lines.select((F.col("sample_idx") * F.col("sample_idx")).cast("string")).coalesce(1).write.text(paths["height.tsv"])
+    lines.select(F.concat(F.lit("1\t"), F.col("sample_idx").cast("string"))).coalesce(1).write.text(paths["covar.txt"])
+    found = study_inputs(
+        spark, paths["height.tsv"], _vcf(spark, sf), paths["markers"], ["height"], paths["covar.txt"],
+        chromosomes=[f"Chr{i}" for i in range(1, 6)], max_missing=5,
+    )
+    totals = found.pheno.agg(F.count("*").alias("n_samples"), F.sum("height").alias("total"))
+    return found.markers.select("chrom", "rs", "pos").crossJoin(F.broadcast(totals))
+
+
 @query("write_phenotype", sql=f"SELECT sample_idx, height FROM ({phenotypes._ALIGNED})")
 def write_phenotype(spark, sf):
     path = scratch_path(spark, "pheno")
@@ -115,6 +169,13 @@ def write_clean_assoc(spark, sf):
     return tables.read_clean_assoc(spark, path)
 
 
+@query("read_clean_assoc", "assoc clean", "SELECT * FROM clean")
+def read_clean_assoc(spark, sf):
+    path = scratch_path(spark, "clean")
+    clean(spark, sf).write.option("sep", "\t").option("header", True).csv(path)
+    return tables.read_clean_assoc(spark, path)
+
+
 @query(
     "write_bed",
     "assoc clean",
@@ -146,13 +207,18 @@ def read_measurements(spark, sf):
 
 @query("write_variants", "sites calls d stats", "SELECT variant_id, chrom, pos, ac FROM stats WHERE chrom IN ('Chr1', 'Chr4')")
 def write_variants(spark, sf):
-    from ..operators.sites import site_stats
-
     path = scratch_path(spark, "variants")
     store.write_variants(site_stats(fx.called_sites(spark, sf)).drop("calls"), path)
     return store.read_variants(spark, path, ["Chr1", "Chr4"]).select("variant_id", "chrom", "pos", "ac")
 
 
+@query("read_variants_region", "sites calls d stats", "SELECT variant_id, chrom, pos, ac FROM stats WHERE pos BETWEEN 5000 AND 12000")
+def read_variants_region(spark, sf):
+    path = scratch_path(spark, "variants")
+    store.write_variants(site_stats(fx.called_sites(spark, sf)).drop("calls"), path)
+    return store.read_variants(spark, path, region=(5000, 12000)).select("variant_id", "chrom", "pos", "ac")
+
+
 @query("reuse_or_compute", "assoc", "SELECT chr, count(*) AS n FROM assoc GROUP BY chr")
 def reuse_or_compute(spark, sf):
     folder = scratch_path(spark, "reuse")

@@ -13,6 +13,7 @@ from ..operators import report as RP
 from ..operators import results as R
 from ..operators import samples as SA
 from ..plans.association import association_run, association_traits, relatedness
+from ..session import scratch_path
 from . import query, rounded
 
 N = fx.N_GENO_SAMPLES
@@ -91,7 +92,8 @@ def lmm_scan_markers(spark, sf):
 def lmm_scan_unrelated(spark, sf):
     """Without relatedness the model is ordinary regression, which SQL can state."""
     pheno = fx.pheno(spark, sf)
-    none = pheno.select(F.col("sample_idx").alias("i"), F.col("sample_idx").alias("j"), F.lit(0.0).alias("k"))
+    other = pheno.select(F.col("sample_idx").alias("j"))
+    none = pheno.select(F.col("sample_idx").alias("i")).join(other, F.col("i") <= F.col("j")).withColumn("k", F.lit(0.0))
     scanned = L.lmm_scan(fx.geno(spark, sf), L.null_model(pheno, none, n_samples=N), "all")
     return scanned.select("rs", rounded("beta", 6).alias("beta"), rounded("se", 6).alias("se"))
 
@@ -168,6 +170,22 @@ def compare_runs(spark, sf):
     return out.select("trait", *[rounded(c).alias(c) for c in ("pve_0", "pve_c", "pve_delta")], F.get("beta_c", F.lit(1)).alias("beta_c"))
 
 
+@query(
+    "append_summary",
+    sql=f"""SELECT trait, round(a.pve, 9) AS pve_0, round(b.pve, 9) AS pve_c, round(a.pve - b.pve, 9) AS pve_delta, CAST(b.n AS DOUBLE) AS beta_c
+            FROM ({_RUN.format('0')}) a JOIN ({_RUN.format('5000')}) b USING (trait)""",
+)
+def append_summary(spark, sf):
+    """Summaries of runs without and with a covariate, stored one after the other and compared."""
+    path = scratch_path(spark, "runs")
+    for limit, name in (("0", None), ("5000", "covar")):
+        rows = spark.sql(_RUN.format(limit).replace("FROM customer", "FROM {c}"), c=fx.table(spark, sf, "customer"))
+        beta = F.array(F.lit(0.0), F.col("n").cast("double"))
+        RP.append_summary(rows.select("trait", F.lit(name).cast("string").alias("covariates"), "pve", beta.alias("beta")), path)
+    out = RP.compare_stored_runs(spark.read.parquet(path))
+    return out.select("trait", *[rounded(c).alias(c) for c in ("pve_0", "pve_c", "pve_delta")], F.get("beta_c", F.lit(1)).alias("beta_c"))
+
+
 @query("pve_delta")
 def pve_delta(spark, sf):
     kin = relatedness(fx.geno(spark, sf), N)

@@ -88,6 +88,11 @@ def contingency(spark, sf):
     return P.contingency(rows(spark, sf), "accession", "type")
 
 
+@query("contingency_long", "nuclei acc", "SELECT accession, type, count(*) AS n FROM acc WHERE type IS NOT NULL GROUP BY accession, type")
+def contingency_long(spark, sf):
+    return P.contingency_long(rows(spark, sf), "accession", "type")
+
+
 _HX = "round(count(*) FILTER (type = 'compact') / CAST(count(type) AS DOUBLE), 9) AS hx"
 
 
@@ -204,8 +209,9 @@ def _samples(spark, sf):
     )
 
 
-_HEIGHT = """SELECT s_name AS sample_id, sum(l_quantity) AS height, min(l_quantity) AS width
-             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey <> 7 GROUP BY s_name"""
+_HEIGHT = """SELECT s_name AS sample_id, sum(CASE WHEN s_nationkey <> 7 THEN l_quantity END) AS height,
+               min(CASE WHEN s_nationkey <> 7 THEN l_quantity END) AS width
+             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_name"""
 
 
 def _heights(spark, sf):
@@ -247,12 +253,28 @@ def paste_phenotype(spark, sf):
     return SA.paste_phenotype(fam, align_phenotypes(spark, sf), "height")
 
 
+@query(
+    "paste_phenotype_absent",
+    sql="""SELECT CAST(c_custkey AS INT) AS sample_idx, c_name AS sample_id, y AS phenotype
+           FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS y FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
+)
+def paste_phenotype_absent(spark, sf):
+    """Customers without orders have no phenotype row at all, and keep their line."""
+    fam = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("int").alias("sample_idx"), F.col("c_name").alias("sample_id"), F.lit(SA.MISSING_PHENOTYPE).alias("phenotype")
+    )
+    pheno = fx.table(spark, sf, "orders").groupBy(F.col("o_custkey").cast("int").alias("sample_idx")).agg(F.count("*").alias("y"))
+    return SA.paste_phenotype(fam, pheno, "y")
+
+
 @query(
     "check_counts",
     sql="""SELECT (SELECT count(*) FROM customer) AS n_samples, (SELECT count(DISTINCT o_custkey) FROM orders) AS n_phenotypes,
              (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) AS only_samples,
              (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS only_phenotypes,
-             (SELECT count(*) FROM customer) = (SELECT count(DISTINCT o_custkey) FROM orders) AS ok""",
+             (SELECT count(*) FROM customer) = (SELECT count(DISTINCT o_custkey) FROM orders) AS same_count,
+             (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) = 0
+               AND (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) = 0 AS ok""",
 )
 def check_counts(spark, sf):
     samples = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("sample_id"))
@@ -263,11 +285,13 @@ def check_counts(spark, sf):
 @query(
     "check_covariates",
     sql="""SELECT (SELECT count(*) FROM customer) AS n_covariate_rows, (SELECT count(*) FROM customer) AS n_phenotypes,
-             true AS intercept_ok, true AS ok""",
+             (SELECT count(*) FROM customer WHERE c_nationkey = 3) = 0 AS intercept_ok,
+             (SELECT count(*) FROM customer WHERE c_nationkey = 3) = 0 AS ok""",
 )
 def check_covariates(spark, sf):
     c = fx.table(spark, sf, "customer")
-    return SA.check_covariates(c.select(F.array(F.lit(1.0), "c_acctbal").alias("w")), c.select("c_custkey"))
+    first = F.when(F.col("c_nationkey") == 3, 2.0).otherwise(1.0)  # some rows break the rule
+    return SA.check_covariates(c.select(F.array(first, "c_acctbal").alias("w")), c.select("c_custkey"))
 
 
 _LINES = """CASE WHEN c_nationkey = 1 THEN '' WHEN c_nationkey = 2 THEN CAST(c_custkey AS VARCHAR) || chr(13)

@@ -214,11 +214,8 @@ def minor_allele_recode(spark, sf):
     return S.site_stats(S.minor_allele_recode(dosed)).select("variant_id", "a1", "a0", "flipped", "ac")
 
 
-@query(
-    "quality_funnel",
-    "sites calls d md stats",
-    """SELECT s.variant_id, regexp_replace(s.chrom, '^Chr', '') AS chrom, s.pos,
-         CASE WHEN s.id = '.' THEN s.chrom || ':' || CAST(s.pos AS VARCHAR) ELSE s.id END AS id
+FUNNEL_SQL = """SELECT s.variant_id, regexp_replace(s.chrom, '^Chr', '') AS chrom, s.pos,
+         CASE WHEN s.id = '.' THEN regexp_replace(s.chrom, '^Chr', '') || ':' || CAST(s.pos AS VARCHAR) ELSE s.id END AS id
        FROM stats s LEFT JOIN (
          SELECT variant_id, count(d) AS called, sum(d) AS alt, sum(2 - d) AS ref,
            sum(CASE WHEN d > 0 THEN 1 ELSE 0 END) AS alt_carriers, sum(CASE WHEN d < 2 THEN 1 ELSE 0 END) AS ref_carriers
@@ -226,8 +223,10 @@ def minor_allele_recode(spark, sf):
        WHERE s.chrom LIKE 'Chr_' AND s.chrom NOT IN ('ChrM', 'ChrC')
          AND s.alt_alleles NOT LIKE '%,%' AND length(s.alt_alleles) = length(s.ref) AND s.ac >= 1
          AND 10 - coalesce(m.called, 0) <= 5
-         AND NOT (m.alt = 1 OR (m.alt = 2 AND m.alt_carriers = 1) OR m.ref = 1 OR (m.ref = 2 AND m.ref_carriers = 1))""",
-)
+         AND NOT (m.alt = 1 OR (m.alt = 2 AND m.alt_carriers = 1) OR m.ref = 1 OR (m.ref = 2 AND m.ref_carriers = 1))"""
+
+
+@query("quality_funnel", "sites calls d md stats", FUNNEL_SQL)
 def funnel(spark, sf):
     return quality_funnel(
         fx.called_sites(spark, sf), chromosomes=[f"Chr{i}" for i in range(1, 6)], max_missing=5

@@ -35,6 +35,9 @@ SELECT l_partkey AS variant_id, CAST(l_suppkey % 10 AS INT) AS sample_idx,
 FROM lineitem GROUP BY l_partkey, CAST(l_suppkey % 10 AS INT)
 """
 
+#: Names of the samples of ``calls``: of the suppliers that make up one sample the first.
+CALL_SAMPLES = "SELECT CAST(s_suppkey % 10 AS INT) AS sample_idx, min(s_name) AS sample_id FROM supplier GROUP BY CAST(s_suppkey % 10 AS INT)"
+
 ASSOC = """
 SELECT CAST(CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE o_orderkey % 5 + 1 END AS STRING) AS chr,
   CASE o_orderkey % 150 WHEN 0 THEN 'ChrM' WHEN 50 THEN 'Chr4' WHEN 100 THEN 'scaffold_12'
@@ -97,6 +100,10 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, CALLS)
 
 
+def call_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, sf_dir, CALL_SAMPLES)
+
+
 def called_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites with the calls of ten samples in one array; a site without calls keeps ten nulls."""
     nested = nest_calls(calls(spark, sf_dir), N_CALL_SAMPLES, unique=True)

@@ -6,14 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.arrow import dosage_matrix, fill_with_mean
 from ..session import ship_package
 
 BLOCK_CELLS = 4_000_000
-PARTIAL_BYTES = 64 * 1024**3
+#: Samples on a side of the blocks in which partial sums travel.
+SIDE = 512
+#: Groups in which the partial sums of one block are added first.
+SALTS = 16
 
 
 def _usable(x: np.ndarray, n_miss: np.ndarray, mean: np.ndarray, var: np.ndarray, maf: float, max_missing: float):
@@ -28,7 +31,7 @@ def kinship(
     standardize: bool = False,
     maf: float = 0.01,
     max_missing: float = 0.05,
-    max_partials: int | None = None,
+    side: int = SIDE,
 ) -> DataFrame:
     """``i, j, k`` for i <= j: the mean over markers of the product of the two samples' centred
     dosages, each marker divided by its variance first when ``standardize``.
@@ -36,10 +39,10 @@ def kinship(
     Gaps take the marker mean. Markers without variation, below ``maf`` or with more than the
     allowed share of gaps are not counted. Phenotypes play no part.
 
-    Every task multiplies its markers into one triangle and emits it as one array per sample;
-    the arrays are summed per sample as they stream in. Where the samples are many, inputs are
-    merged first (``max_partials`` tasks, without moving rows), so that the triangles stay
-    smaller than the genotypes they come from.
+    Every task of the scan multiplies its markers into one triangle and emits it in blocks of
+    ``side`` x ``side`` samples. Blocks are added in two steps, first within ``SALTS`` groups of tasks and
+    then over the groups, as they stream in: the work follows the input, and no task holds more
+    than its blocks.
     """
     n = n_samples
 
@@ -56,43 +59,48 @@ def kinship(
                     z /= np.sqrt(var[keep])[:, None]
                 total += z.T @ z
                 used += int(keep.sum())
-        step = max(1, BLOCK_CELLS // n)
-        for start in range(0, n if used else 0, step):
-            samples = np.arange(start, min(start + step, n))
-            values = np.concatenate([total[i, i:] for i in samples])
-            ends = np.r_[0, np.cumsum(n - samples)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(samples, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
-                    pa.array(np.full(len(samples), used), pa.int64()),
-                ],
-                ["i", "row", "m"],
-            )
+        salt = TaskContext.get().partitionId() % SALTS
+        for i in range(0, n if used else 0, side):
+            for j in range(i, n, side):
+                yield block_row(i, j, salt, total[i : i + side, j : j + side], used)
+
+    def block_row(i: int, j: int, salt: int, block: np.ndarray, used: int) -> pa.RecordBatch:
+        columns = [pa.array([i], pa.int32()), pa.array([j], pa.int32()), pa.array([salt], pa.int32())]
+        columns += [pa.array([block.ravel()], pa.list_(pa.float64())), pa.array([used], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["i", "j", "salt", "block", "m"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...], np.ndarray, int]]:
+        """Sums over rows sorted by block and salt."""
+        at, block, used = None, None, 0
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("i", "j", "salt")))
+            for key, row, m in zip(keys, batch.column("block"), batch.column("m").to_pylist()):
+                if key != at:
+                    if at is not None:
+                        yield at, block, used
+                    at, block, used = key, 0.0, 0
+                block, used = block + row.values.to_numpy(), used + m
+        if at is not None:
+            yield at, block, used
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        counts: dict[int, int] = {}
-        for batch in batches:
-            for i, row, m in zip(batch.column("i").to_pylist(), batch.column("row"), batch.column("m").to_pylist()):
-                sums[i] = sums.get(i, 0.0) + row.values.to_numpy()
-                counts[i] = counts.get(i, 0) + m
-        for i, row in sums.items():
+        for (i, j, _), block, used in added(batches):
+            yield block_row(i, j, 0, block, used)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (i, j, _), block, used in added(batches):
+            rows, columns = np.arange(i, min(i + side, n)), np.arange(j, min(j + side, n))
+            a, b = np.repeat(rows, len(columns)), np.tile(columns, len(rows))
+            keep = a <= b
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n - i, i), pa.int32()),
-                    pa.array(np.arange(i, n), pa.int32()),
-                    pa.array(row / counts[i]),
-                ],
-                ["i", "j", "k"],
+                [pa.array(a[keep], pa.int32()), pa.array(b[keep], pa.int32()), pa.array(block[keep] / used)], ["i", "j", "k"]
             )
 
     ship_package(geno.sparkSession)
-    if max_partials is None:
-        cores = geno.sparkSession.sparkContext.defaultParallelism
-        max_partials = max(2 * cores, PARTIAL_BYTES // (4 * n * n))
-    partial = geno.select("dosage").coalesce(max_partials).mapInArrow(multiply, "i int, row array<double>, m long")
-    return partial.repartition("i").mapInArrow(add, "i int, j int, k double")
+    schema, key = "i int, j int, salt int, block array<double>, m long", ["i", "j", "salt"]
+    partial = geno.select("dosage").mapInArrow(multiply, schema)
+    first = partial.repartition(*key).sortWithinPartitions(*key).mapInArrow(add, schema)
+    return first.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(finish, "i int, j int, k double")
 
 
 def kinship_centered(geno: DataFrame, n_samples: int, **options) -> DataFrame:
@@ -101,11 +109,3 @@ def kinship_centered(geno: DataFrame, n_samples: int, **options) -> DataFrame:
 
 def kinship_standardized(geno: DataFrame, n_samples: int, **options) -> DataFrame:
     return kinship(geno, n_samples, standardize=True, **options)
-
-
-def full_matrix(upper: DataFrame) -> DataFrame:
-    """Both halves of a symmetric matrix stored as its upper triangle."""
-    mirrored = F.when(
-        F.col("i") == F.col("j"), F.array(F.struct("i", "j"))
-    ).otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
-    return upper.select(F.explode(mirrored).alias("at"), "k").select("at.i", "at.j", "k")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +12,8 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
-HOT_COUNT = 1_000
-HOT_CHUNK = 1_000_000
+#: Repeats of one value that one task makes at a time.
+CHUNK = 100_000
 
 
 def place_in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -25,27 +24,18 @@ def place_in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return cut_lineage(ordered).withColumn("_part", F.spark_partition_id())
 
 
-@dataclass
-class Totals:
-    """What the driver learns about a column: its sum and its largest value."""
-
-    total: int
-    largest: int
-
-
-def running_total(placed: DataFrame, value: str, out: str) -> tuple[DataFrame, Totals]:
-    """``(placed with out, totals)``: ``out`` is the sum of ``value`` (a long) over all rows
+def running_total(placed: DataFrame, value: str, out: str) -> tuple[DataFrame, int]:
+    """``(placed with out, grand total)``: ``out`` is the sum of ``value`` (a long) over all rows
     ordered before this one.
 
     One total per partition goes to the driver, and each task adds its own start to a carry:
     nothing is gathered in one task and no row moves.
     """
     df = placed.drop("_part")
-    per_part = placed.groupBy("_part").agg(F.sum(value).alias("total"), F.max(value).alias("largest")).collect()
+    per_part = placed.groupBy("_part").agg(F.sum(value).alias("total")).collect()
     starts, seen = {}, 0
     for row in sorted(per_part):
         starts[row["_part"]], seen = seen, seen + (row["total"] or 0)
-    largest = max((row["largest"] or 0 for row in per_part), default=0)
     shared = df.sparkSession.sparkContext.broadcast(starts)
     kept = df.columns
 
@@ -64,29 +54,20 @@ def running_total(placed: DataFrame, value: str, out: str) -> tuple[DataFrame, T
             yield pa.RecordBatch.from_arrays(columns, [*kept, out])
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
-    return placed.mapInArrow(carry, schema), Totals(seen, largest)
+    return placed.mapInArrow(carry, schema), seen
 
 
-def expand_counts(df: DataFrame, count: str, index: str, largest: int) -> DataFrame:
-    """Repeat each row ``count`` times with ``index`` = 0, 1, ...; ``largest`` is the largest count.
+def expand_counts(df: DataFrame, count: str, index: str) -> DataFrame:
+    """Repeat each row ``count`` times with ``index`` = 0, 1, ...
 
-    Rows with a large count, if any, are cut into chunks that are spread over the cluster
-    before they are repeated, so a value that fills a third of the data is not one task's work.
+    Counts are cut into chunks, one for most rows, which are spread over the cluster before they are
+    repeated: a value that fills a third of the data is not one task's work.
     """
-    ordinals = lambda low, high: F.explode(F.sequence(low, high - 1))
     n, zero = F.col(count), F.lit(0).cast("long")
-    if largest <= HOT_COUNT:
-        return df.withColumn(index, ordinals(zero, n))
-    cold = df.filter(n <= HOT_COUNT).withColumn(index, ordinals(zero, n))
-    chunk = F.lit(HOT_CHUNK).cast("long")
+    chunk = F.lit(CHUNK).cast("long")
     # A stated number of partitions: chunks are tiny until they are expanded, and adaptive
     # execution would otherwise merge them by size into one task.
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (
-        df.filter(n > HOT_COUNT)
-        .withColumn("_from", F.explode(F.sequence(zero, n - 1, chunk)))
-        .repartition(spread, *df.columns, "_from")
-        .withColumn(index, ordinals(F.col("_from"), F.least(F.col("_from") + chunk, n)))
-        .drop("_from")
-    )
-    return cold.unionByName(hot)
+    chunks = df.filter(n > 0).withColumn("_from", F.explode(F.sequence(zero, n - 1, chunk))).repartition(spread, *df.columns, "_from")
+    ordinals = F.sequence(F.col("_from"), F.least(F.col("_from") + chunk, n) - 1)
+    return chunks.withColumn(index, F.explode(ordinals)).drop("_from")

@@ -6,16 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import naming
-from ..session import cut_lineage, settle_if_small
 from .ordering import place_in_order, running_total
 
-MAX_LEVELS = 10_000
-
 
 def union_measurements(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames by column name."""
@@ -62,15 +58,21 @@ def _strict(column: str) -> Column:
 
 
 def contingency(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Counts per ``row`` value with one column per ``column`` value, 0 where none."""
+    """Counts per ``row`` value with one column per ``column`` value, 0 where none.
+
+    Column names must be known before a plan is, so without ``values`` the levels are fetched; for a
+    column with more levels than a table should have columns, use :func:`contingency_long`.
+    """
     if values is None:
-        found = levels(df, column).limit(MAX_LEVELS + 1).toArrow().column(0).to_pylist()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{column} has more than {MAX_LEVELS} values; pass the ones to count")
-        values = found
+        values = levels(df, column).toArrow().column(0).to_pylist()
     return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(str(v)) for v in values])
 
 
+def contingency_long(df: DataFrame, row: str, column: str) -> DataFrame:
+    """``row, column, n``: the counts above 0 of any number of levels, one row each."""
+    return df.filter(F.col(column).isNotNull()).groupBy(row, column).agg(F.count("*").alias("n"))
+
+
 def _hx(column: str, compact: str) -> Column:
     return F.try_divide(F.count_if(F.col(column) == compact).cast("double"), F.count(column))
 
@@ -149,12 +151,7 @@ def _boxes(placed: DataFrame) -> DataFrame:
     built-in exact percentile would hold such a group's values in one task.
     """
     ranked, _ = running_total(placed, "n", "before")
-    sizes, small = settle_if_small(placed.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("size")))
-    if small:
-        start = F.sum("size").over(W.orderBy(F.col("_g").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1))
-        sizes = F.broadcast(sizes.withColumn("start", F.coalesce(start, F.lit(0))))
-    else:
-        sizes = ranked.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("size"), F.min("before").alias("start"))
+    sizes = ranked.groupBy(F.col("g").alias("_g")).agg(F.sum("n").alias("size"), F.min("before").alias("start"))
     lo = F.col("before") - F.col("start")
     at = ranked.join(sizes, F.col("g").eqNullSafe(F.col("_g"))).select(
         "g", "v", "size", lo.alias("lo"), (lo + F.col("n")).alias("hi")
@@ -167,15 +164,13 @@ def _boxes(placed: DataFrame) -> DataFrame:
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         quartiles.append((low + (h - F.floor(h)) * (high - low)).alias(name))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    boxes = (
+    return (
         at.groupBy("g", "size")
         .agg(*picks)
         .select(F.col("g").alias("_g"), "size", *quartiles)
         .withColumn("fence_low", F.col("q1") - reach)
         .withColumn("fence_high", F.col("q3") + reach)
     )
-    settled, small = settle_if_small(boxes)
-    return F.broadcast(settled) if small else cut_lineage(boxes)
 
 
 def boxplot_stats(df: DataFrame, group: str, variable: str) -> DataFrame:
@@ -196,11 +191,11 @@ def boxplot_stats(df: DataFrame, group: str, variable: str) -> DataFrame:
 
 
 def boxplot_outliers(df: DataFrame, group: str, variable: str) -> DataFrame:
-    """The rows of ``df`` beyond the whiskers."""
+    """The rows of ``df`` beyond the whiskers; null and NaN values are no outliers."""
     fences = _boxes(_value_counts(df, group, variable)).select("_g", "fence_low", "fence_high")
     value = F.col(variable)
     return (
         df.join(fences, df[group].eqNullSafe(F.col("_g")))
-        .filter((value < F.col("fence_low")) | (value > F.col("fence_high")))
+        .filter(~F.isnan(value.cast("double")) & ((value < F.col("fence_low")) | (value > F.col("fence_high"))))
         .select(*df.columns)
     )

@@ -16,11 +16,16 @@ def run_summary(
     n_tested: int,
     seconds: float,
     parameters: dict[str, str] | None = None,
+    trait: str = "y",
+    covariates: str | None = None,
 ) -> DataFrame:
-    """One row per run: label, parameters, marker counts, wall time and the null-model numbers."""
+    """One row per run: label, trait, covariate name (null: none), parameters, marker counts, wall time
+    and the null-model numbers. Stored rows of two runs can be compared by their trait."""
     row = model.summary(spark)
     return row.select(
         F.lit(run_id).alias("run_id"),
+        F.lit(trait).alias("trait"),
+        F.lit(covariates).cast("string").alias("covariates"),
         F.create_map(*[F.lit(x) for kv in (parameters or {}).items() for x in map(str, kv)])
         .cast("map<string,string>")
         .alias("parameters"),
@@ -40,6 +45,11 @@ def pve_delta(without: Column, with_covariate: Column) -> Column:
     return without - with_covariate
 
 
+def compare_stored_runs(runs: DataFrame) -> DataFrame:
+    """:func:`compare_runs` of stored summaries: rows without covariates against rows with some."""
+    return compare_runs(runs.filter(F.col("covariates").isNull()), runs.filter(F.col("covariates").isNotNull()))
+
+
 def compare_runs(without: DataFrame, with_covariate: DataFrame, on: str = "trait") -> DataFrame:
     """Runs without and with covariates, matched one to one: ``pve_0, pve_c, pve_delta, beta_c``."""
     a = without.select(on, F.col("pve").alias("pve_0"))

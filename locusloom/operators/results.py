@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import naming
-from ..session import broadcast_if_small, require_columns, settle_if_small
+from ..session import require_columns
 from .ordering import expand_counts, place_in_order, running_total
 
 # The two reference lines of a genome-position plot, as p-values.
@@ -109,7 +109,7 @@ def highlight(clean: DataFrame, snps: Sequence[str] | DataFrame) -> DataFrame:
     """Flag the listed SNP names: a short list in place, a table of names by a join."""
     if isinstance(snps, DataFrame):
         listed = snps.select(F.col(snps.columns[0]).alias("SNP")).distinct().withColumn("_listed", F.lit(True))
-        joined = clean.join(broadcast_if_small(listed), "SNP", "left")
+        joined = clean.join(listed, "SNP", "left")
         return joined.select(*clean.columns, F.coalesce("_listed", F.lit(False)).alias("highlight"))
     return clean.withColumn("highlight", F.coalesce(F.col("SNP").isin(*snps), F.lit(False)))
 
@@ -222,11 +222,10 @@ def qq_points(clean: DataFrame) -> DataFrame:
     partitioned, ranks follow from one start per partition, and counts are expanded again.
     """
     counted = clean.filter((F.col("P") > 0) & (F.col("P") < 1)).groupBy("P").agg(F.count("*").alias("copies"))
-    ranked, totals = running_total(place_in_order(counted, ["P"]), "copies", "before")
-    n = totals.total
+    ranked, n = running_total(place_in_order(counted, ["P"]), "copies", "before")
     shift = 0.375 if n <= 10 else 0.5
     return (
-        expand_counts(ranked, "copies", "copy", totals.largest)
+        expand_counts(ranked, "copies", "copy")
         .select("P", (F.col("before") + F.col("copy") + 1).alias("rank"))
         .select(
             "rank",
@@ -237,24 +236,18 @@ def qq_points(clean: DataFrame) -> DataFrame:
     )
 
 
-def chromosome_layout(clean: DataFrame) -> tuple[DataFrame, bool]:
+def chromosome_layout(clean: DataFrame) -> DataFrame:
     """``CHR, min_bp, max_bp, n_snps, offset, tick``: where each chromosome starts on a common
-    axis (the largest positions of the chromosomes before it, summed) and its label centre.
-    The flag tells whether the table was proven small."""
-    table, small = settle_if_small(
-        clean.groupBy("CHR").agg(F.min("BP").alias("min_bp"), F.max("BP").alias("max_bp"), F.count("*").alias("n_snps"))
-    )
-    if small:
-        before = W.orderBy("CHR").rowsBetween(W.unboundedPreceding, -1)
-        placed = table.withColumn("offset", F.coalesce(F.sum("max_bp").over(before), F.lit(0)).cast("long"))
-    else:
-        placed, _ = running_total(place_in_order(table, ["CHR"]), "max_bp", "offset")
-    tick = F.col("offset") + (F.col("min_bp") + F.col("max_bp")) / 2.0
-    return placed.withColumn("tick", tick), small
+    axis (the largest positions of the chromosomes before it, summed) and its label centre. The
+    ordered sum runs over one aggregated row per chromosome."""
+    table = clean.groupBy("CHR").agg(F.min("BP").alias("min_bp"), F.max("BP").alias("max_bp"), F.count("*").alias("n_snps"))
+    before = W.orderBy("CHR").rowsBetween(W.unboundedPreceding, -1)
+    placed = table.withColumn("offset", F.coalesce(F.sum("max_bp").over(before), F.lit(0)).cast("long"))
+    return placed.withColumn("tick", F.col("offset") + (F.col("min_bp") + F.col("max_bp")) / 2.0)
 
 
 def manhattan_ticks(clean: DataFrame) -> DataFrame:
-    return chromosome_layout(clean)[0]
+    return chromosome_layout(clean)
 
 
 def manhattan_layout(
@@ -262,7 +255,7 @@ def manhattan_layout(
 ) -> DataFrame:
     """Add ``x`` (position on the common axis), ``y`` (-log10 P), ``threshold_y``, ``above``
     (P below the threshold) and ``highlight``."""
-    table, small = chromosome_layout(clean)
+    table = chromosome_layout(clean)
     offsets = table.select("CHR", "offset")
     if is_bonferroni(threshold):
         # The layout has counted the rows already.
@@ -272,7 +265,7 @@ def manhattan_layout(
     listed = isinstance(highlighted, DataFrame) or len(highlighted) > 0
     flagged = highlight(clean, highlighted) if listed else clean.withColumn("highlight", F.lit(False))
     return (
-        flagged.join(F.broadcast(offsets) if small else offsets, "CHR")
+        flagged.join(offsets, "CHR")
         .withColumn("x", F.col("BP") + F.col("offset"))
         .withColumn("y", naming.neg_log(F.col("P")))
         .withColumn("threshold_y", naming.neg_log(limit))

@@ -35,14 +35,15 @@ def align_phenotypes(samples: DataFrame, pheno: DataFrame) -> DataFrame:
 
 def paste_phenotype(fam: DataFrame, pheno: DataFrame, trait: str) -> DataFrame:
     """Replace the placeholder sixth column of the sample table by a trait, matched on the
-    explicit ordinal."""
+    explicit ordinal. A sample without a row in ``pheno`` keeps its line, with a null phenotype."""
     return fam.drop("phenotype").join(
-        pheno.select("sample_idx", F.col(trait).alias("phenotype")), "sample_idx"
+        pheno.select("sample_idx", F.col(trait).alias("phenotype")), "sample_idx", "left"
     )
 
 
 def check_counts(samples: DataFrame, pheno: DataFrame, key: str = "sample_idx") -> DataFrame:
-    """One row: ``n_samples, n_phenotypes, only_samples, only_phenotypes, ok``."""
+    """One row: ``n_samples, n_phenotypes, only_samples, only_phenotypes, same_count, ok``; ok asks for the
+    same keys on both sides, same_count for equal numbers only."""
     marks = samples.select(key, F.lit(1).alias("s"), F.lit(0).alias("p")).unionByName(
         pheno.select(key, F.lit(0).alias("s"), F.lit(1).alias("p"))
     )
@@ -52,7 +53,9 @@ def check_counts(samples: DataFrame, pheno: DataFrame, key: str = "sample_idx")
         F.coalesce(F.sum("p"), F.lit(0)).alias("n_phenotypes"),
         F.count_if(F.col("p") == 0).alias("only_samples"),
         F.count_if(F.col("s") == 0).alias("only_phenotypes"),
-    ).withColumn("ok", F.col("n_samples") == F.col("n_phenotypes"))
+    ).withColumn("same_count", F.col("n_samples") == F.col("n_phenotypes")).withColumn(
+        "ok", F.col("same_count") & (F.col("only_samples") == 0) & (F.col("only_phenotypes") == 0)
+    )
 
 
 def check_covariates(covar: DataFrame, pheno: DataFrame) -> DataFrame:

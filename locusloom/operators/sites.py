@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions import naming
-from ..session import broadcast_if_small
 
 # ---------------------------------------------------------------- layout
 
@@ -81,12 +80,28 @@ def subset_samples(sites: DataFrame, ordinals: Sequence[int], array: str = "call
     see the kept samples only. Row-local: no join."""
     source = F.col(array)
     picked = F.transform(F.array(*[F.lit(int(i)) for i in ordinals]), lambda i: F.get(source, i))
-    return sites.withColumn(array, picked)
+    return G.compute_once(sites, array, picked)
 
 
 def subset_samples_long(calls: DataFrame, kept: DataFrame) -> DataFrame:
-    """Long layout: semi join with the kept ordinals. The list is broadcast after a size check."""
-    return calls.join(broadcast_if_small(kept.select("sample_idx")), "sample_idx", "left_semi")
+    """Long layout: semi join with the kept ordinals."""
+    return calls.join(kept.select("sample_idx"), "sample_idx", "left_semi")
+
+
+def subset_by_id(sites: DataFrame, samples: DataFrame, keep: DataFrame, array: str = "calls") -> tuple[DataFrame, DataFrame]:
+    """``(sites, samples)`` of the ids listed in ``keep(position, sample_id)``, in list order.
+
+    The kept samples are renumbered from 0 and the new ``samples(sample_idx, sample_id)`` comes back
+    with the calls, so ordinals of calls and phenotypes cannot disagree. An unknown or repeated id
+    fails by name. Both lists have a row per sample of the study, as wide as one row of ``sites``.
+    """
+    wanted = [r["sample_id"] for r in keep.select("position", "sample_id").orderBy("position").collect()]
+    place = {r["sample_id"]: r["sample_idx"] for r in samples.select("sample_id", "sample_idx").collect()}
+    unknown = [i for i in wanted if i not in place]
+    if unknown or len(set(wanted)) < len(wanted):
+        raise ValueError(f"unknown sample ids {unknown}" if unknown else "a sample id is listed twice")
+    order = samples.sparkSession.createDataFrame(list(enumerate(wanted)), "sample_idx int, sample_id string")
+    return subset_samples(sites, [place[i] for i in wanted], array), order
 
 
 def keep_chromosomes(sites: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -153,7 +168,7 @@ def site_stats(sites: DataFrame) -> DataFrame:
     """Add ``ac, an, af, n_called, n_miss`` from the calls or dosages of each row; ``af`` is
     null when nothing is called."""
     s = F.col("_s")
-    return sites.withColumn("_s", _counts(sites)).select(
+    return G.compute_once(sites, "_s", _counts(sites)).select(
         *sites.columns,
         s["ac"].cast("long").alias("ac"),
         (2 * s["n_called"]).alias("an"),
@@ -330,26 +345,38 @@ def singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:
 
 
 def exclude_positions(sites: DataFrame, positions: DataFrame) -> DataFrame:
-    """Remove every site at a listed (chrom, pos). The list is broadcast only when a size
-    check allows it; otherwise both sides are shuffled on the two columns."""
-    # The size is checked before duplicates are removed: a long list is recognised from its
-    # first partitions, without computing all of it.
-    listed = broadcast_if_small(positions.select("chrom", "pos"))
-    return sites.join(listed, ["chrom", "pos"], "left_anti")
+    """Remove every site at a listed (chrom, pos). A plain anti join: adaptive execution broadcasts the
+    list when its measured bytes allow it."""
+    return sites.join(positions.select("chrom", "pos"), ["chrom", "pos"], "left_anti")
 
 
-def drop_singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:
-    """``exclude_positions(sites, singletons(sites))`` without shuffling the calls.
+def mark_singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:
+    """Add ``has_singleton``, decided from the row's own calls."""
+    return G.compute_once(sites, "has_singleton", F.size(_hits(include_doubletons)) > 0)
 
-    A site that holds a singleton itself is dropped by an expression on its own row. Only a
-    *different* record at the same position needs a join, so just the positions and one flag
-    are aggregated, and the list to exclude shrinks to positions with several records.
-    """
-    rare = F.size(_hits(include_doubletons)) > 0
-    shared = (
-        sites.select("chrom", "pos", rare.alias("hit"))
+
+def shared_positions(marked: DataFrame) -> DataFrame:
+    """``chrom, pos`` of the positions with several records of which one is marked."""
+    return (
+        marked.select("chrom", "pos", "has_singleton")
         .groupBy("chrom", "pos")
-        .agg(F.count("*").alias("records"), F.max("hit").alias("hit"))
+        .agg(F.count("*").alias("records"), F.max("has_singleton").alias("hit"))
         .filter((F.col("records") > 1) & F.col("hit"))
+        .select("chrom", "pos")
     )
-    return exclude_positions(sites.filter(~rare), shared)
+
+
+def drop_marked(marked: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+    """Remove marked sites and every other record at the position of one; the mark goes too.
+
+    A marked site is dropped by its own row. Only a *different* record at the same position needs
+    a join, with the positions that several records share (``shared``, if they are at hand).
+    """
+    shared = shared_positions(marked) if shared is None else shared
+    return exclude_positions(marked.filter(~F.col("has_singleton")).drop("has_singleton"), shared)
+
+
+def drop_singletons(sites: DataFrame, include_doubletons: bool = True) -> DataFrame:
+    """``exclude_positions(sites, singletons(sites))`` without shuffling the calls. Both passes decide
+    on the calls; store :func:`mark_singletons` and give it to :func:`drop_marked` to decide once."""
+    return drop_marked(mark_singletons(sites, include_doubletons))

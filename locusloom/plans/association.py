@@ -72,6 +72,7 @@ def association_run(
     summary = run_summary(
         geno.sparkSession, model, run_id, seen.get["markers"], assoc.count(), time.monotonic() - started,
         {"trait": trait, "test": test, "maf": maf, "max_missing": max_missing, "kinship_maf": kinship_maf},
+        trait, None if covar is None else run_id,
     )
     return Run(run_id, kin, model, assoc, R.clean_assoc(assoc, "p_lrt", stat), summary)
 

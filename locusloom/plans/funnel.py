@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 
 from ..functions.genotype import LENIENT
 from ..operators import sites as S
-from ..session import cut_lineage
+from ..session import scratch_path
+
+
+def store_sites(sites: DataFrame) -> DataFrame:
+    """``sites`` written once to the shared folder: later passes read the columns they need."""
+    path = scratch_path(sites.sparkSession, "sites")
+    sites.write.parquet(path)
+    return sites.sparkSession.read.schema(sites.schema).parquet(path)
 
 
 def quality_funnel(
@@ -26,7 +33,8 @@ def quality_funnel(
 
     The conditions that need only a site's own columns come first so the scan applies them
     before any array is touched; dropping them earlier changes no result. Every step is a
-    narrow expression; only the singleton step stores its input and aggregates positions.
+    narrow expression; only the singleton step stores its input, with one mark for each site, and
+    aggregates positions from it.
     """
     df = sites
     if chromosomes is not None:
@@ -38,7 +46,8 @@ def quality_funnel(
     if max_missing is not None:
         df = S.max_missing_count(df, max_missing)
     if not singletons:
-        # Two passes follow; what is left by now is far smaller than the calls it came from.
-        df = S.drop_singletons(cut_lineage(df))
-    df = S.default_variant_id(df)
-    return df if strip_prefix is None else S.strip_chrom_prefix(df, strip_prefix)
+        marked = store_sites(S.mark_singletons(df))
+        # A stored list has a known size, by which the join is planned before any calls move.
+        df = S.drop_marked(marked, store_sites(S.shared_positions(marked)))
+    # Names are made from the chromosome as it is called afterwards.
+    return S.default_variant_id(df if strip_prefix is None else S.strip_chrom_prefix(df, strip_prefix))

@@ -1,4 +1,4 @@
-"""Session settings, lineage cuts and size-checked broadcasts."""
+"""Session settings, the shared folder and lineage cuts."""
 
 from __future__ import annotations
 
@@ -10,11 +10,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
-
 
 def local_session(cores: int | str = "*", app: str = "locusloom", **conf: str) -> SparkSession:
-    """A session for tests and benches; a cluster brings its own."""
+    """A session for tests and benches on this machine, with a folder of its own for what it stores;
+    a cluster brings its own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -24,6 +23,7 @@ def local_session(cores: int | str = "*", app: str = "locusloom", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="locusloom-"))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -35,16 +35,12 @@ def local_session(cores: int | str = "*", app: str = "locusloom", **conf: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master gets a temporary folder when the setting is absent: on a
-    cluster such a folder would be lost together with the machine that holds it.
+    Where that is unset the warehouse takes its place: it is shared by the same definition, on a
+    cluster and on one machine alike.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="locusloom-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/locusloom-scratch"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -65,25 +61,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """``(local copy, True)`` if ``df`` is proven to stay within ``max_rows``, else ``(df, False)``.
-
-    Meant for narrow tables. Rows are taken partition by partition, so a large table is given
-    up on as soon as the limit is passed, and no more than ``max_rows + 1`` rows reach the driver.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(rows, df.schema, verifySchema=False), True
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Mark ``df`` for broadcast after checking its size; beyond the limit it is returned
-    unmarked and the join runs as a shuffled one, with adaptive skew splitting."""
-    settled, small = settle_if_small(df, max_rows)
-    return F.broadcast(settled) if small else settled
-
-
 def try_cast(col: Column | str, kind: str) -> Column:
     """Cast that yields null for unparsable text in every ANSI mode."""
     return (F.col(col) if isinstance(col, str) else col).try_cast(kind)

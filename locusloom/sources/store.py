@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,10 +56,11 @@ def fingerprint(spark: SparkSession, inputs: Sequence[str], parameters: Mapping[
 
 
 def _finished(spark: SparkSession, path: str) -> bool:
-    """True when a previous job committed the folder; a half-written one has no marker file."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    """True when a previous job wrote the table and then its mark; a lost job leaves no mark."""
+    try:
+        return spark.read.parquet(f"{path}/mark").count() == 1
+    except AnalysisException:
+        return False
 
 
 def reuse_or_compute(
@@ -71,5 +73,6 @@ def reuse_or_compute(
     """
     path = f"{folder.rstrip('/')}/{key}"
     if not _finished(spark, path):
-        builder().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        builder().write.mode("overwrite").parquet(f"{path}/data")
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/mark")
+    return spark.read.parquet(f"{path}/data")

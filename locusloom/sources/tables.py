@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +15,23 @@ from ..operators.samples import MISSING_PHENOTYPE
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``sample_idx, value``: the lines of one headerless file with their number from 0. Several
     files have no order among them, so they are refused."""
-    lines = spark.read.text(path)
+    # Only a line feed ends a line: carriage returns stay visible to the checks.
+    lines = spark.read.option("lineSep", "\n").text(path)
     if len(lines.inputFiles()) > 1:
         raise ValueError(f"{path}: lines are numbered within one file only")
-    numbered = lines.rdd.zipWithIndex().map(lambda pair: (pair[1], pair[0].value))
-    return spark.createDataFrame(numbered, "sample_idx int, value string")
+    # Ids rise within a partition from its number times 2^33; earlier partitions are counted once.
+    placed = lines.select("value", F.monotonically_increasing_id().alias("id")).withColumn("part", F.shiftright("id", 33))
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("part", before.alias("start"))  # a row for each split of one file
+    within = F.col("id") - F.shiftleft("part", 33)
+    return placed.join(starts, "part").select((F.col("start") + within).cast("int").alias("sample_idx"), "value")
+
+
+def read_keep_list(spark: SparkSession, path: str) -> DataFrame:
+    """``position, sample_id``: one sample id per line, in list order; blank lines are left out."""
+    lines = numbered_lines(spark, path).select(F.col("sample_idx").alias("position"), F.trim(F.regexp_replace("value", "\r$", "")).alias("sample_id"))
+    return lines.filter("sample_id <> ''")
 
 
 def read_phenotypes(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:

@@ -85,3 +85,14 @@ def test_union_is_by_name(spark):
     assert sorted(map(tuple, P.union_measurements([a, b]).collect())) == [(1, "x"), (2, "y")]
     assert P.reorder_columns(a, ["s"]).columns == ["s", "n"]
     assert P.levels(a.withColumn("s", F.lit(None).cast("string")), "s").count() == 0
+
+
+def test_nan_is_no_outlier(spark):
+    df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 3.0, 100.0, float("nan"))] + [("a", None)], "g string, v double")
+    assert [r.v for r in P.boxplot_outliers(df, "g", "v").collect()] == [100.0]
+    assert P.boxplot_stats(df, "g", "v").first().n_outliers == 1
+
+
+def test_counts_of_any_number_of_levels(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("b", None)], "g string, t string")
+    assert sorted(tuple(r) for r in P.contingency_long(df, "g", "t").collect()) == [("a", "x", 2), ("b", "y", 1)]

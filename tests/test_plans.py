@@ -7,6 +7,7 @@ from locusloom.operators import samples as SA
 from locusloom.operators.report import append_summary
 from locusloom.plans import analysis, association, phenotyping
 from locusloom.plans.funnel import quality_funnel
+from locusloom.plans.study import study_inputs
 from locusloom.session import scratch_path
 from locusloom.sources import tables
 from locusloom.streaming.clean import clean_as_they_arrive, stream_assoc
@@ -80,3 +81,28 @@ def test_result_file_round_trip_through_the_reader(spark, sf):
 def test_unknown_test_is_refused(spark, sf, bad):
     with pytest.raises(ValueError):
         association.L.lmm_scan(fx.geno(spark, sf), None, bad)
+
+
+def test_funnel_names_after_the_prefix_is_gone(spark):
+    calls = "array(named_struct('gt','0/1','dp',9,'gq',40), named_struct('gt','0/1','dp',9,'gq',40), named_struct('gt','0/0','dp',9,'gq',40))"
+    sites = spark.sql(f"SELECT 'Chr4' AS chrom, 10420088 AS pos, '.' AS id, 'A' AS ref, array('C') AS alts, {calls} AS calls")
+    assert [tuple(r) for r in quality_funnel(sites).select("chrom", "id").collect()] == [("4", "4:10420088")]
+
+
+@pytest.mark.parametrize(
+    ("heights", "covar", "match"),
+    [
+        ("1\n2\n", None, "n_phenotypes': 2"), ("1\n\n3\n", None, "n_empty': 1"), ("1\r\n2\n3\n", None, "n_carriage_return': 1"),
+        ("1\n2\ntall\n", None, "n_not_numeric': 1"), ("1\n2\n3\n", "1\t0\n2\t0\n1\t1\n", "intercept_ok': False"),
+        ("1\n2\n3\n", "1\t0\n1\t1\n", "n_covariate_rows': 2"),
+    ],
+)
+def test_study_refuses_bad_files(spark, tmp_path, heights, covar, match):
+    head = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "a", "b", "c"])
+    files = {"calls.vcf": f"##fileformat=VCFv4.2\n{head}\n", "height.tsv": heights, "covar.txt": covar}
+    for name, text in files.items():
+        if text is not None:
+            (tmp_path / name).write_bytes(text.encode())
+    path = lambda name: str(tmp_path / name) if files[name] is not None else None
+    with pytest.raises(ValueError, match=match):
+        study_inputs(spark, path("height.tsv"), path("calls.vcf"), str(tmp_path / "out"), covariate_path=path("covar.txt"))

@@ -15,7 +15,7 @@ def test_phenotypes_take_sample_order(spark, samples):
     aligned = SA.sample_order(SA.align_phenotypes(samples, pheno)).collect()
     assert [tuple(r) for r in aligned] == [(0, "1001", 12.3), (1, "1002", None), (2, "1003", 15.3)]
     check = SA.check_counts(samples, pheno, "sample_id").first()
-    assert (check.n_samples, check.n_phenotypes, check.only_samples, check.only_phenotypes, check.ok) == (3, 3, 1, 1, True)
+    assert (check.n_samples, check.n_phenotypes, check.only_samples, check.only_phenotypes, check.same_count, check.ok) == (3, 3, 1, 1, True, False)
     with pytest.raises(ValueError, match="check failed"):
         SA.require_ok(SA.check_counts(samples, pheno.limit(1), "sample_id"))
 
@@ -30,6 +30,8 @@ def test_fam_gets_the_trait_by_ordinal_not_row_order(spark, samples):
     pheno = spark.createDataFrame([(2, 15.3), (0, 12.3), (1, 13.4)], "sample_idx int, y double")
     got = {r.sample_id: r.phenotype for r in SA.paste_phenotype(fam, pheno, "y").collect()}
     assert got == {"1001": 12.3, "1002": 13.4, "1003": 15.3}
+    got = {r.sample_id: r.phenotype for r in SA.paste_phenotype(fam, pheno.filter("sample_idx <> 1"), "y").collect()}
+    assert got == {"1001": 12.3, "1002": None, "1003": 15.3}
 
 
 def test_covariate_checks(spark, samples):

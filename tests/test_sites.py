@@ -151,3 +151,22 @@ def test_funnel_moves_no_calls(spark, sf):
     assert "Exchange" not in plan
     plan = quality_funnel(stored, chromosomes=["Chr1"], max_missing=5)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_calls_are_decoded_once(spark, sf):
+    sites = fx.called_sites(spark, sf)
+    for df in (S.site_stats(sites).filter("n_miss < 3"), S.min_ac(S.subset_samples(sites, [1, 0, 5]))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("transform(calls") <= 2, plan
+
+
+def test_subset_by_id_keeps_list_order(spark):
+    sites = spark.createDataFrame([(1, ["0/0", "0/1", "1/1"])], "variant_id int, calls array<string>")
+    samples = spark.createDataFrame([(0, "x"), (1, "y"), (2, "z")], "sample_idx int, sample_id string")
+    keep = lambda *ids: spark.createDataFrame(list(enumerate(ids)), "position int, sample_id string")
+    kept, order = S.subset_by_id(sites, samples, keep("z", "x"))
+    assert kept.first().calls == ["1/1", "0/0"]
+    assert sorted(tuple(r) for r in order.collect()) == [(0, "z"), (1, "x")]
+    for ids, match in ((("z", "w"), "w"), (("x", "x"), "twice")):
+        with pytest.raises(ValueError, match=match):
+            S.subset_by_id(sites, samples, keep(*ids))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusloom.operators import results as R
-from locusloom.session import broadcast_if_small, scratch_path, settle_if_small
+from locusloom.session import scratch_path
 from locusloom.sources import sinks, store, tables, vcf
 
 VCF = """##fileformat=VCFv4.2
@@ -154,15 +154,30 @@ def test_reuse_follows_inputs_not_names(spark, folder):
     assert len(built) == 2
     folder("in.tsv", "22\n")
     assert [r.value for r in run({"maf": 0.05})] == ["22"] and len(built) == 3
-    marker = f"{target}/{built[-1]}/_SUCCESS".removeprefix("file:")
-    os.remove(marker)  # as a lost job would leave it
+    marker = f"{target}/{built[-1]}/mark".removeprefix("file:")
+    os.rename(marker, f"{marker}-lost")  # as a lost job would leave it
     run({"maf": 0.05})
     assert len(built) == 4
 
 
-def test_broadcast_only_after_a_size_check(spark):
-    small, big = spark.range(10), spark.range(1000)
-    assert settle_if_small(small, 10)[1] and not settle_if_small(big, 10)[1]
-    plan = big.join(broadcast_if_small(big, 10), "id")._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in plan
-    assert sorted(r.id for r in settle_if_small(small, 10)[0].collect()) == list(range(10))
+def test_no_job_while_a_plan_is_built(spark):
+    """Row-wise operators work on a stream, which could not be collected."""
+    from locusloom.operators import results, sites
+
+    stream = spark.readStream.format("rate").load().selectExpr("'1' AS chrom", "value AS pos", "'a' AS SNP")
+    assert results.highlight(stream, spark.createDataFrame([("a",)], "SNP string")).isStreaming
+    assert sites.exclude_positions(stream, spark.createDataFrame([("1", 2)], "chrom string, pos long")).isStreaming
+
+
+def test_keep_list_and_numbers(spark, folder):
+    path = folder("keep.txt", "b\r\n\na\n")
+    assert sorted(tuple(r) for r in tables.read_keep_list(spark, path).collect()) == [(0, "b"), (2, "a")]
+    long = folder("long.txt", "".join(f"line {i}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = tables.numbered_lines(spark, long)
+        assert got.count() == 20_000 and got.filter("value <> concat('line ', sample_idx)").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
