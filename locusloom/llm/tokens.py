@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +25,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 END_OF_WORD = "</w>"
 #: Words whose ids a worker keeps; when full it starts anew.
-MEMO = 400_000
+MEMO = 600_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -86,16 +87,18 @@ class WordBpe:
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
-        if self.special.search(text):
+        if "<" in text and self.special.search(text):
             ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
-            if not text.isascii():
-                text = unicodedata.normalize("NFC", text)
-                text = "".join(c.lower() for c in text)
-            else:
+            if text.isascii():
                 text = text.lower()
-            ids = [i for part in self.parts(text) for i in self.merge(part.encode() + self.MARK)]
-        return np.array(ids, dtype="<u4").tobytes()
+            else:
+                text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
+            if text.isalpha() and text.isascii():  # one part, as most chunks are
+                ids = self.merge(text.encode() + self.MARK)
+            else:
+                ids = [i for part in self.parts(text) for i in self.merge(part.encode() + self.MARK)]
+        return array("I", ids).tobytes()
 
     def encode(self, text: bytes) -> np.ndarray:
         memo = self.memo
