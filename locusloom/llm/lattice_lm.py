@@ -189,6 +189,19 @@ def re_estimate(words: DataFrame, shared: Broadcast, end_count: float) -> Lattic
     return Lattice.of({p: math.log(w) - total for p, w in weights.items()}, [math.log(w) - total for w in spell], math.log(end_count + 1) - total)
 
 
+def frequent_words(words: DataFrame, most: int = FREQUENT) -> DataFrame:
+    """The rows of ``words(n, ...)`` above a count that at most ``most`` of them pass. The count is found on
+    a logarithmic scale of at most 512 steps, so no task ever orders or gathers the words."""
+    step = F.floor(F.log2(F.col("n") + 1) * 8)
+    room, least = most, None
+    for r in sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["step"]
+    return words.filter(step >= least) if least is not None else words.filter(F.lit(False))
+
+
 def _marginals(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice: Lattice = shared.value
@@ -250,7 +263,7 @@ def score_documents(docs: DataFrame, path: str | None = None, rounds: int = ROUN
     for _ in range(rounds):
         lattice = spark.sparkContext.broadcast(re_estimate(words, lattice, ends))
     scored = store(words.mapInArrow(_marginals(lattice), "word binary, n long, lattice double"), "scored")
-    top = scored.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toArrow()  # a bounded number of rows
+    top = frequent_words(scored).toArrow()
     counts = np.array(top.column("n").to_numpy(), dtype=np.int64)
     place = {w: k for k, w in enumerate(top.column("word").to_pylist())}
     frequent = spark.sparkContext.broadcast((place, counts > 0, np.log10((counts + 1) / (tokens + kinds + 1)), np.array(top.column("lattice").to_numpy())))

@@ -241,6 +241,22 @@ def test_base_scores(odd, none, pairs):
     assert lattice_lm.score_documents(none).count() == 0
 
 
+def test_frequent_words_stay_within_the_bound(spark):
+    words = spark.createDataFrame([(f"w{k}", 1000 // (k + 1)) for k in range(300)], "word string, n long")
+    for most in (0, 1, 7, 100, 300, 1000):
+        got = lattice_lm.frequent_words(words, most).collect()
+        assert len(got) <= most
+        assert not got or min(r["n"] for r in got) > max([w["n"] for w in words.collect() if w not in got], default=-1)
+    assert lattice_lm.frequent_words(words, 300).count() == 300
+
+
+def test_scores_do_not_depend_on_the_bound(odd, monkeypatch):
+    score = lambda: sorted((r["doc_id"] or 0, r["n_known"], round(r["base_score"], 8), round(r["score"], 8)) for r in lattice_lm.score_documents(odd).collect())
+    whole = score()
+    monkeypatch.setattr(lattice_lm.frequent_words, "__defaults__", (3,))
+    assert score() == whole
+
+
 def test_lattice_adds_all_segmentations():
     lattice = lattice_lm.Lattice.of({"▁": -1.0, "▁a": -2.0, "a": -1.5, "ab": -2.5, "b": -3.0, "▁ab": -4.0}, [-6.0] * 256, -1.0)
 
