@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.genotype import bind
+from ..functions.genotype import bind, compute_once
 from ..session import require_columns
-from .common import fresh
+from .common import fresh, store
 
 #: The patterns of the three base kinds, in the order they are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -115,30 +115,35 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
 
 
+def live_spans(docs: DataFrame, repository: str, owner: str, max_owners: int, max_repositories: int) -> DataFrame:
+    """``(key, spans)`` of the rows with values that look live: those spans, base ones and others."""
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), docs[repository].alias("repository"), docs[owner].alias("owner"), text.alias("text"))
+    some = F.col("text").rlike(TOKEN) | F.col("text").rlike(ASSIGN)  # the other kinds are tokens as well
+    key = row_key(F.col("doc_id"), F.col("text")).alias("key")
+    found = rows.filter(some).select(key, "repository", "owner", F.explode(candidates(F.col("text"))).alias("t"))
+    # Stored: narrow, and the texts are searched once for the counts and for the places.
+    found = store(found.select("key", "repository", "owner", value_hash(F.col("t")).alias("hash"), bare(F.col("t")).alias("span")), "candidates")
+    few = ownership(found.select("hash", "owner", "repository")).filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
+    return found.join(few.select("hash"), "hash", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+
+
 def scan_secrets(
     docs: DataFrame, repository: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, key, base (spans of the base kinds, sorted), live (those whose
+    """One row per row of ``docs``: doc_id, base (spans of the base kinds, sorted), live (those whose
     value looks live) and added (other candidate spans that look live); spans are (start, number, end, kind).
 
     A null or empty text has no spans. Live spans are joined back by a hash of the row's id and text,
     so null ids and repeated rows are right (equal rows have equal spans). Only these columns are read.
     """
     require_columns(docs, "doc_id", "text", repository, owner)
-    rows = docs.select(
-        docs["doc_id"].alias("doc_id"), docs[repository].alias("repository"), docs[owner].alias("owner"),
-        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
-    )
-    key = row_key(F.col("doc_id"), F.col("text"))
-    some = F.col("text").rlike(TOKEN) | F.col("text").rlike(ASSIGN)  # the other kinds are tokens as well
-    found = rows.filter(some).select(key.alias("key"), "repository", "owner", F.explode(candidates(F.col("text"))).alias("t"))
-    found = found.select("key", "repository", "owner", value_hash(F.col("t")).alias("hash"), bare(F.col("t")).alias("span"))
-    few = ownership(found.select("hash", "owner", "repository")).filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories))
-    live = found.join(few.select("hash"), "hash", "left_semi").groupBy("key").agg(F.array_sort(F.collect_set("span")).alias("spans"))
-    base = rows.select(key.alias("key"), "doc_id", F.transform(F.array_sort(base_spans(F.col("text"))), bare).alias("base"))
+    live = live_spans(docs, repository, owner, max_owners, max_repositories)
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    base = docs.select(row_key(docs["doc_id"], text).alias("key"), docs["doc_id"].alias("doc_id"), F.transform(F.array_sort(base_spans(text)), bare).alias("base"))
     spans = F.coalesce("spans", F.array().cast(f"array<struct<{_SPAN}>>"))
     of = lambda added: F.filter(spans, lambda s: (s["kind"] == "owned") == F.lit(added))
-    return base.join(live, "key", "left").select("doc_id", "key", "base", of(False).alias("live"), of(True).alias("added"))
+    return base.join(live, "key", "left").select("doc_id", "base", of(False).alias("live"), of(True).alias("added"))
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
@@ -169,18 +174,31 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
         ends = F.concat(F.transform(merged, lambda s: s["start"]), F.array(F.length(text)))
         return F.array_join(F.zip_with(starts, ends, lambda s, e: F.substring(text, s + 1, e - s)), mark)
 
-    return F.when(F.size(spans) > 0, bind(F.aggregate(F.array_sort(spans), empty, join), rebuilt)).otherwise(text)
+    merged = lambda s: F.aggregate(F.array_sort(s), empty, join)
+    return bind(spans, lambda s: F.when(F.size(s) > 0, bind(merged(s), rebuilt)).otherwise(text))
 
 
-def redact_secrets(docs: DataFrame) -> DataFrame:
+def redact_secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """The rows of ``docs`` with all base and added spans of their text replaced, and n_chars, where
-    there is such a column, counted anew. Rows without spans come back as they are."""
-    key, theirs, spans = fresh("found_key", docs), fresh("their_key", docs), fresh("found_spans", docs)
-    found = scan_secrets(docs).select(F.col("key").alias(theirs), F.concat("base", "added").alias(spans)).filter(F.size(spans) > 0).dropDuplicates([theirs])
-    joined = docs.withColumn(key, row_key(docs["doc_id"], docs["text"])).join(found, F.col(key) == F.col(theirs), "left")
-    untouched = F.col(spans).isNull()
-    marked = joined.withColumn("text", F.when(untouched, F.col("text")).otherwise(redacted(F.col("text"), F.col(spans))))
+    there is such a column, counted anew. Rows without spans come back as they are.
+
+    Base spans are replaced where the text lies. Only rows with a candidate outside of them, few in
+    any corpus, are joined with what was counted.
+    """
+    require_columns(docs, "doc_id", "text", repository, owner)
+    key, theirs, added = fresh("found_key", docs), fresh("their_key", docs), fresh("added_spans", docs)
+    live = live_spans(docs, repository, owner, MAX_OWNERS, MAX_REPOSITORIES)
+    live = live.select(F.col("key").alias(theirs), F.filter("spans", lambda s: s["kind"] == "owned").alias(added)).filter(F.size(added) > 0)
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    open_ = text.rlike(TOKEN) & F.exists(candidates(text), lambda s: s["kind"] == "owned")
+    none = F.array().cast(f"array<struct<{_SPAN}>>")
+    keyed = docs.filter(open_).withColumn(key, row_key(docs["doc_id"], text))
+    joined = keyed.join(live, F.col(key) == F.col(theirs), "left").select(*docs.columns, F.coalesce(added, none).alias(added))
+    whole = docs.filter(~open_).withColumn(added, none).unionByName(joined)
+    spans = lambda t: F.concat(F.transform(base_spans(t), bare), F.col(added))
+    new = F.when(F.col("text").isNotNull(), redacted(F.col("text"), spans(F.col("text"))))
+    marked = compute_once(whole, added, new)
     if "n_chars" in docs.columns:
-        counted = F.when(untouched, F.col("n_chars")).otherwise(F.length("text"))
-        marked = marked.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))
-    return marked.select(*docs.columns)
+        counted = F.when(F.col(added) == F.col("text"), F.col("n_chars")).otherwise(F.length(added))
+        marked = marked.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(counted).cast(docs.schema["n_chars"].dataType))
+    return marked.withColumn("text", F.col(added)).select(*docs.columns)
