@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, lattice_lm, packing, quality, secret_scan, simhash, suffix_dedup, token_files, url_filter
+from . import chat, checks, decontaminate, lattice_lm, packing, quality, secret_scan, simhash, suffix_dedup, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op8_secret_scan")
+@query("op8_secret_scan", checks.SECRETS)
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -45,7 +45,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents, model)
 
 
-@query("op10_decontaminate")
+@query("op10_decontaminate", checks.DECONTAMINATE)
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlap_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -76,6 +76,6 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.fit_url_table(labelled))
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", checks.REPEATS)
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
