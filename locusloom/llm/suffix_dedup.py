@@ -34,9 +34,12 @@ from .common import NULL_ID, id_and_text
 
 DEPTH = 50
 ANCHOR = 16
-#: Text bytes, about, of a shard of documents, and of the corpus for each bucket of anchors.
-SHARD_BYTES = 8_000_000
-BUCKET_BYTES = 4_000_000
+#: Text bytes, about, of a shard of documents, and of the corpus for each bucket of anchors. They bound
+#: the memory of a task; a message is sent for each pair of both, so larger machines take larger ones.
+SHARD_BYTES = 6_000_000
+BUCKET_BYTES = 3_000_000
+#: Windows that are sorted at once, unless one anchor has more.
+WINDOWS = 250_000
 _SEGMENT = (1 << 20) - 64
 _PLACE = np.uint64((1 << 20) - 1)
 _KEY_BITS = 48
@@ -266,6 +269,38 @@ def radix_groups(data: np.ndarray, starts: np.ndarray, group: np.ndarray) -> tup
     return alive, group
 
 
+def _parts(groups: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of whole groups (which are in order) with about ``WINDOWS`` windows each."""
+    ends = np.append(np.flatnonzero(groups[1:] != groups[:-1]) + 1, len(groups)) if len(groups) else []
+    begin = 0
+    held = np.cumsum(sizes)
+    for end in ends:
+        if held[end - 1] - (held[begin - 1] if begin else 0) >= WINDOWS or end == len(groups):
+            yield slice(begin, int(end))
+            begin = int(end)
+
+
+def _split(contexts: list[bytes], some: np.ndarray, groups: np.ndarray, sizes: np.ndarray, least: np.ndarray, split: dict[int, list[tuple[int, int, int]]]) -> None:
+    """Into ``split``: runs (first window, windows, smallest document) of each context of ``some``."""
+    n = sizes[some]
+    data = np.frombuffer(b"".join(contexts[k] for k in some), dtype="u1")
+    bases = np.concatenate(([0], np.cumsum(n + DEPTH)))[:-1]
+    inside = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)))[:-1], n)
+    places = np.repeat(np.array([contexts[k][-1] for k in some], dtype=np.int64), n) - inside
+    context = np.repeat(some, n)
+    alive, equal = radix_groups(data, np.repeat(bases, n) + inside, groups[context] * 64 + places)
+    low = least[context]
+    if len(alive):
+        best = np.full(int(equal.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(best, equal, low[alive])
+        low[alive] = best[equal]
+    new = np.ones(len(low), dtype=bool)
+    new[1:] = (context[1:] != context[:-1]) | (low[1:] != low[:-1])
+    first = np.flatnonzero(new)
+    for c, w, length, doc in zip(context[first].tolist(), inside[first].tolist(), np.diff(np.append(first, len(low))).tolist(), low[first].tolist(), strict=True):
+        split.setdefault(c, []).append((w, length, doc))
+
+
 def _resolve(table: pa.Table) -> pa.Table:
     """Bucket -> shards: for runs of windows of their contexts, the smallest document of the corpus, where
     it is smaller than the shard's own smallest."""
@@ -288,25 +323,10 @@ def _resolve(table: pa.Table) -> pa.Table:
     groups = np.array([anchors.setdefault(c[c[-1] : c[-1] + ANCHOR], len(anchors)) for c in contexts], dtype=np.int64)
     several = np.flatnonzero(np.bincount(groups)[groups] > 1)
     sizes = np.array([len(c) - DEPTH for c in contexts], dtype=np.int64)  # windows: bytes less the place, less 49
+    several = several[np.argsort(groups[several], kind="stable")]
     split: dict[int, list[tuple[int, int, int]]] = {}
-    if len(several):
-        data = np.frombuffer(b"".join(contexts[k] for k in several), dtype="u1")
-        n = sizes[several]
-        bases = np.concatenate(([0], np.cumsum(n + DEPTH)))[:-1]
-        inside = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)))[:-1], n)
-        places = np.repeat(np.array([contexts[k][-1] for k in several], dtype=np.int64), n) - inside
-        context = np.repeat(several, n)
-        alive, equal = radix_groups(data, np.repeat(bases, n) + inside, groups[context] * 64 + places)
-        low = least[context]
-        if len(alive):
-            best = np.full(int(equal.max()) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(best, equal, low[alive])
-            low[alive] = best[equal]
-        new = np.ones(len(low), dtype=bool)
-        new[1:] = (context[1:] != context[:-1]) | (low[1:] != low[:-1])
-        first = np.flatnonzero(new)
-        for c, w, length, doc in zip(context[first].tolist(), inside[first].tolist(), np.diff(np.append(first, len(low))).tolist(), low[first].tolist(), strict=True):
-            split.setdefault(c, []).append((w, length, doc))
+    for part in _parts(groups[several], sizes[several]):
+        _split(contexts, several[part], groups, sizes, least, split)
     rows = []
     for shard, mine, low in zip(shards, of, own, strict=True):
         found = []

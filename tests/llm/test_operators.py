@@ -90,6 +90,17 @@ def test_repeats(odd, none, pairs):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_repeats_sorted_in_parts(odd, pairs):
+    """Whole anchors at a time, a few windows each."""
+    groups, sizes = np.array([0, 0, 1, 2, 2, 2, 3]), np.array([3, 4, 10, 1, 1, 1, 2])
+    suffix_dedup_windows, suffix_dedup.WINDOWS = suffix_dedup.WINDOWS, 5
+    try:
+        assert [(p.start, p.stop) for p in suffix_dedup._parts(groups, sizes)] == [(0, 2), (2, 3), (3, 7)]
+    finally:
+        suffix_dedup.WINDOWS = suffix_dedup_windows
+    assert list(suffix_dedup._parts(groups[:0], sizes[:0])) == []
+
+
 def test_radix_groups():
     rng = random.Random(2)
     data = bytes(rng.choice(b"ab") for _ in range(400)) + b"x" * 120
