@@ -21,6 +21,7 @@ CHECKS: dict[str, str] = {}
 _PARTS = {
     "sites": fx.SITES,
     "calls": fx.CALLS,
+    "odd_calls": fx.ODD_CALLS,
     "assoc": fx.ASSOC,
     "nuclei": fx.NUCLEI,
     "geno_long": fx.GENO_LONG_CHECK,

@@ -8,6 +8,7 @@ from .. import fixtures as fx
 from ..operators import results as R
 from ..operators.sites import site_stats
 from ..operators.sites import subset_by_id as subset
+from ..plans.funnel import quality_funnel
 from ..plans.study import study_inputs
 from ..session import scratch_path
 from ..sources import sinks, store, tables, vcf
@@ -96,6 +97,22 @@ def subset_by_id(spark, sf):
     return sites.select("variant_id", F.posexplode("calls").alias("sample_idx", "c")).join(order, "sample_idx").select("variant_id", "sample_idx", "sample_id", "c.gt")
 
 
+_KEPT_FUNNEL = f""", keepers AS ({_KEEP}),
+    kept_d AS (SELECT * FROM d WHERE sample_idx IN (SELECT sample_idx FROM keepers)),
+    kept_md AS (SELECT * FROM md WHERE sample_idx IN (SELECT sample_idx FROM keepers)),
+    kept_stats AS (SELECT s.*, coalesce(n.ac, 0) AS ac FROM sites s
+                   LEFT JOIN (SELECT variant_id, sum(d) AS ac FROM kept_d GROUP BY variant_id) n ON n.variant_id = s.variant_id)
+    """ + FUNNEL_SQL.replace("stats s", "kept_stats s").replace("FROM md", "FROM kept_md").replace("10 - ", "(SELECT count(*) FROM keepers) - ").replace("<= 5", "<= 3")
+
+
+@query("quality_funnel_by_id", "sites calls d md", _KEPT_FUNNEL)
+def quality_funnel_by_id(spark, sf):
+    """The funnel on a sample subset in list order."""
+    sites, _ = subset(fx.called_sites(spark, sf), fx.call_samples(spark, sf), tables.read_keep_list(spark, _keep_list(spark, sf)))
+    kept = quality_funnel(sites, chromosomes=[f"Chr{i}" for i in range(1, 6)], max_missing=3)
+    return kept.select("variant_id", "chrom", "pos", "id")
+
+
 @query(
     "study_inputs",
     "sites calls d md stats",

@@ -145,6 +145,36 @@ def singletons(spark, sf):
     return S.singletons(fx.called_sites(spark, sf))
 
 
+@query(
+    "singletons_odd_calls",
+    "sites odd_calls",
+    """, a AS (SELECT variant_id, sample_idx, CAST(unnest(string_split(replace(gt, '|', '/'), '/')) AS INT) AS code
+           FROM odd_calls WHERE regexp_matches(gt, '^[0-9]+[/|][0-9]+$')),
+    n AS (SELECT variant_id, code, count(*) AS ac, count(DISTINCT sample_idx) AS carriers, min(sample_idx) AS sample_idx FROM a GROUP BY ALL)
+    SELECT chrom, pos, CASE WHEN ac = 1 THEN 'S' ELSE 'D' END AS kind,
+      CASE WHEN code = 0 THEN ref ELSE split_part(alt_alleles, ',', code) END AS allele, sample_idx
+    FROM n JOIN sites USING (variant_id)
+    WHERE (ac = 1 OR (ac = 2 AND carriers = 1)) AND code <= len(string_split(alt_alleles, ','))""",
+)
+def singletons_odd_calls(spark, sf):
+    """Third alleles, one-allele and half-missing texts."""
+    return S.singletons(fx.odd_sites(spark, sf))
+
+
+@query(
+    "gt_to_dosage_haploid",
+    "sites odd_calls",
+    """, p AS (SELECT variant_id, sample_idx, gt, string_split(replace(gt, '|', '/'), '/') AS a FROM odd_calls)
+    SELECT s.variant_id, CAST(i AS INT) AS sample_idx,
+      CASE WHEN gt IS NULL OR list_contains(a, '.') THEN NULL WHEN len(a) = 1 THEN CASE WHEN a[1] = '0' THEN 0e0 ELSE 2e0 END
+           ELSE CASE WHEN a[1] = '0' THEN 0e0 ELSE 1e0 END + CASE WHEN a[2] = '0' THEN 0e0 ELSE 1e0 END END AS d
+    FROM (SELECT variant_id, unnest(range(10)) AS i FROM sites) s LEFT JOIN p ON p.variant_id = s.variant_id AND p.sample_idx = s.i""",
+)
+def gt_to_dosage_haploid(spark, sf):
+    dosed = S.gt_to_dosage(fx.odd_sites(spark, sf), "double")
+    return dosed.select("variant_id", F.posexplode("dosage").alias("sample_idx", "d"))
+
+
 _EXCLUDED = f"SELECT {SITE_SQL} FROM sites WHERE (chrom, pos) NOT IN (SELECT (chrom, pos) FROM ({_SINGLETONS}))"
 
 

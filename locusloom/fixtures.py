@@ -35,6 +35,14 @@ SELECT l_partkey AS variant_id, CAST(l_suppkey % 10 AS INT) AS sample_idx,
 FROM lineitem GROUP BY l_partkey, CAST(l_suppkey % 10 AS INT)
 """
 
+#: Third alleles, one-allele and half-missing calls.
+ODD_CALLS = """
+SELECT l_partkey AS variant_id, CAST(l_suppkey % 10 AS INT) AS sample_idx,
+  CASE MAX(CAST(l_quantity AS INT)) % 12 WHEN 3 THEN '0/2' WHEN 4 THEN '2|2' WHEN 5 THEN '1/2' WHEN 6 THEN '.' WHEN 7 THEN '1'
+    WHEN 8 THEN './1' WHEN 9 THEN '0|1' WHEN 10 THEN '0' WHEN 11 THEN '1/1' ELSE '0/0' END AS gt
+FROM lineitem GROUP BY l_partkey, CAST(l_suppkey % 10 AS INT)
+"""
+
 #: Names of the samples of ``calls``: of the suppliers that make up one sample the first.
 CALL_SAMPLES = "SELECT CAST(s_suppkey % 10 AS INT) AS sample_idx, min(s_name) AS sample_id FROM supplier GROUP BY CAST(s_suppkey % 10 AS INT)"
 
@@ -115,6 +123,14 @@ def called_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sites with ``ODD_CALLS``; calls hold a genotype only."""
+    long = _sql(spark, sf_dir, ODD_CALLS).withColumn("calls", F.struct("gt")).select("variant_id", "sample_idx", "calls")
+    none = F.array_repeat(F.lit(None).cast("struct<gt:string>"), N_CALL_SAMPLES)
+    nested = nest_calls(long, N_CALL_SAMPLES, fields=("calls",), unique=True)
+    return sites(spark, sf_dir).join(nested, "variant_id", "left").withColumn("calls", F.coalesce("calls", none))
+
+
 def assoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, ASSOC)
 
