@@ -24,8 +24,10 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 #: The same for the vocabulary with word ends, after lower case.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 END_OF_WORD = "</w>"
+#: Marks that are one part where they end a chunk of letters (no apostrophe: it may begin a part).
+PUNCTUATION = ".,;:!?|#$%&*()-"
 #: Words whose ids a worker keeps; when full it starts anew.
-MEMO = 600_000
+MEMO = 700_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -84,21 +86,30 @@ class WordBpe:
         self.parts = regex.compile(WORD_PATTERN).findall
         self.whole = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         if "<" in text and self.special.search(text):
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        else:
-            if text.isascii():
-                text = text.lower()
-            else:
-                text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
-            if text.isalpha() and text.isascii():  # one part, as most chunks are
-                ids = self.merge(text.encode() + self.MARK)
-            else:
-                ids = [i for part in self.parts(text) for i in self.merge(part.encode() + self.MARK)]
-        return array("I", ids).tobytes()
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        # Letter by letter: only a sigma's small form depends on its neighbours.
+        text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
+        body = text.rstrip(PUNCTUATION)
+        if body.isalpha():  # letters, and at most punctuation behind them, as most chunks are
+            return self._part(body) + self._part(text[len(body) :])
+        return b"".join([self._part(part) for part in self.parts(text)])
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one part, remembered on its own: chunks of other case or punctuation share them."""
+        if not part:
+            return b""
+        raw = part.encode()
+        ids = self.words.get(raw)
+        if ids is None:
+            ids = self.words[raw] = array("I", self.merge(raw + self.MARK)).tobytes()
+        return ids
 
     def encode(self, text: bytes) -> np.ndarray:
         memo = self.memo
@@ -106,8 +117,9 @@ class WordBpe:
         try:
             return np.frombuffer(b"".join([memo[c] for c in chunks]), dtype="<u4")
         except KeyError:
-            if len(memo) > MEMO:
+            if len(memo) + len(self.words) > MEMO:
                 memo.clear()
+                self.words.clear()
             for c in chunks:
                 if c not in memo:
                     memo[c] = self._chunk(c)

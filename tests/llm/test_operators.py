@@ -235,7 +235,7 @@ def test_frequencies_add_up():
 @pytest.mark.parametrize(("make", "name"), [(byte_bpe, "byte_bpe_50k.json"), (word_bpe, "word_bpe_49k.json")])
 def test_ids_equal_the_tokenizer(make, name, pairs):
     whole, coder = brute.tokenizer(name), make(brute.public_tokenizers.path(name))
-    odd = ["", "  a  b\n\n c", "it's I'LL don't ΣΑΣ İstanbul straße", "a<|endoftext|>b <|endoftext|> c", "ẖ H̱ e\u0301 x", "日本語 1234 ½", "\x1c a\x85b", "🙂🙂!!"]
+    odd = ["", "  a  b\n\n c", "it's I'LL don't ΣΑΣ İstanbul straße", "a<|endoftext|>b <|endoftext|> c", "ẖ H̱ e\u0301 x", "日本語 1234 ½", "\x1c a\x85b", "🙂🙂!!", "WORD!! Word. (word) d'été's x*** -- '' ''s !a", "ΑΣ. ΑΣ Σ, ǅ ﬁ Ⅷ"]
     for text in [*odd, *(t for _, t in pairs if t)]:
         ids = coder.encode(text if make is byte_bpe else text.encode())
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
