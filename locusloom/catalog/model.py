@@ -205,6 +205,18 @@ def run_summary(spark, sf):
     return association_run(fx.geno(spark, sf), fx.pheno(spark, sf), N, "y_snp0", covar=_covar(spark, sf)).summary
 
 
+@query(
+    "run_summary_counts",
+    "geno_long markers",
+    """SELECT 'y' AS run_id, 'y' AS trait, (SELECT count(*) FROM markers) AS n_markers, count(*) AS n_tested
+       FROM markers WHERE 64 - called <= 0.05e0 * 64 AND least(mean / 2, 1 - mean / 2) >= 0.05e0 AND kinds > 1""",
+)
+def run_summary_counts(spark, sf):
+    """What a run's summary says about its markers."""
+    out = association_run(fx.geno(spark, sf), fx.pheno(spark, sf), N, "y").summary
+    return out.filter("covariates IS NULL").select("run_id", "trait", "n_markers", "n_tested")
+
+
 @query("association_hits")
 def association_hits(spark, sf):
     out = association_run(fx.geno(spark, sf), fx.pheno(spark, sf), N, "y", test="all")
