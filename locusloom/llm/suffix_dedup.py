@@ -6,22 +6,26 @@ are first dealt by an anchor: the window's smallest hashed ``ANCHOR``-byte strin
 equal anchors at equal places, and neighbouring windows mostly share theirs, so a run of windows
 travels as one short context.
 
-1. Each shard of documents tells each bucket of anchors which ones it has (packed, deduplicated);
-   the bucket answers with a bit for each: whether any other document may have it too.
+1. Each shard of documents tells each bucket of anchors which ones it has (packed, deduplicated) and
+   in how many contexts; the bucket answers with two bits for each: whether any other document may
+   have it too, and whether it is hot, that is in more than ``HOT`` contexts of all shards.
 2. Shards send the distinct contexts of those anchors, with the smallest document that has them.
    The bucket merges equal contexts and radix-sorts the windows of the others, most significant
    digits first; groups of one leave after each pass. Its answer is, for runs of windows, the smallest
-   document of the corpus.
+   document of the corpus. Windows of hot anchors are dealt one by one instead, by a hash of their
+   bytes and place, so no anchor is one group; equal ones meet, and there is nothing to sort.
 3. Shards mark the windows of every document that a smaller document has, and cut them.
 
 The text is shuffled once; the same exchange serves all three steps. An anchor or a passage that a
-third of all documents share is one entry for each shard.
+third of all documents share is one entry for each shard; a short string between ever different
+neighbours is spread over all buckets.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +44,11 @@ SHARD_BYTES = 6_000_000
 BUCKET_BYTES = 3_000_000
 #: Windows that are sorted at once, unless one anchor has more.
 WINDOWS = 250_000
+#: Contexts (of at most 35 windows each) that one anchor may have in a bucket; the windows of an anchor
+#: with more are dealt singly. It changes memory and traffic, never results.
+HOT = 30_000
+#: Runs of an anchor in a shard up to which equal ones count as different, which only makes it hot earlier.
+_FEW = 4
 _SEGMENT = (1 << 20) - 64
 _PLACE = np.uint64((1 << 20) - 1)
 _KEY_BITS = 48
@@ -145,6 +154,38 @@ class Shard:
         np.maximum.at(high, self.key_of, ids)
         return low < high
 
+    def n_contexts(self) -> np.ndarray:
+        """For each distinct key in how many different contexts it is, or if it has few runs how many."""
+        runs = np.bincount(self.key_of, minlength=len(self.keys))
+        many = runs > _FEW
+        if many.any():
+            found = np.bincount(self.contexts(many)[1], minlength=len(self.keys))
+            runs[many] = found[many]
+        return runs
+
+    def windows(self, hot: np.ndarray, n_buckets: int) -> tuple[np.ndarray, ...]:
+        """The windows of the runs whose key is ``hot``, each with its anchor's place as the last byte.
+        Of the distinct ones, in order of bucket: bytes, bucket, smallest id; and of all of them:
+        document, place in it, number of the distinct one."""
+        runs = np.flatnonzero(hot[self.key_of])
+        count = self.count[runs]
+        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        doc, start = np.repeat(self.doc[runs], count), np.repeat(self.first[runs], count) + inside
+        place = np.repeat(self.place[runs], count) - inside
+        numbers: dict[bytes, int] = {}
+        texts, last = self.texts, bytes(range(256))
+        of = np.empty(len(doc), dtype=np.int64)
+        for k, (d, s, p) in enumerate(zip(doc.tolist(), start.tolist(), place.tolist(), strict=True)):
+            of[k] = numbers.setdefault(texts[d][s : s + DEPTH] + last[p : p + 1], len(numbers))
+        bucket = np.array([zlib.crc32(w) % n_buckets for w in numbers], dtype=np.int64)
+        low = np.full(len(numbers), np.iinfo(np.int64).max)
+        np.minimum.at(low, of, self.ids[doc])
+        order = np.argsort(bucket, kind="stable")
+        turned = np.empty(len(order), dtype=np.int64)
+        turned[order] = np.arange(len(order))
+        data = np.frombuffer(b"".join(numbers), dtype="u1").reshape(-1, DEPTH + 1)
+        return data[order], bucket[order], low[order], doc, start, turned[of]
+
     def contexts(self, wanted: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct contexts of the runs whose key is ``wanted``, in order of key: the last byte of each
         is its anchor's place. With them: key, smallest id, and the runs with their context's number."""
@@ -183,55 +224,65 @@ def _undeltas(planes: np.ndarray) -> np.ndarray:
 
 
 def _offer(n_buckets: int):
-    """Shard -> buckets: its distinct keys, and whether it has each in two documents."""
+    """Shard -> buckets: its distinct keys, whether it has each in two documents, and in how many contexts."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         shard = Shard(table)
-        inside, bounds, rows = shard.shared_inside(), shard.buckets(n_buckets), []
+        inside, number, bounds, rows = shard.shared_inside(), shard.n_contexts(), shard.buckets(n_buckets), []
         for b in range(n_buckets):
             part = slice(int(bounds[b]), int(bounds[b + 1]))
             if bounds[b] < bounds[b + 1]:
-                rows.append((b, key[0].as_py(), 0, _pack(_deltas(shard.keys[part]), np.packbits(inside[part]))))
+                rows.append((b, key[0].as_py(), 0, _pack(_deltas(shard.keys[part]), np.packbits(inside[part]), number[part].astype("<u4"))))
         return _messages(rows)
 
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Bucket -> shards: a bit for each key that was offered, set if it is in two documents."""
-    bodies = [_unpack(b, "u1", "u1") for b in table.column("body").to_pylist()]
-    keys = [_undeltas(k) for k, _ in bodies]
-    inside = [np.unpackbits(f, count=len(k)).astype(bool) for (_, f), k in zip(bodies, keys, strict=True)]
-    order = np.sort(np.concatenate(keys))
-    twice = np.unique(order[1:][order[1:] == order[:-1]])
-    rows = []
-    for b, s, own, mark in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), keys, inside, strict=True):
-        if len(twice):
-            at = np.minimum(np.searchsorted(twice, own), len(twice) - 1)
-            mark = mark | (twice[at] == own)
-        if mark.any():
-            rows.append((b, s, 1, _pack(np.packbits(mark))))
-    return _messages(rows)
+def _shared(hot_contexts: int = HOT):
+    """Bucket -> shards: two bits for each key that was offered: it is in two documents; it is hot."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bodies = [_unpack(b, "u1", "u1", "<u4") for b in table.column("body").to_pylist()]
+        keys = [_undeltas(k) for k, _, _ in bodies]
+        distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
+        twice = np.bincount(of, minlength=len(distinct)) > 1
+        total = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(total, of, np.concatenate([n for _, _, n in bodies]).astype(np.int64))
+        many = total > hot_contexts
+        rows, at = [], 0
+        for b, s, own, (_, inside, _) in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), keys, bodies, strict=True):
+            here = of[at : at + len(own)]
+            at += len(own)
+            mark = np.unpackbits(inside, count=len(own)).astype(bool) | twice[here]
+            if mark.any():
+                rows.append((b, s, 1, _pack(np.packbits(mark), np.packbits(mark & many[here]))))
+        return _messages(rows)
+
+    return run
 
 
-def _wanted(shard: Shard, bounds: np.ndarray, answers: pa.Table) -> np.ndarray:
-    wanted = np.zeros(len(shard.keys), dtype=bool)
+def _wanted(shard: Shard, bounds: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct key of the shard: its contexts are wanted; its windows are, one by one."""
+    wanted, hot = np.zeros((2, len(shard.keys)), dtype=bool)
     for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
         if kind == 1:
             lo, hi = int(bounds[b]), int(bounds[b + 1])
-            wanted[lo:hi] = np.unpackbits(_unpack(body, "u1")[0], count=hi - lo).astype(bool)
-    return wanted
+            mark, many = (np.unpackbits(x, count=hi - lo).astype(bool) for x in _unpack(body, "u1", "u1"))
+            wanted[lo:hi], hot[lo:hi] = mark & ~many, many
+    return wanted, hot
 
 
 def _send(n_buckets: int):
-    """Shard -> buckets: the distinct contexts of shared anchors, each with its smallest document."""
+    """Shard -> buckets: the distinct contexts of shared anchors, and the distinct windows of hot ones, each
+    with its smallest document."""
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not answers.num_rows or not docs.num_rows:
             return _messages([])
         shard = Shard(docs)
         bounds = shard.buckets(n_buckets)
-        contexts, at, low, _, _ = shard.contexts(_wanted(shard, bounds, answers))
+        wanted, hot = _wanted(shard, bounds, answers)
+        contexts, at, low, _, _ = shard.contexts(wanted)
         edges = np.searchsorted(at, bounds)  # contexts are in order of key
         rows = []
         for b in range(n_buckets):
@@ -240,6 +291,12 @@ def _send(n_buckets: int):
                 part = contexts[lo:hi]
                 sizes = np.array([len(c) for c in part], dtype="u1")
                 rows.append((b, key[0].as_py(), 2, _pack(sizes, low[lo:hi], np.frombuffer(b"".join(part), dtype="u1"))))
+        if hot.any():
+            data, bucket, low, _, _, _ = shard.windows(hot, n_buckets)
+            edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
+            for b in np.unique(bucket).tolist():
+                part = slice(int(edges[b]), int(edges[b + 1]))
+                rows.append((b, key[0].as_py(), 4, _pack(low[part], data[part])))
         return _messages(rows)
 
     return run
@@ -301,9 +358,35 @@ def _split(contexts: list[bytes], some: np.ndarray, groups: np.ndarray, sizes: n
         split.setdefault(c, []).append((w, length, doc))
 
 
+def _same_windows(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
+    """For windows of hot anchors, the smallest document where it is smaller than the shard's own."""
+    numbers: dict[bytes, int] = {}
+    of, own, rows = [], [], []
+    for body in table.column("body").to_pylist():
+        low, data = _unpack(body, "<i8", "u1")
+        raw = data.tobytes()
+        of.append(np.array([numbers.setdefault(raw[k : k + DEPTH + 1], len(numbers)) for k in range(0, len(raw), DEPTH + 1)], dtype=np.int64))
+        own.append(low)
+    least = np.full(len(numbers), np.iinfo(np.int64).max)
+    for mine, low in zip(of, own, strict=True):
+        np.minimum.at(least, mine, low)
+    for b, shard, mine, low in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, own, strict=True):
+        k = np.flatnonzero(least[mine] < low)
+        if len(k):
+            rows.append((b, shard, 5, _pack(k.astype("<u4"), least[mine[k]])))
+    return rows
+
+
 def _resolve(table: pa.Table) -> pa.Table:
     """Bucket -> shards: for runs of windows of their contexts, the smallest document of the corpus, where
-    it is smaller than the shard's own smallest."""
+    it is smaller than the shard's own smallest; and the same for single windows."""
+    kind = table.column("kind").to_numpy()
+    return _messages(_same_contexts(table.filter(pa.array(kind == 2))) + _same_windows(table.filter(pa.array(kind == 4))))
+
+
+def _same_contexts(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
+    if not table.num_rows:
+        return []
     numbers: dict[bytes, int] = {}
     shards, of, own = [], [], []
     for body in table.column("body").to_pylist():
@@ -337,7 +420,7 @@ def _resolve(table: pa.Table) -> pa.Table:
         if found:
             k, w, length, doc = (np.array(x) for x in zip(*found, strict=True))
             rows.append((table.column("bucket")[0].as_py(), shard, 3, _pack(k.astype("<u4"), w.astype("u1"), length.astype("u1"), doc.astype("<i8"))))
-    return _messages(rows)
+    return rows
 
 
 def _cut(n_buckets: int):
@@ -348,7 +431,8 @@ def _cut(n_buckets: int):
         spans: dict[int, list[tuple[int, int]]] = {}
         if answers.num_rows:
             bounds = shard.buckets(n_buckets)
-            contexts, at, low, runs, of = shard.contexts(_wanted(shard, bounds, answers))
+            wanted, hot = _wanted(shard, bounds, answers)
+            contexts, at, low, runs, of = shard.contexts(wanted)
             edges = np.searchsorted(at, bounds)
             told: dict[int, list[tuple[int, int, int]]] = {}
             for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
@@ -366,6 +450,16 @@ def _cut(n_buckets: int):
                     for w, length, other in told[k]:
                         if other < doc:
                             spans.setdefault(d, []).append((s + w, s + w + length + DEPTH - 1))
+            if hot.any():
+                _, bucket, low, docs_of, starts, of = shard.windows(hot, n_buckets)
+                edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
+                for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
+                    if kind == 5:
+                        k, least = _unpack(body, "<u4", "<i8")
+                        low[edges[b] + k.astype(np.int64)] = least
+                taken = np.flatnonzero(low[of] < shard.ids[docs_of])
+                for d, s in zip(docs_of[taken].tolist(), starts[taken].tolist(), strict=True):
+                    spans.setdefault(d, []).append((s, s + DEPTH))
         out = []
         for d, (doc, text) in enumerate(shard.docs):
             removed, n, kept, at = 0, 0, hashlib.sha256(), 0
@@ -394,7 +488,7 @@ def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
-def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_contexts: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte is removed if a ``DEPTH``-byte string over it also starts in a document with a smaller id.
@@ -407,7 +501,7 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartition(int(shards), "shard")
     grouped = lambda: dealt.groupBy("shard")
     offers = grouped().applyInArrow(_offer(buckets), _MESSAGE)
-    shared = offers.groupBy("bucket").applyInArrow(_shared, _MESSAGE)
+    shared = offers.groupBy("bucket").applyInArrow(_shared(hot_contexts), _MESSAGE)
     contexts = grouped().cogroup(shared.groupBy("shard")).applyInArrow(_send(buckets), _MESSAGE)
     resolved = contexts.groupBy("bucket").applyInArrow(_resolve, _MESSAGE)
     answers = shared.unionByName(resolved)

@@ -101,6 +101,38 @@ def test_repeats_sorted_in_parts(odd, pairs):
     assert list(suffix_dedup._parts(groups[:0], sizes[:0])) == []
 
 
+def test_repeats_of_a_hot_anchor(spark, monkeypatch):
+    """A short string between ever different neighbours is not one group of one bucket."""
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    tag = "(c) Example Site 2024, some rights"
+    lines = [some(40) + tag + some(40) for _ in range(120)]
+    docs = [(k, some(60) + "".join(rng.sample(lines, 3)) + some(60)) for k in range(200)]
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    df, want = spark.createDataFrame(docs, "doc_id long, text string"), ordered(brute.repeats(docs))
+    for few in (0, 5, 10**9):
+        assert rows(suffix_dedup.remove_repeats(df, shard_bytes=9_000, bucket_bytes=6_000, hot_contexts=few), *columns) == want
+
+    # The exchange by hand, with the windows sorted at once and those of each bucket counted.
+    sorted_at_once, most, n = [], 60, 8
+    radix = suffix_dedup.radix_groups
+    monkeypatch.setattr(suffix_dedup, "radix_groups", lambda data, starts, group: sorted_at_once.append(np.bincount(np.unique(group // 64, return_inverse=True)[1]).max()) or radix(data, starts, group))
+    shards = [suffix_dedup.pa.table({"doc_id": [d for d, _ in docs[s::4]], "text": [t.encode() for _, t in docs[s::4]]}) for s in range(4)]
+    key = lambda s: (suffix_dedup.pa.scalar(s),)
+    join = suffix_dedup.pa.concat_tables
+    by = lambda table, column, k: table.filter(suffix_dedup.pa.array(table.column(column).to_numpy() == k))
+    offers = join([suffix_dedup._offer(n)(key(s), t) for s, t in enumerate(shards)])
+    shared = join([suffix_dedup._shared(most)(t) for b in range(n) if (t := by(offers, "bucket", b)).num_rows])
+    sent = join([suffix_dedup._send(n)(key(s), t, by(shared, "shard", s)) for s, t in enumerate(shards)])
+    for b in range(n):
+        suffix_dedup._resolve(by(sent, "bucket", b))
+    assert {2, 4} == set(sent.column("kind").to_pylist())
+    assert sorted_at_once and max(sorted_at_once) <= 35 * most
+    singly = by(sent, "kind", 4)
+    sizes = [sum(map(len, by(singly, "bucket", b).column("body").to_pylist())) for b in range(n)]
+    assert max(sizes) < 2 * sum(sizes) / n
+
+
 def test_radix_groups():
     rng = random.Random(2)
     data = bytes(rng.choice(b"ab") for _ in range(400)) + b"x" * 120
