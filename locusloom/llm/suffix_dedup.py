@@ -56,7 +56,7 @@ _KEY_BITS = 48
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 _MESSAGE = "bucket int, shard int, kind int, body binary"
-_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long"
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -130,13 +130,14 @@ def window_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 class Shard:
-    """The documents of a shard in order of id and text, and the runs of their windows."""
+    """The documents of a shard in order of id and text, with how many rows each stands for, and the runs
+    of their windows."""
 
     def __init__(self, table: pa.Table):
-        docs = zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True)
+        docs = zip(*(table.column(c).to_pylist() for c in ("doc_id", "text", "copies")), strict=True)
         self.docs = sorted(docs)
-        self.texts = [t for _, t in self.docs]
-        self.ids = np.array([d for d, _ in self.docs], dtype=np.int64)
+        self.texts = [t for _, t, _ in self.docs]
+        self.ids = np.array([d for d, _, _ in self.docs], dtype=np.int64)
         self.doc, self.first, self.count, self.place, keys = window_runs(self.texts)
         self.keys, self.key_of = np.unique(keys, return_inverse=True)
 
@@ -461,16 +462,16 @@ def _cut(n_buckets: int):
                 for d, s in zip(docs_of[taken].tolist(), starts[taken].tolist(), strict=True):
                     spans.setdefault(d, []).append((s, s + DEPTH))
         out = []
-        for d, (doc, text) in enumerate(shard.docs):
+        for d, (doc, text, copies) in enumerate(shard.docs):
             removed, n, kept, at = 0, 0, hashlib.sha256(), 0
             for s, e in _merged(spans.get(d, [])):
                 kept.update(text[at:s])
                 removed, n, at = removed + e - s, n + 1, e
             kept.update(text[at:])
-            out.append((None if doc == NULL_ID else doc, len(text), removed, n, kept.hexdigest()))
-        columns = zip(*out, strict=True) if out else [[]] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            out.append((None if doc == NULL_ID else doc, len(text), removed, n, kept.hexdigest(), copies))
+        columns = zip(*out, strict=True) if out else [[]] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "copies"])
 
     return run
 
@@ -488,6 +489,23 @@ def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal rows of a batch once, with their number."""
+    for batch in batches:
+        if batch.num_rows:
+            found = pa.table(batch).group_by(["doc_id", "text"], use_threads=False).aggregate([([], "count_all")])
+            yield from found.rename_columns(["doc_id", "text", "copies"] if found.column_names[0] == "doc_id" else ["copies", "doc_id", "text"]).select(["doc_id", "text", "copies"]).to_batches()
+
+
+def deal(texts: DataFrame, shards: int) -> DataFrame:
+    """``texts`` (doc_id, text) dealt into shards by id and text, so that rows of one id, or
+    without one, are spread like others. Equal rows come once for each batch that has them, with the
+    number they stand for in ``copies``, so a row that is repeated without end is a few rows."""
+    once = texts.mapInArrow(_once, "doc_id long, text binary, copies long")
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
+    return once.withColumn("shard", shard).repartition(int(shards), "shard")
+
+
 def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_contexts: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -498,11 +516,13 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes
     texts = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
     size, n = texts.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0)), F.count("*")).first()
     shards, buckets = max(1, -(-size // shard_bytes)), max(1, -(-size // bucket_bytes))
-    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartition(int(shards), "shard")
+    dealt = deal(texts, shards)
     grouped = lambda: dealt.groupBy("shard")
     offers = grouped().applyInArrow(_offer(buckets), _MESSAGE)
     shared = offers.groupBy("bucket").applyInArrow(_shared(hot_contexts), _MESSAGE)
     contexts = grouped().cogroup(shared.groupBy("shard")).applyInArrow(_send(buckets), _MESSAGE)
     resolved = contexts.groupBy("bucket").applyInArrow(_resolve, _MESSAGE)
     answers = shared.unionByName(resolved)
-    return grouped().cogroup(answers.groupBy("shard")).applyInArrow(_cut(buckets), _RESULT)
+    found = grouped().cogroup(answers.groupBy("shard")).applyInArrow(_cut(buckets), _RESULT)
+    each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return found.withColumn("each", each).drop("copies", "each")

@@ -7,6 +7,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+from conftest import prose
 
 from locusloom.llm import chat, decontaminate, lattice_lm, packing, quality, rans, secret_scan, simhash, suffix_dedup, token_files, url_filter
 from locusloom.llm.tokens import byte_bpe, word_bpe
@@ -117,7 +118,7 @@ def test_repeats_of_a_hot_anchor(spark, monkeypatch):
     sorted_at_once, most, n = [], 60, 8
     radix = suffix_dedup.radix_groups
     monkeypatch.setattr(suffix_dedup, "radix_groups", lambda data, starts, group: sorted_at_once.append(np.bincount(np.unique(group // 64, return_inverse=True)[1]).max()) or radix(data, starts, group))
-    shards = [suffix_dedup.pa.table({"doc_id": [d for d, _ in docs[s::4]], "text": [t.encode() for _, t in docs[s::4]]}) for s in range(4)]
+    shards = [suffix_dedup.pa.table({"doc_id": [d for d, _ in docs[s::4]], "text": [t.encode() for _, t in docs[s::4]], "copies": [1] * len(docs[s::4])}) for s in range(4)]
     key = lambda s: (suffix_dedup.pa.scalar(s),)
     join = suffix_dedup.pa.concat_tables
     by = lambda table, column, k: table.filter(suffix_dedup.pa.array(table.column(column).to_numpy() == k))
@@ -133,6 +134,20 @@ def test_repeats_of_a_hot_anchor(spark, monkeypatch):
     assert max(sizes) < 2 * sum(sizes) / n
 
 
+def test_repeats_with_ids_that_many_rows_share(spark):
+    """Rows without an id, or of one id, are spread over the shards; equal rows travel once for a batch."""
+    rng = random.Random(9)
+    docs = [(None, prose(rng, 30)) for _ in range(60)] + [(7, prose(rng, 30)) for _ in range(60)] + [(k, prose(rng, 30)) for k in range(20)]
+    docs += [(8, docs[0][1] + docs[70][1])] * 100 + [(None, None)] * 50 + [(None, docs[0][1])] * 100
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    dealt = suffix_dedup.deal(suffix_dedup.id_and_text(df).fillna({"doc_id": suffix_dedup.NULL_ID}), 16).collect()
+    assert sum(r["copies"] for r in dealt) == len(docs) and len(dealt) <= 140 + 4 * 4
+    in_shard = Counter(r["shard"] for r in dealt)
+    assert max(in_shard.values()) < len(dealt) / 4
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert rows(suffix_dedup.remove_repeats(df, shard_bytes=9_000, bucket_bytes=6_000), *columns) == ordered(brute.repeats(docs))
+
+
 def test_radix_groups():
     rng = random.Random(2)
     data = bytes(rng.choice(b"ab") for _ in range(400)) + b"x" * 120
