@@ -24,7 +24,8 @@ from .tokens import byte_bpe
 
 CAPACITY = 2048
 END = 0
-#: Alternative fillings that are tried for one sequence, and steps of the search beyond one full dive.
+#: Alternative fillings that are tried first for one sequence, and steps of the search beyond one full
+#: dive, which are its only limit.
 FILLINGS = 12
 MORE_STEPS = 2_000
 
@@ -104,7 +105,8 @@ def _dominates(better: Pattern, worse: Pattern) -> bool:
 
 
 def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[Pattern]:
-    """Undominated maximal fillings of ``room`` from the ascending ``sizes`` that are left, the fullest first."""
+    """The first undominated maximal fillings of ``room`` to try, from the ascending ``sizes`` that are left,
+    the fullest first; :func:`all_fillings` has the others."""
     if counts.get(room):
         return [(room,)]  # one item that fills the room dominates all other fillings
     top = bisect_right(sizes, room)
@@ -151,11 +153,35 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int) -> list[Patter
     return kept
 
 
+def all_fillings(sizes: list[int], counts: dict[int, int], room: int) -> Iterator[Pattern | None]:
+    """Lazily every filling that no other dominates, with some that are; None for each step between."""
+    frames = [[(), room, bisect_right(sizes, room), False]]
+    while frames:
+        frame = frames[-1]
+        chosen, rest, at, fits = frame
+        yield None
+        while at and counts[sizes[at - 1]] <= chosen.count(sizes[at - 1]):
+            at -= 1
+        if not at:
+            if not fits:
+                yield chosen
+            frames.pop()
+            continue
+        size = sizes[at - 1]
+        frame[2:] = at - 1, True
+        if size == rest:  # one item that fills the rest dominates all other ways to do so
+            frames.pop()
+            yield (*chosen, size)
+        else:
+            frames.append([(*chosen, size), rest - size, bisect_right(sizes, min(rest - size, size)), False])
+
+
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, more_steps: int = MORE_STEPS) -> list[tuple[Pattern, int]]:
     """``(lengths, times)`` of the sequences of the best packing found.
 
     Depth first: the largest length left gets each undominated filling, as often as the counts allow
-    and then once. A branch is left when its wasted tokens exceed what a packing better than the
+    and then once (so, over again, any number of times). A first search has some fillings only; if it
+    ends without reaching the lower bound, a second one has all. A branch is left when its wasted tokens exceed what a packing better than the
     incumbent may waste. Best-fit decreasing is the first incumbent, and also what is kept if the
     search ends after one full dive and ``more_steps`` more steps; it ends earlier at the lower bound.
     """
@@ -183,7 +209,7 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, more_steps:
             elif not was:
                 insort(sizes, s)
 
-    def choices() -> Iterator[tuple[Pattern, int]]:
+    def choices(every: bool) -> Iterator[tuple[Pattern, int] | None]:
         largest = sizes[-1]
         counts[largest] -= 1
         rest = [s for s in sizes if counts[s]] if not counts[largest] else sizes
@@ -193,27 +219,48 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, more_steps:
         most = [min(counts[s] // p.count(s) for s in set(p)) for p in whole]
         yield from zip(whole, most, strict=True)
         yield from ((p, 1) for p, m in zip(whole, most, strict=True) if m > 1)
-
+        if not every:
+            return
+        left = counts | {largest: counts[largest] - 1}
+        for p in all_fillings([s for s in sizes if left[s]], left, capacity - largest):
+            if p is None:
+                yield None
+            elif not any(_dominates(k, p) for k in options):
+                options.append(p)
+                p = (largest, *p)
+                m = min(counts[s] // p.count(s) for s in set(p))
+                yield p, m
+                if m > 1:
+                    yield p, 1
+
+    every = False
     while fewest > bound and steps > 0:
         steps -= 1
         if not sizes:
             if used < fewest:
                 fewest, best = used, list(made)
         elif wasted <= (fewest - 1) * capacity - total:
-            stack.append((choices(), len(made)))
+            stack.append((choices(every), len(made)))
         while stack:
             options, depth = stack[-1]
             while len(made) > depth:
                 pattern, times = made.pop()
                 take(pattern, -times)
-            step = next(options, None)
-            if step is not None:
+            step = next(options, ())
+            if step:
                 take(*step)
                 made.append(step)
                 break
-            stack.pop()
+            if step is None:  # a step of the enumeration
+                steps -= 1
+                if steps <= 0:
+                    break
+            else:
+                stack.pop()
         if not stack:
-            break
+            if every:
+                break
+            every = True
     return best
 
 

@@ -42,6 +42,40 @@ def fewest(items, capacity):
     return best[0]
 
 
+def test_all_fillings_are_tried(monkeypatch):
+    """Where the fillings that are tried first don't do, the search goes on with all others."""
+    monkeypatch.setattr(packing, "FILLINGS", 1)
+    rng = random.Random(12)
+    for _ in range(150):
+        capacity = rng.randrange(20, 60)
+        items = [rng.randrange(3, capacity // 2 + 3) for _ in range(rng.randrange(6, 12))]
+        plan = packing.complete_bins(Counter(items), capacity, more_steps=100_000)
+        assert sum(n for _, n in plan) == fewest(sorted(items, reverse=True), capacity)
+        assert sum((Counter({s: n * c for s, c in Counter(p).items()}) for p, n in plan), Counter()) == Counter(items)
+
+
+@pytest.mark.parametrize("items, least", [
+    ([11, 12, 13, 18, 18, 22, 23, 25, 27, 28, 32, 38, 43, 43, 47, 49, 50], 5),
+    ([11, 20, 24, 25, 26, 29, 33, 34, 36, 39, 39, 39, 39, 43, 47, 48, 49], 6),
+    ([10, 11, 12, 16, 17, 18, 20, 20, 22, 23, 24, 36, 39, 41, 47, 47, 47, 49], 5),
+])
+def test_the_search_does_not_end_with_the_first_fillings(monkeypatch, items, least):
+    monkeypatch.setattr(packing, "FILLINGS", 1)
+    plan = packing.complete_bins(Counter(items), 100, more_steps=3_000)
+    assert sum(n for _, n in plan) == least == packing.least_sequences(Counter(items), 100)
+
+
+def test_all_fillings_against_every_subset():
+    counts = {1: 2, 3: 1, 4: 2, 6: 1, 9: 1}
+    for room in range(12):
+        found = [p for p in packing.all_fillings(sorted(counts), counts, room) if p is not None]
+        every = {()}
+        for s in (s for s, n in counts.items() for _ in range(n)):
+            every |= {tuple(sorted((*p, s), reverse=True)) for p in every if sum(p) + s <= room}
+        assert set(found) <= every
+        assert all(any(packing._dominates(k, p) for k in found) for p in every)
+
+
 def test_bin_completion_is_optimal_on_small_cases():
     rng = random.Random(1)
     for case in range(150):
