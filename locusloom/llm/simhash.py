@@ -323,15 +323,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with one document of each component left: the one with the smallest id,
-    and of rows that repeat that id one. Rows without an id only stay where a whole component has
-    none, one of them each. All columns of ``docs`` come back."""
-    _, named = resolve(docs, radius)
+    """The rows of ``docs`` with one row of each component left: of those with the smallest id the one
+    with the smallest text (a null text first). Rows without an id only stay where a whole component
+    has none. An id stays once: of rows that share one and are first in several components, the one
+    with the smallest text. All columns of ``docs`` come back."""
+    prints, named = resolve(docs, radius)
     named = store(named, "named")
-    own, bits, root, kept_id = (fresh(c, docs) for c in ("own_bits", "their_bits", "their_root", "kept_id"))
-    kept = named.filter(F.col("component_id") != NULL_ID).select(F.col("component_id").alias(kept_id))
-    firsts = docs.join(kept, docs["doc_id"] == kept[kept_id], "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.filter(docs["doc_id"].isNull())
+    own, bits, root, first, kept_id, several, row = (fresh(c, docs) for c in ("own_bits", "their_bits", "their_root", "their_first", "kept_id", "several", "kept_row"))
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    often = prints.groupBy("doc_id").agg((F.count("*") > 1).alias(several))
+    kept = named.filter(F.col("component_id") != NULL_ID).select(F.col("component_id").alias("doc_id")).distinct()
+    kept = kept.join(often, "doc_id").select(F.col("doc_id").alias(kept_id), several)
+    found = docs.join(kept, docs["doc_id"] == kept[kept_id])
+    firsts = found.filter(~F.col(several)).select(*columns)  # an id of one row: that row is its component's first
+    unsure = found.filter(several).select(*columns).unionByName(docs.filter(docs["doc_id"].isNull()))
     place, column = len(docs.columns), docs.columns.index("text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,8 +347,12 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             columns[place] = pa.array(bits)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    printed = nameless.withColumn(own, F.lit(None).cast("long"))
+    printed = unsure.withColumn(own, F.lit(None).cast("long"))
     printed = printed.mapInArrow(add, printed.schema)
-    alone = named.filter(F.col("component_id") == NULL_ID).select(F.col("bits").alias(bits), F.col("root").alias(root))
-    others = printed.join(alone, printed[own] == alone[bits]).dropDuplicates([root]).select(*docs.columns)
+    theirs = named.select(F.col("bits").alias(bits), F.col("root").alias(root), F.col("component_id").alias(first))
+    of_first = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col(first)
+    candidates = printed.join(theirs, printed[own] == theirs[bits]).filter(of_first)
+    of_null = F.when(F.col("doc_id").isNull(), F.col(root))
+    best = candidates.groupBy(F.col("doc_id").alias(kept_id), of_null.alias(root)).agg(F.min_by(F.struct(*columns), F.struct("text")).alias(row))
+    others = best.select(*(F.col(row).getField(c).alias(c) for c in docs.columns))
     return firsts.unionByName(others)

@@ -244,6 +244,19 @@ def test_components(spark):
     assert all(found.get(n, n) == want[n] for n in range(201))
 
 
+def test_keep_first_of_rows_that_share_an_id(spark):
+    """A row stays for its id only if it is the first of its own component; the smallest text decides ties."""
+    rng = random.Random(14)
+    copies, others = [prose(rng, 80) for _ in range(6)], [prose(rng, 80) for _ in range(6)]
+    c, d, e, f = (prose(rng, 80) for _ in range(4))
+    docs = [(k, t) for k, t in enumerate(copies)] + [(10 + k, t) for both in (copies, others) for k, t in enumerate(both)]
+    docs += [(20, c), (20, d), (30, c), (31, d), (None, e), (None, e), (None, copies[0]), (40, f), (40, f)]
+    want = [*enumerate(copies), *((10 + k, t) for k, t in enumerate(others)), (20, min(c, d)), (None, e), (40, f)]
+    for order in (docs, docs[::-1]):
+        kept = simhash.keep_first(spark.createDataFrame(order, "doc_id int, text string").coalesce(1))
+        assert rows(kept, "doc_id", "text") == ordered(want)
+
+
 def test_keep_first(odd, none, pairs):
     kept = Counter(r["doc_id"] for r in simhash.keep_first(odd).collect())
     groups = brute.near_duplicates(pairs)
