@@ -218,7 +218,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     """A model of "good and not toxic" from at most ``train_rows`` labelled documents.
 
     Labels with a null id, quality or toxic flag, and null texts, are left out of the fit. If a
-    document has several labels the worst counts. The sample is by a hash of the id, so it is the
+    document has several labels the worst counts; of rows that share an id the smallest text. The sample is by a hash of the id, so it is the
     same for any order or partitioning; only statistics and short word lists reach the driver.
     """
     require_columns(docs, "doc_id", "text")
@@ -229,7 +229,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text")).dropna()
     # The sample is at most ``train_rows`` narrow rows, so it is what is broadcast.
-    joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "good", "text")
+    joined = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("good").alias("good"), F.min("text").alias("text"))
     words = joined.mapInArrow(_train_rows, "doc_id long, good int, text binary, words array<binary>").persist()
     try:
         listed = bad_words(words)

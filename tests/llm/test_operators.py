@@ -496,6 +496,17 @@ def test_trees_are_monotonic_and_learn():
     assert np.allclose(trees.score(base), [node(r) for r in base])
 
 
+def test_rows_that_share_a_sampled_id_weigh_once(spark):
+    rng = random.Random(15)
+    docs = [(k, prose(rng, 40) + (" awful" if k % 3 == 0 else "")) for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    fit = lambda d: quality.fit_quality(spark.createDataFrame(d, "doc_id long, text string"), labels)
+    once, often = fit(docs), fit(docs + [docs[1]] * 50 + [(3, "x" + prose(rng, 40)) for _ in range(50)])
+    assert "awful".encode() in once.listed and often.listed == once.listed
+    x = np.random.default_rng(0).uniform(0, 50, size=(200, len(quality.FEATURES)))
+    assert often.trees.start == once.trees.start and np.array_equal(once.trees.score(x), often.trees.score(x))
+
+
 def walk(trees, row):
     total = trees.start
     for at in trees.roots:
