@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, checks, decontaminate, lattice_lm, packing, quality, secret_scan, simhash, suffix_dedup, token_files, url_filter
+from . import (
+    align, chat, checks, decontaminate, lattice_lm, mixing, packing, quality, secret_scan, simhash, spelling, suffix_dedup, token_files,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,3 +82,18 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_suffix_dedup", checks.REPEATS)
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_spelling_variants", checks.SPELLING)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_source_mix")
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
