@@ -52,51 +52,51 @@ class Aligner:
     """Both vocabularies, with the bytes of every token."""
 
     def __init__(self, path_a: str, path_b: str):
-        coder = byte_bpe(path_a).fast
-        self.encode_a = coder.encode_ordinary  # strings of special tokens are plain text
-        self.bytes_a = [coder.decode_single_token_bytes(i) for i in range(coder.n_vocab)]
+        self.coder = byte_bpe(path_a).fast  # strings of special tokens are plain text to it
+        self.bytes_a = [self.coder.decode_single_token_bytes(i) for i in range(self.coder.n_vocab)]
         piece = PieceBpe(path_b)
         self.encode_b, self.bytes_b = piece.encode, piece.bytes
         self.size_a, self.size_b = (np.array([len(t) for t in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
-        self.name_a, self.name_b = ([str(i) for i in range(len(side))] for side in (self.bytes_a, self.bytes_b))
+        self.many = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(self.many)]
 
-    def ids(self, text: bytes) -> tuple[list[int], list[int]]:
+    def ids(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both sides; none where a side's bytes are not a space and the text."""
-        if not text:
-            return [], []
-        plain = text.decode(errors="replace")
-        a, b = self.encode_a(" " + plain), self.encode_b(plain)
-        whole = b" " + text
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return [], []
-        return a, b
-
-    def cuts(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+        if text:
+            plain, whole = text.decode(errors="replace"), b" " + text
+            a, b = self.coder.encode_to_numpy(" " + plain, disallowed_special=()), self.encode_b(plain)
+            # Byte-level tokens are the bytes they were made from, so their sum tells; pieces may be rewritten.
+            if self.size_a[a].sum() == len(whole) and b"".join(map(self.bytes_b.__getitem__, b)) == whole:
+                return a.astype(np.int64), np.array(b, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each group the number of A and of B tokens up to its end. Tokens are never empty, so an end
         belongs to one token of each side."""
         at_a = dict(zip(np.cumsum(self.size_a[a]).tolist(), range(1, len(a) + 1), strict=True))
         at_b = dict(zip(np.cumsum(self.size_b[b]).tolist(), range(1, len(b) + 1), strict=True))
         common = sorted(at_a.keys() & at_b.keys())
-        return [at_a[e] for e in common], [at_b[e] for e in common]
+        return tuple(np.array(list(map(at.__getitem__, common)), dtype=np.int64) for at in (at_a, at_b))
 
-    def groups(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
+    def groups(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
         """The ids of each group."""
         i = j = 0
-        for to_a, to_b in zip(*self.cuts(a, b), strict=True):
-            yield a[i:to_a], b[j:to_b]
+        for to_a, to_b in zip(*(c.tolist() for c in self.cuts(a, b)), strict=True):
+            yield a[i:to_a].tolist(), b[j:to_b].tolist()
             i, j = to_a, to_b
 
-    def digest(self, a: list[int], b: list[int], to_a: list[int], to_b: list[int]) -> str:
-        """SHA-256 of the groups as decimal ids, or an empty text without any."""
-        if not a:
+    def digest(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> str:
+        """SHA-256 of the groups as decimal ids, or an empty text without any. Every id is written with the mark
+        behind it: a comma, or a bar or semicolon where it is the last of its side."""
+        if not len(a):
             return ""
-        names_a, names_b = [self.name_a[i] for i in a], [self.name_b[i] for i in b]
-        i = j = 0
-        out = []
-        for u, v in zip(to_a, to_b, strict=True):
-            out.append(f"{names_a[i]}|{names_b[j]}" if u == i + 1 and v == j + 1 else f"{','.join(names_a[i:u])}|{','.join(names_b[j:v])}")
-            i, j = u, v
-        return hashlib.sha256(";".join(out).encode()).hexdigest()
+        marked_a, marked_b = a.copy(), b.copy()
+        marked_a[to_a - 1] += self.many
+        marked_b[to_b - 1] += 2 * self.many
+        in_order = np.empty(len(a) + len(b), dtype=np.int64)
+        in_order[np.arange(len(a)) + np.repeat(np.append(0, to_b[:-1]), np.diff(to_a, prepend=0))] = marked_a
+        in_order[np.arange(len(b)) + np.repeat(to_a, np.diff(to_b, prepend=0))] = marked_b
+        return hashlib.sha256("".join(map(self.written.__getitem__, in_order.tolist()))[:-1].encode()).hexdigest()
 
 
 @lru_cache(maxsize=2)
@@ -121,8 +121,7 @@ def _parts(path_a: str, path_b: str):
             for doc, text in zip(*rows(batch), strict=True):
                 a, b = both.ids(text)
                 to_a, to_b = both.cuts(a, b)
-                ends_a, ends_b = np.array(a, dtype=np.int64)[np.array(to_a, dtype=np.int64) - 1], np.array(b, dtype=np.int64)[np.array(to_b, dtype=np.int64) - 1]
-                pairs, times = np.unique(ends_a << 32 | ends_b, return_counts=True)
+                pairs, times = np.unique(a[to_a - 1] << 32 | b[to_b - 1], return_counts=True)
                 out.append((row, doc, len(a), len(b), len(to_a), len(to_a), both.digest(a, b, to_a, to_b), pairs, times))
                 row += 1
                 if len(out) == _ROWS:
