@@ -123,7 +123,11 @@ def window_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         begin, anchor = windows[first], anchors[first]
         docs, places, offsets, _ = (np.array(c, dtype=np.int64) for c in zip(*held, strict=True))
         of = np.searchsorted(places, begin, side="right") - 1
-        parts.append((docs[of], begin - places[of] + offsets[of], count, anchor - begin, (hashes[anchor] >> np.uint64(64 - _KEY_BITS)).astype(np.int64)))
+        # An anchor is the least of 35 hashes, so its own hash is a small number: mixed again, keys are even.
+        keys = hashes[anchor] * _MIX[1]
+        keys ^= keys >> np.uint64(32)
+        keys *= _MIX[2]
+        parts.append((docs[of], begin - places[of] + offsets[of], count, anchor - begin, (keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)))
     if not parts:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
