@@ -247,3 +247,52 @@ def reuse_or_compute(spark, sf):
         raise AssertionError("the stored table was not reused")
 
     return store.reuse_or_compute(spark, folder, never, key)
+
+
+_REGIONS = """SELECT 'Chr' || CAST(n_nationkey % 5 + 1 AS STRING) AS chrom,
+  CASE WHEN n_nationkey = 24 THEN NULL ELSE CAST(n_nationkey * 1500 AS BIGINT) END AS start,
+  CASE WHEN n_nationkey IN (23, 24) THEN NULL WHEN n_nationkey % 7 = 6 THEN CAST(n_nationkey * 1500 - 1 AS BIGINT)
+       ELSE CAST(n_nationkey * 1500 + n_regionkey * 4000 AS BIGINT) END AS {end}
+FROM {nation} WHERE n_nationkey % 5 < 4 OR n_nationkey = 24"""
+
+
+@query(
+    "read_variants_regions",
+    "sites calls d stats",
+    f"""SELECT variant_id, chrom, pos, ac FROM stats s WHERE EXISTS (
+          SELECT 1 FROM ({_REGIONS.format(end='stop', nation='nation')}) r
+          WHERE r.chrom = s.chrom AND s.pos >= coalesce(r.start, 0) AND (r.stop IS NULL OR s.pos <= r.stop))""",
+)
+def read_variants_regions(spark, sf):
+    """Overlapping, empty and open regions, and a whole chromosome."""
+    path = scratch_path(spark, "variants")
+    store.write_variants(site_stats(fx.called_sites(spark, sf)).drop("calls"), path)
+    regions = spark.sql(_REGIONS.format(end="end", nation="{nation}"), nation=fx.table(spark, sf, "nation"))
+    return store.read_regions(spark, path, regions).select("variant_id", "chrom", "pos", "ac")
+
+
+@query(
+    "reuse_parts",
+    sql="""SELECT o_orderpriority AS part, o_orderstatus AS status, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS total
+           FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderkey % 2 = 0 GROUP BY o_orderpriority, o_orderstatus""",
+)
+def reuse_parts(spark, sf):
+    """Five inputs, all computed, then one of them changed: the others come from what was kept."""
+    source, folder = scratch_path(spark, "inputs"), scratch_path(spark, "parts")
+    orders = fx.table(spark, sf, "orders").select("o_orderpriority", "o_orderstatus", "o_custkey", "o_orderkey")
+    names = [f"{k}-{n}" for k, n in enumerate(("URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW"), 1)]
+    paths = {n: f"{source}/{n[0]}" for n in names}
+    for n in names:
+        orders.filter(F.col("o_orderpriority") == n).write.parquet(paths[n])
+
+    def count(path):
+        return spark.read.parquet(path).groupBy(F.col("o_orderpriority").alias("part"), F.col("o_orderstatus").alias("status")).agg(
+            F.count("*").alias("n"), F.sum("o_custkey").alias("total")
+        )
+
+    first = store.reuse_parts(spark, folder, list(paths.values()), count)
+    orders.filter("o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0").write.mode("overwrite").parquet(paths["5-LOW"])
+    again = store.reuse_parts(spark, folder, list(paths.values()), count)
+    if (len(first.computed), again.computed) != (5, [paths["5-LOW"]]):
+        raise AssertionError(f"computed {first.computed}, then {again.computed}")
+    return again.table

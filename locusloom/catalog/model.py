@@ -14,6 +14,7 @@ from ..operators import results as R
 from ..operators import samples as SA
 from ..plans.association import association_run, association_traits, relatedness
 from ..session import scratch_path
+from ..sources import ledger
 from . import query, rounded
 
 N = fx.N_GENO_SAMPLES
@@ -181,11 +182,33 @@ def append_summary(spark, sf):
     for limit, name in (("0", None), ("5000", "covar")):
         rows = spark.sql(_RUN.format(limit).replace("FROM customer", "FROM {c}"), c=fx.table(spark, sf, "customer"))
         beta = F.array(F.lit(0.0), F.col("n").cast("double"))
-        RP.append_summary(rows.select("trait", F.lit(name).cast("string").alias("covariates"), "pve", beta.alias("beta")), path)
-    out = RP.compare_stored_runs(spark.read.parquet(path))
+        run_id = F.concat_ws("_", "trait", F.lit(name).cast("string")).alias("run_id")
+        RP.append_summary(rows.select(run_id, "trait", F.lit(name).cast("string").alias("covariates"), "pve", beta.alias("beta")), path)
+    out = RP.compare_stored_runs(RP.read_summaries(spark, path))
     return out.select("trait", *[rounded(c).alias(c) for c in ("pve_0", "pve_c", "pve_delta")], F.get("beta_c", F.lit(1)).alias("beta_c"))
 
 
+@query(
+    "run_ledger",
+    sql="""SELECT run_id, pve, n FROM (
+      SELECT 'c' || CAST(o_custkey AS VARCHAR) AS run_id, round(sum(o_totalprice) / 1e6, 6) AS pve, count(*) AS n, 1 + CAST(substr(o_orderpriority, 1, 1) AS INT) % 3 AS step,
+        row_number() OVER (PARTITION BY o_custkey ORDER BY 1 + CAST(substr(o_orderpriority, 1, 1) AS INT) % 3 DESC) AS back
+      FROM orders GROUP BY o_custkey, 1 + CAST(substr(o_orderpriority, 1, 1) AS INT) % 3) WHERE back = 1""",
+)
+def run_ledger(spark, sf):
+    """Records of the same keys in three appends, one of them repeated, and one that was never committed."""
+    path = scratch_path(spark, "ledger")
+    orders = fx.table(spark, sf, "orders")
+    step = 1 + F.substring("o_orderpriority", 1, 1).cast("int") % 3
+    rows = orders.groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("run_id"), step.alias("step")).agg(
+        rounded(F.sum("o_totalprice") / 1e6, 6).alias("pve"), F.count("*").alias("n")
+    )
+    for k in (1, 2, 2, 3):
+        ledger.append(rows.filter(F.col("step") == k).drop("step"), path)
+    ledger.write_rows(rows.withColumn("pve", F.lit(-1.0)).drop("step"), path, "lost")
+    return ledger.newest(spark, path)
+
+
 @query("pve_delta")
 def pve_delta(spark, sf):
     kin = relatedness(fx.geno(spark, sf), N)

@@ -64,6 +64,26 @@ def test_kinship_against_brute_force(spark, standardize):
     assert several == pytest.approx(got, abs=1e-10)
 
 
+@pytest.mark.parametrize("side, fractions", [(7, False), (13, True), (20, False)])
+def test_kinship_in_tiles(spark, monkeypatch, side, fractions):
+    """Three tiles and more, several blocks of rows a task, whole and fractional dosages."""
+    monkeypatch.setattr(K, "BLOCK_CELLS", 40 * 9)
+    G, _ = study(seed=4)
+    if fractions:
+        G[::3] *= 0.9
+    for standardize in (False, True):
+        got = as_matrix(K.kinship(as_geno(spark, G, 6), 40, standardize, side=side), 40)
+        assert got == pytest.approx(brute_kinship(G, standardize), abs=1e-10)
+
+
+def test_kinship_adds_up_over_parts(spark):
+    G, _ = study(seed=6)
+    parts = [K.kinship_sums(as_geno(spark, G[k::3]), 40, side=16) for k in range(3)]
+    got = as_matrix(K.kinship_of_sums(parts[0].unionByName(parts[1]).unionByName(parts[2])), 40)
+    assert got == pytest.approx(brute_kinship(G), abs=1e-10)
+    assert K.kinship_sums(as_geno(spark, np.ones((5, 40))), 40).count() == 0
+
+
 def test_kinship_rejects_short_rows(spark):
     G, _ = study(m=10)
     with pytest.raises(Exception, match="must hold 41 values"):

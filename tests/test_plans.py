@@ -1,15 +1,17 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from locusloom import fixtures as fx
 from locusloom.operators import results as R
 from locusloom.operators import samples as SA
-from locusloom.operators.report import append_summary
+from locusloom.operators.report import append_summary, compare_stored_runs, read_summaries
 from locusloom.plans import analysis, association, phenotyping
 from locusloom.plans.funnel import quality_funnel
 from locusloom.plans.study import study_inputs
 from locusloom.session import scratch_path
-from locusloom.sources import tables
+from locusloom.sources import ledger, tables
 from locusloom.streaming.clean import clean_as_they_arrive, stream_assoc
 
 
@@ -26,8 +28,8 @@ def test_from_calls_to_hits(spark, sf_mid):
     path = scratch_path(spark, "runs")
     for _ in range(2):
         append_summary(run.summary, path)
-    kept_runs = spark.read.parquet(path)
-    assert kept_runs.count() == 2 and kept_runs.first().parameters["maf"] == "0.1"
+    kept_runs = read_summaries(spark, path)
+    assert kept_runs.count() == 1 and kept_runs.first().parameters["maf"] == "0.1"
     assert run.assoc.filter("af > 0.5 OR af < 0.1").count() == 0
     out = analysis.result_tables(run.clean, 0.05, ["snp3"])
     n = run.clean.filter("P < 1").count()
@@ -49,6 +51,42 @@ def test_covariate_removes_its_own_signal(spark, sf_mid):
     assert row.n_covariates == 2 and len(row.beta) == len(row.se_beta) == 2
 
 
+def summaries(spark, pve, covariates=None, trait="t"):
+    run_id = trait if covariates is None else f"{trait}_{covariates}"
+    return spark.createDataFrame([(run_id, trait, covariates, pve, [pve])], "run_id string, trait string, covariates string, pve double, beta array<double>")
+
+
+def test_ledger_survives_retries(spark):
+    path = scratch_path(spark, "ledger")
+    for pve in (0.9, 0.8):
+        append_summary(summaries(spark, pve), path)
+        append_summary(summaries(spark, pve / 2, "snp"), path)
+    append_summary(summaries(spark, 0.1, "other"), path)
+    ledger.write_rows(summaries(spark, 0.0), path, "half")  # a writer that was lost before its commit
+    rows = {r.covariates: r for r in compare_stored_runs(read_summaries(spark, path)).collect()}
+    assert set(rows) == {"snp", "other"}
+    assert rows["snp"].pve_delta == pytest.approx(0.4) and rows["other"].pve_delta == pytest.approx(0.7)
+    assert ledger.history(spark, path).count() == 5
+    ledger.commit(spark, path, "half")  # the retry finishes it
+    assert read_summaries(spark, path).filter("run_id = 't'").first().pve == 0.0
+
+
+def test_ledger_of_two_writers(spark):
+    path = scratch_path(spark, "ledger")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: append_summary(summaries(spark, k / 10, trait=f"t{k % 6}"), path), range(12)))
+    assert ledger.history(spark, path).count() == 12 and read_summaries(spark, path).count() == 6
+    wide = summaries(spark, 0.5, trait="t9").withColumn("note", F.lit("new column"))
+    append_summary(wide, path)
+    assert {r.run_id: r.note for r in read_summaries(spark, path).collect()}["t9"] == "new column"
+
+
+def test_several_runs_of_one_trait_fail(spark):
+    twice = summaries(spark, 0.5).unionByName(summaries(spark, 0.4).withColumn("run_id", F.lit("else")))
+    with pytest.raises(Exception, match="several runs of t"):
+        compare_stored_runs(twice.unionByName(summaries(spark, 0.1, "snp"))).collect()
+
+
 def test_measurements_to_sample_order(spark):
     a = spark.createDataFrame([("Col_2017-1.tif", "compact", 1.0, "t1"), ("Col_2017-2.tif", "", 3.0, "t1")], "label string, type string, area double, tag string")
     b = spark.createDataFrame([("t2", 5.0, "loose", "Ler_2017-1.tif")], "tag string, area double, type string, label string")

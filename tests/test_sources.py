@@ -1,9 +1,11 @@
 import gzip
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from locusloom.operators import kinship as K
 from locusloom.operators import results as R
 from locusloom.session import scratch_path
 from locusloom.sources import sinks, store, tables, vcf
@@ -160,6 +162,70 @@ def test_reuse_follows_inputs_not_names(spark, folder):
     assert len(built) == 4
 
 
+def test_only_changed_parts_are_computed(spark, folder):
+    """One of five files touched: one part is computed, and the sum of all parts is that of a full run."""
+    rng = np.random.default_rng(2)
+    lines = [["\t".join(map(str, rng.integers(0, 3, 12))) for _ in range(30)] for _ in range(6)]
+    paths = [folder(f"g/{k}.tsv", "\n".join(lines[k])) for k in range(5)]
+    target, built = scratch_path(spark, "parts"), []
+
+    def geno(*names):
+        return spark.read.text(list(names)).select(F.split("value", "\t").cast("array<double>").alias("dosage"))
+
+    def sums(path):
+        built.append(path)
+        return K.kinship_sums(geno(path), 12)
+
+    def rows(df):
+        return sorted((r.i, r.j, round(r.k, 9)) for r in df.collect())
+
+    found = store.reuse_parts(spark, target, paths, sums, {"maf": 0.01})
+    assert len(built) == len(found.computed) == 5
+    assert rows(K.kinship_of_sums(found.table)) == rows(K.kinship(geno(*paths), 12))
+    folder("g/3.tsv", "\n".join(lines[5]))
+    built.clear()
+    found = store.reuse_parts(spark, target, paths, sums, {"maf": 0.01})
+    assert built == found.computed == [paths[3]]
+    assert rows(K.kinship_of_sums(found.table)) == rows(K.kinship(geno(*paths), 12))
+    built.clear()
+    fewer = store.reuse_parts(spark, target, paths[:2], sums, {"maf": 0.01})
+    assert built == [] and rows(K.kinship_of_sums(fewer.table)) == rows(K.kinship(geno(*paths[:2]), 12))
+    store.reuse_parts(spark, target, paths, sums, {"maf": 0.02})
+    assert len(built) == 5
+    with pytest.raises(ValueError, match="twice"):
+        store.reuse_parts(spark, target, [paths[0], paths[0]], sums)
+
+
+def test_regions_prune_and_meet_in_bins(spark):
+    rows = spark.range(4000).select(
+        F.concat(F.lit("c"), (F.col("id") % 4).cast("string")).alias("chrom"), (F.col("id") * 997).alias("pos"), F.lit("A").alias("ref"), F.col("id").cast("string").alias("id"),
+    ).unionByName(spark.createDataFrame([("c1", 500_000, "A", str(-k)) for k in range(1, 400)], "chrom string, pos long, ref string, id string"))
+    path = scratch_path(spark, "store")
+    store.write_variants(rows, path, partitions=12)
+    every = [(r.chrom, r.pos, r.id) for r in rows.collect()]
+
+    def check(regions):
+        df = spark.createDataFrame(regions, "chrom string, start long, end long")
+        found = store.read_regions(spark, path, df)
+        want = [v for v in every if any(c == v[0] and v[1] >= (s or 0) and (e is None or v[1] <= e) for c, s, e in regions)]
+        assert sorted((r.chrom, r.pos, r.id) for r in found.collect()) == sorted(want)
+        return found, len(want)
+
+    found, n = check([("c1", 400_000, 600_000), ("c1", 450_000, 700_000), ("c2", 10, 5), ("c2", 1_000_000, 1_000_100), ("absent", 0, 10)])
+    assert n > 400
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = found.select("pos")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    folders = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "chrom" in folders and "c1" in folders and "GreaterThanOrEqual(pos,400000)" in plan and "LessThanOrEqual(pos,700000)" in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    check([("c3", None, None), ("c0", None, 300_000), ("c0", 2_000_000, None), ("c0", 250_000, 260_000)])
+    check([("c0", s, s + 200_000) for s in range(0, 4_000_000, 150_000)] + [("c1", 0, 0), ("c1", -5, -1), ("c2", -10, 20_000)])
+    check([("c1", -10, -2)])
+    assert check([("c2", 9, 3)])[1] == 0
+    assert store.read_regions(spark, path, spark.createDataFrame([], "chrom string, start long, end long")).count() == 0
+
+
 def test_no_job_while_a_plan_is_built(spark):
     """Row-wise operators work on a stream, which could not be collected."""
     from locusloom.operators import results, sites
