@@ -12,6 +12,7 @@ from ..plans.funnel import quality_funnel
 from ..plans.study import study_inputs
 from ..session import scratch_path
 from ..sources import sinks, store, tables, vcf
+from ..streaming.clean import clean_with_quarantine, finished_batches, stream_assoc
 from . import phenotypes, query
 from .results import clean
 from .variants import FUNNEL_SQL
@@ -76,7 +77,7 @@ def _keep_list(spark, sf) -> str:
     """A file with the ids of some samples, in another order than the study's."""
     path = scratch_path(spark, "keep")
     ids = fx.call_samples(spark, sf).filter("sample_idx % 3 <> 1").orderBy(F.col("sample_id").desc())
-    ids.select("sample_id").coalesce(1).write.text(path)
+    ids.select("sample_id").write.text(path)
     return path
 
 
@@ -97,12 +98,14 @@ def subset_by_id(spark, sf):
     return sites.select("variant_id", F.posexplode("calls").alias("sample_idx", "c")).join(order, "sample_idx").select("variant_id", "sample_idx", "sample_id", "c.gt")
 
 
-_KEPT_FUNNEL = f""", keepers AS ({_KEEP}),
+_KEPT_PARTS = f""", keepers AS ({_KEEP}),
     kept_d AS (SELECT * FROM d WHERE sample_idx IN (SELECT sample_idx FROM keepers)),
     kept_md AS (SELECT * FROM md WHERE sample_idx IN (SELECT sample_idx FROM keepers)),
     kept_stats AS (SELECT s.*, coalesce(n.ac, 0) AS ac FROM sites s
                    LEFT JOIN (SELECT variant_id, sum(d) AS ac FROM kept_d GROUP BY variant_id) n ON n.variant_id = s.variant_id)
-    """ + FUNNEL_SQL.replace("stats s", "kept_stats s").replace("FROM md", "FROM kept_md").replace("10 - ", "(SELECT count(*) FROM keepers) - ").replace("<= 5", "<= 3")
+    """
+_KEPT_SITES = FUNNEL_SQL.replace("stats s", "kept_stats s").replace("FROM md", "FROM kept_md").replace("10 - ", "(SELECT count(*) FROM keepers) - ").replace("<= 5", "<= 3")
+_KEPT_FUNNEL = _KEPT_PARTS + _KEPT_SITES
 
 
 @query("quality_funnel_by_id", "sites calls d md", _KEPT_FUNNEL)
@@ -123,8 +126,8 @@ def study(spark, sf):
     """Phenotypes, covariates and calls as files; their checks, and the markers that stay."""
     lines = fx.call_samples(spark, sf).orderBy("sample_idx")
     paths = {name: scratch_path(spark, name) for name in ("height.tsv", "covar.txt", "markers")}
-    lines.select((F.col("sample_idx") * F.col("sample_idx")).cast("string")).coalesce(1).write.text(paths["height.tsv"])
-    lines.select(F.concat(F.lit("1\t"), F.col("sample_idx").cast("string"))).coalesce(1).write.text(paths["covar.txt"])
+    lines.select((F.col("sample_idx") * F.col("sample_idx")).cast("string")).write.text(paths["height.tsv"])
+    lines.select(F.concat(F.lit("1\t"), F.col("sample_idx").cast("string"))).write.text(paths["covar.txt"])
     found = study_inputs(
         spark, paths["height.tsv"], _vcf(spark, sf), paths["markers"], ["height"], paths["covar.txt"],
         chromosomes=[f"Chr{i}" for i in range(1, 6)], max_missing=5,
@@ -133,6 +136,35 @@ def study(spark, sf):
     return found.markers.select("chrom", "rs", "pos").crossJoin(F.broadcast(totals))
 
 
+@query(
+    "study_inputs_by_id",
+    "sites calls d md",
+    f"""{_KEPT_PARTS} SELECT f.chrom, f.id AS rs, f.pos, t.n AS n_dosages, coalesce(c.called_at, 0) AS called_at, t.height, t.covariate
+        FROM ({_KEPT_SITES}) f
+        LEFT JOIN (SELECT variant_id, CAST(sum(position + 1) AS BIGINT) AS called_at FROM kept_md JOIN keepers USING (sample_idx)
+                   WHERE d IS NOT NULL GROUP BY variant_id) c ON c.variant_id = f.variant_id
+        CROSS JOIN (SELECT CAST(count(*) AS INT) AS n, CAST(sum((position + 1) * sample_idx * sample_idx) AS DOUBLE) AS height,
+                      CAST(sum((position + 1) * sample_idx) AS DOUBLE) AS covariate FROM keepers) t""",
+)
+def study_by_id(spark, sf):
+    """A keep list in another order, phenotypes by id in a third: everything follows the list. Sums weighted by the
+    new ordinals show that phenotypes, covariates and calls agree on them."""
+    lines = fx.call_samples(spark, sf)
+    paths = {name: scratch_path(spark, name) for name in ("height.tsv", "covar.txt", "markers")}
+    square = (F.col("sample_idx") * F.col("sample_idx")).cast("string")
+    lines.orderBy(F.reverse("sample_id")).select(F.concat_ws("\t", "sample_id", square)).write.text(paths["height.tsv"])
+    lines.orderBy("sample_idx").select(F.concat(F.lit("1\t"), F.col("sample_idx").cast("string"))).write.text(paths["covar.txt"])
+    found = study_inputs(
+        spark, paths["height.tsv"], _vcf(spark, sf), paths["markers"], ["height"], paths["covar.txt"], _keep_list(spark, sf), by_id=True,
+        chromosomes=[f"Chr{i}" for i in range(1, 6)], max_missing=3,
+    )
+    weight = F.col("sample_idx") + 1
+    totals = found.pheno.agg(F.sum(weight * F.col("height")).alias("height")).crossJoin(found.covar.agg(F.sum(weight * F.get("w", F.lit(1))).alias("covariate")))
+    called = F.transform("dosage", lambda d, i: F.when(d.isNotNull(), i + 1).otherwise(0))
+    at = F.aggregate(called, F.lit(0).cast("long"), lambda total, x: total + x).alias("called_at")
+    return found.markers.select("chrom", "rs", "pos", F.size("dosage").alias("n_dosages"), at).crossJoin(F.broadcast(totals))
+
+
 @query("write_phenotype", sql=f"SELECT sample_idx, height FROM ({phenotypes._ALIGNED})")
 def write_phenotype(spark, sf):
     path = scratch_path(spark, "pheno")
@@ -144,7 +176,7 @@ def write_phenotype(spark, sf):
 def read_phenotypes(spark, sf):
     path = scratch_path(spark, "traits")
     line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in ("height", "width")])
-    phenotypes.align_phenotypes(spark, sf).orderBy("sample_idx").select(line.alias("value")).coalesce(1).write.text(path)
+    phenotypes.align_phenotypes(spark, sf).orderBy("sample_idx").select(line.alias("value")).write.text(path)
     return tables.read_phenotypes(spark, path, ["height", "width"])
 
 
@@ -153,7 +185,7 @@ def read_covariates(spark, sf):
     path = scratch_path(spark, "covar")
     s = fx.table(spark, sf, "supplier")
     line = F.concat_ws("\t", F.lit("1"), F.col("s_nationkey").cast("string")).alias("value")
-    s.orderBy("s_suppkey").select(line).coalesce(1).write.text(path)
+    s.orderBy("s_suppkey").select(line).write.text(path)
     return tables.read_covariates(spark, path).select("sample_idx", F.get("w", F.lit(0)).alias("w0"), F.get("w", F.lit(1)).alias("w1"))
 
 
@@ -222,6 +254,27 @@ def read_measurements(spark, sf):
     return tables.read_measurements(spark, path, r"\.csv$", schema).drop("source_file")
 
 
+@query(
+    "read_measurements_by_name",
+    "nuclei",
+    """SELECT label, CASE WHEN label NOT LIKE '%5%' THEN type END AS type, nuc_area, CASE WHEN label LIKE '%7%' THEN nuc_price END AS nuc_price,
+         CASE WHEN label LIKE '%5%' OR label LIKE '%7%' THEN cc_area END AS cc_area FROM nuclei""",
+)
+def read_measurements_by_name(spark, sf):
+    """Files of four layouts: columns in other orders, and some of them absent."""
+    path = scratch_path(spark, "layouts")
+    n = fx.nuclei(spark, sf)
+    five, seven = F.col("label").contains("5"), F.col("label").contains("7")
+    layouts = [
+        (five & seven, ["cc_area", "label", "nuc_price", "nuc_area"]), (five & ~seven, ["nuc_area", "cc_area", "label"]),
+        (~five & seven, ["type", "nuc_price", "label", "cc_area", "nuc_area"]), (~five & ~seven, ["label", "type", "nuc_area"]),
+    ]
+    for kind, columns in layouts:
+        n.filter(kind).select(*columns).write.mode("append").option("sep", "\t").option("header", True).csv(path)
+    schema = "label string, type string, nuc_area double, nuc_price double, cc_area double"
+    return tables.read_measurements(spark, path, r"\.csv$", schema).drop("source_file")
+
+
 @query("write_variants", "sites calls d stats", "SELECT variant_id, chrom, pos, ac FROM stats WHERE chrom IN ('Chr1', 'Chr4')")
 def write_variants(spark, sf):
     path = scratch_path(spark, "variants")
@@ -249,6 +302,19 @@ def reuse_or_compute(spark, sf):
     return store.reuse_or_compute(spark, folder, never, key)
 
 
+@query("stream_quarantine", "assoc clean", """SELECT 'clean' AS part, "SNP" AS rs, "CHR" AS chrom, "BP" AS ps FROM clean
+    UNION ALL SELECT 'rejected', rs, NULL, ps FROM assoc WHERE rs NOT IN (SELECT "SNP" FROM clean)""")
+def stream_quarantine(spark, sf):
+    """Result files as a stream, split into clean and rejected rows; both stored by batch."""
+    source, folder = scratch_path(spark, "arriving"), scratch_path(spark, "split")
+    fx.assoc(spark, sf).write.option("sep", "\t").option("header", True).csv(source)
+    arriving = stream_assoc(spark, source, fx.assoc(spark, sf).schema.simpleString()[7:-1].replace(":", " "))
+    clean_with_quarantine(arriving, folder, scratch_path(spark, "split-state")).awaitTermination()
+    kept = finished_batches(spark, folder, "clean").select(F.lit("clean").alias("part"), F.col("SNP").alias("rs"), F.col("CHR").alias("chrom"), F.col("BP").alias("ps"))
+    lost = finished_batches(spark, folder, "rejected").select(F.lit("rejected").alias("part"), "rs", F.lit(None).cast("long").alias("chrom"), "ps")
+    return kept.unionByName(lost)
+
+
 _REGIONS = """SELECT 'Chr' || CAST(n_nationkey % 5 + 1 AS STRING) AS chrom,
   CASE WHEN n_nationkey = 24 THEN NULL ELSE CAST(n_nationkey * 1500 AS BIGINT) END AS start,
   CASE WHEN n_nationkey IN (23, 24) THEN NULL WHEN n_nationkey % 7 = 6 THEN CAST(n_nationkey * 1500 - 1 AS BIGINT)

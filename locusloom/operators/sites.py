@@ -88,6 +88,17 @@ def subset_samples_long(calls: DataFrame, kept: DataFrame) -> DataFrame:
     return calls.join(kept.select("sample_idx"), "sample_idx", "left_semi")
 
 
+def listed_samples(samples: DataFrame, keep: DataFrame) -> DataFrame:
+    """``samples(sample_idx, sample_id)`` of the ids listed in ``keep(position, sample_id)``, renumbered from 0 in list
+    order. An unknown or repeated id fails by name. Both lists have a row per sample of the study."""
+    wanted = [r["sample_id"] for r in keep.select("position", "sample_id").orderBy("position").collect()]
+    known = {r["sample_id"] for r in samples.select("sample_id").collect()}
+    unknown = [i for i in wanted if i not in known]
+    if unknown or len(set(wanted)) < len(wanted):
+        raise ValueError(f"unknown sample ids {unknown}" if unknown else "a sample id is listed twice")
+    return samples.sparkSession.createDataFrame(list(enumerate(wanted)), "sample_idx int, sample_id string")
+
+
 def subset_by_id(sites: DataFrame, samples: DataFrame, keep: DataFrame, array: str = "calls") -> tuple[DataFrame, DataFrame]:
     """``(sites, samples)`` of the ids listed in ``keep(position, sample_id)``, in list order.
 
@@ -95,12 +106,9 @@ def subset_by_id(sites: DataFrame, samples: DataFrame, keep: DataFrame, array: s
     with the calls, so ordinals of calls and phenotypes cannot disagree. An unknown or repeated id
     fails by name. Both lists have a row per sample of the study, as wide as one row of ``sites``.
     """
-    wanted = [r["sample_id"] for r in keep.select("position", "sample_id").orderBy("position").collect()]
+    order = listed_samples(samples, keep)
     place = {r["sample_id"]: r["sample_idx"] for r in samples.select("sample_id", "sample_idx").collect()}
-    unknown = [i for i in wanted if i not in place]
-    if unknown or len(set(wanted)) < len(wanted):
-        raise ValueError(f"unknown sample ids {unknown}" if unknown else "a sample id is listed twice")
-    order = samples.sparkSession.createDataFrame(list(enumerate(wanted)), "sample_idx int, sample_id string")
+    wanted = [r["sample_id"] for r in order.orderBy("sample_idx").collect()]
     return subset_samples(sites, [place[i] for i in wanted], array), order
 
 

@@ -1,4 +1,5 @@
-"""Text outputs. Folders of part files; sample-sized outputs are a single part in sample order."""
+"""Text outputs: folders of part files. Outputs in sample order are range partitioned, so the parts follow each
+other by name, and :func:`..sources.tables.numbered_lines` numbers them through."""
 
 from __future__ import annotations
 
@@ -17,7 +18,8 @@ def write_bed(bed: DataFrame, path: str) -> None:
 
 
 def _ordered_text(df: DataFrame, line) -> DataFrame:
-    return df.orderBy("sample_idx").select(line.alias("value")).coalesce(1)
+    """One range of samples a part; parts are named in order."""
+    return df.orderBy("sample_idx").select(line.alias("value"))
 
 
 def write_phenotype(pheno: DataFrame, trait: str, path: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -13,19 +15,21 @@ from ..operators.samples import MISSING_PHENOTYPE
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``sample_idx, value``: the lines of one headerless file with their number from 0. Several
-    files have no order among them, so they are refused."""
+    """``sample_idx, value``: the lines of a headerless file with their number from 0. Several files, such as the
+    ordered parts that the sinks write, are numbered through in order of their names.
+
+    Lines are counted for each split of a file, and every split adds its own start: lines stay
+    where they are read, and what is put in order is one row for each split.
+    """
     # Only a line feed ends a line: carriage returns stay visible to the checks.
     lines = spark.read.option("lineSep", "\n").text(path)
-    if len(lines.inputFiles()) > 1:
-        raise ValueError(f"{path}: lines are numbered within one file only")
-    # Ids rise within a partition from its number times 2^33; earlier partitions are counted once.
-    placed = lines.select("value", F.monotonically_increasing_id().alias("id")).withColumn("part", F.shiftright("id", 33))
-    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("part", before.alias("start"))  # a row for each split of one file
-    within = F.col("id") - F.shiftleft("part", 33)
-    return placed.join(starts, "part").select((F.col("start") + within).cast("int").alias("sample_idx"), "value")
+    at = {"name": "file_name", "file": "file_path", "block": "file_block_start"}
+    # Ids rise one by one within a split, wherever in a task it is read.
+    placed = lines.select("value", *(F.col(f"_metadata.{c}").alias(k) for k, c in at.items()), F.monotonically_increasing_id().alias("id"))
+    splits = placed.groupBy(*at).agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = F.coalesce(F.sum("n").over(W.orderBy(*at).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = splits.select("file", "block", (before - F.col("first")).alias("shift"))
+    return placed.join(starts, ["file", "block"]).select((F.col("shift") + F.col("id")).cast("int").alias("sample_idx"), "value")
 
 
 def read_keep_list(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +49,15 @@ def read_phenotypes(spark: SparkSession, path: str, names: Sequence[str]) -> Dat
     )
 
 
+def read_phenotypes_by_id(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """``sample_id`` and one column per trait: the first field of a line is the sample's id, so lines may stand in
+    any order. Values as in :func:`read_phenotypes`; blank lines are left out."""
+    fields = F.split(F.regexp_replace("value", "\r$", ""), "\t")
+    rows = spark.read.option("lineSep", "\n").text(path).select(fields.alias("f")).filter(F.array_join("f", "") != "")
+    values = [F.trim(F.get("f", F.lit(i + 1))).try_cast("double") for i in range(len(names))]
+    return rows.select(F.trim(F.col("f")[0]).alias("sample_id"), *[F.when(v != MISSING_PHENOTYPE, v).alias(name) for name, v in zip(names, values)])
+
+
 def read_covariates(spark: SparkSession, path: str) -> DataFrame:
     """``sample_idx, w``: all columns of a headerless file as one array of doubles."""
     return numbered_lines(spark, path).select(
@@ -81,20 +94,39 @@ def read_clean_assoc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", True).schema(CLEAN_SCHEMA).csv(path)
 
 
+def file_headers(spark: SparkSession, folder: str, name_pattern: str) -> DataFrame:
+    """``header, files``: the first line of all files whose name matches, and the files that have it. One pass over
+    the text; a row for each layout comes out, with the paths of its files."""
+    at = {c: F.col(f"_metadata.{c}") for c in ("file_name", "file_path", "file_block_start")}
+    lines = spark.read.text(folder).select("value", *(c.alias(k) for k, c in at.items()), F.monotonically_increasing_id().alias("id"))
+    first = lines.filter(F.col("file_name").rlike(name_pattern) & (F.col("file_block_start") == 0)).groupBy("file_path").agg(F.min_by("value", "id").alias("header"))
+    return first.groupBy("header").agg(F.array_sort(F.collect_list("file_path")).alias("files"))
+
+
 def read_measurements(
-    spark: SparkSession, folder: str, name_pattern: str, schema: T.StructType | str
+    spark: SparkSession, folder: str, name_pattern: str, schema: T.StructType | str, unknown: str = "fail"
 ) -> DataFrame:
-    """All files of one layout whose *name* matches a regular expression; ``source_file`` keeps the name.
+    """All files whose *name* matches a regular expression, bound by column name; ``source_file`` keeps the name.
 
-    Files with other headers fail rather than being read by position. The name is a metadata
-    column, so files that do not match are skipped before they are opened.
+    Files may have their columns in different orders or lack some, which are null then. Files are grouped by header, and each
+    layout is read in one scan that checks the headers again. A column that ``schema`` does not
+    know fails by name, unless ``unknown`` is ``drop``; a column that stands twice always fails. Without a matching
+    file there are no rows.
     """
-    return (
-        spark.read.option("sep", "\t")
-        .option("header", True)
-        .option("enforceSchema", False)
-        .schema(schema)
-        .csv(folder)
-        .select("*", F.col("_metadata.file_name").alias("source_file"))
-        .filter(F.col("source_file").rlike(name_pattern))
-    )
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    known = {f.name.lower(): f for f in wanted}
+    found: list[DataFrame] = []
+    for row in file_headers(spark, folder, name_pattern).orderBy("header").collect():
+        names = [n.strip() for n in next(csv.reader([row["header"]], delimiter="\t"))]
+        lower = [n.lower() for n in names]
+        strange = [n for n in names if n.lower() not in known]
+        if len(set(lower)) < len(lower) or (strange and unknown != "drop"):
+            problem = f"unknown columns {strange}" if strange else f"repeated columns in {names}"
+            raise ValueError(f"{row['files'][0]} and {len(row['files']) - 1} more: {problem}")
+        layout = T.StructType([known.get(n.lower(), T.StructField(n, T.StringType())) for n in names])
+        read = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", False).schema(layout).csv(row["files"])
+        columns = [(F.col(f"`{f.name}`") if f.name.lower() in lower else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted]
+        found.append(read.select(*columns, F.col("_metadata.file_name").alias("source_file")))
+    if not found:
+        return spark.createDataFrame([], T.StructType([*wanted.fields, T.StructField("source_file", T.StringType())]))
+    return reduce(DataFrame.unionByName, found)

@@ -12,6 +12,7 @@ from locusloom.plans.funnel import quality_funnel
 from locusloom.plans.study import study_inputs
 from locusloom.session import scratch_path
 from locusloom.sources import ledger, tables
+from locusloom.streaming import clean
 from locusloom.streaming.clean import clean_as_they_arrive, stream_assoc
 
 
@@ -109,6 +110,37 @@ def test_cleaning_a_stream_equals_the_batch(spark, sf):
     assert got.count() == expect.count() and got.exceptAll(expect).count() == 0
 
 
+def test_quarantine_survives_a_kill_between_the_sinks(spark, sf, monkeypatch):
+    source, folder, state = (scratch_path(spark, n) for n in ("arriving", "split", "state"))
+    rows = fx.assoc(spark, sf)
+    schema = rows.schema.simpleString()[7:-1].replace(":", " ")
+    parts = rows.randomSplit([0.4, 0.6], seed=1)
+    parts[0].write.option("sep", "\t").option("header", True).csv(source)
+    run = lambda: clean.clean_with_quarantine(stream_assoc(spark, source, schema), folder, state).awaitTermination()
+    run()
+    parts[1].write.mode("append").option("sep", "\t").option("header", True).csv(source)
+    written, write = [], clean.write_batch
+
+    def killed(df, path):
+        if "rejected" in path or "finished" in path:
+            raise RuntimeError("killed between the sinks")
+        written.append(path)
+        write(df, path)
+
+    monkeypatch.setattr(clean, "write_batch", killed)
+    for _ in range(2):
+        with pytest.raises(Exception, match="killed between"):
+            run()
+    assert len(written) == 2 and written[0] == written[1]
+    seen = clean.finished_batches(spark, folder, "clean").count()
+    assert seen == R.clean_assoc(parts[0]).count()  # the half batch is not seen
+    monkeypatch.setattr(clean, "write_batch", write)
+    run()
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(clean.finished_batches(spark, folder, "clean"), R.clean_assoc(rows))
+    assert same(clean.finished_batches(spark, folder, "rejected"), R.rejected_assoc(rows))
+
+
 def test_result_file_round_trip_through_the_reader(spark, sf):
     path = scratch_path(spark, "assoc")
     fx.assoc(spark, sf).write.option("sep", "\t").option("header", True).csv(path)
@@ -144,3 +176,58 @@ def test_study_refuses_bad_files(spark, tmp_path, heights, covar, match):
     path = lambda name: str(tmp_path / name) if files[name] is not None else None
     with pytest.raises(ValueError, match=match):
         study_inputs(spark, path("height.tsv"), path("calls.vcf"), str(tmp_path / "out"), covariate_path=path("covar.txt"))
+
+
+HEAD = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "a", "b", "c", "d"])
+
+
+def calls_file(tmp_path):
+    """Four samples whose calls tell them apart: 0/0, 0/1, 1/1 and a gap, turned by site."""
+    calls = ["0/0:9:99", "0/1:9:99", "1/1:9:99", "./.:.:."]
+    sites = [f"Chr1\t{10 * k + 10}\t.\tA\tC\t.\tPASS\t.\tGT:DP:GQ\t" + "\t".join(calls[(k + i) % 4] for i in range(4)) for k in range(4)]
+    (tmp_path / "calls.vcf").write_text("\n".join(["##fileformat=VCFv4.2", HEAD, *sites]) + "\n")
+    return str(tmp_path / "calls.vcf")
+
+
+def test_study_by_id_and_keep_list(spark, tmp_path):
+    calls = calls_file(tmp_path)
+    (tmp_path / "height.tsv").write_text("c\t3\nx\t99\na\t1\nd\t4\nb\t2\n")
+    (tmp_path / "plain.tsv").write_text("1\n2\n3\n4\n")
+    (tmp_path / "covar.txt").write_text("1\t10\n1\t20\n1\t30\n1\t40\n")
+    (tmp_path / "keep.txt").write_text("d\na\nc\n")
+    path = lambda n: str(tmp_path / n)
+    for phenotypes, by_id in (("height.tsv", True), ("plain.tsv", False)):
+        found = study_inputs(
+            spark, path(phenotypes), calls, path(f"out-{by_id}"), ["height"], path("covar.txt"), path("keep.txt"), by_id, singletons=True, min_alt=0
+        )
+        assert sorted(map(tuple, found.samples.collect())) == [(0, "d"), (1, "a"), (2, "c")]
+        assert sorted((r.sample_idx, r.sample_id, r.height) for r in found.pheno.collect()) == [(0, "d", 4.0), (1, "a", 1.0), (2, "c", 3.0)]
+        assert sorted((r.sample_idx, r.w) for r in found.covar.collect()) == [(0, [1.0, 40.0]), (1, [1.0, 10.0]), (2, [1.0, 30.0])]
+        gap = {r.pos: [i for i, d in enumerate(r.dosage) if d is None] for r in found.markers.collect()}
+        of = {"a": 3, "b": 2, "c": 1, "d": 0}  # the site at which a sample has its gap
+        assert all(len(r.dosage) == 3 for r in found.markers.collect()) and len(gap) == 4
+        assert {p: g for p, g in gap.items() if g} == {10 * of[s] + 10: [i] for i, s in enumerate("dac")}
+    everyone = study_inputs(spark, path("plain.tsv"), calls, path("out-all"), ["height"], singletons=True, min_alt=0)
+    assert [r.sample_id for r in everyone.samples.orderBy("sample_idx").collect()] == list("abcd")
+    assert all(len(r.dosage) == 4 for r in everyone.markers.collect())
+
+
+@pytest.mark.parametrize(
+    "options, match",
+    [
+        ({"samples": [1, 0]}, "keep list of ids"), ({"by_id": True}, "only_phenotypes': 1"), ({"keep": "d\nz\n"}, "unknown sample ids"),
+        ({"keep": "d\nd\n"}, "listed twice"), ({"by_id": True, "heights": "a\t1\nb\t2\n", "keep": "a\nd\n"}, "only_samples': 1"),
+        ({"by_id": True, "heights": "a\t1\na\t2\n", "keep": "a\n"}, "n_phenotypes': 2"),
+    ],
+)
+def test_study_refuses_other_orders(spark, tmp_path, options, match):
+    calls = calls_file(tmp_path)
+    by_id = options.pop("by_id", False)
+    heights = options.pop("heights", "a\t1\nb\t2\nc\t3\nd\t4\nx\t5\n" if by_id else "1\n2\n3\n4\n")
+    (tmp_path / "height.tsv").write_text(heights)
+    keep = options.pop("keep", None)
+    if keep is not None:
+        (tmp_path / "keep.txt").write_text(keep)
+        options["keep_path"] = str(tmp_path / "keep.txt")
+    with pytest.raises(ValueError, match=match):
+        study_inputs(spark, str(tmp_path / "height.tsv"), calls, str(tmp_path / "out"), by_id=by_id, **options)

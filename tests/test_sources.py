@@ -72,11 +72,36 @@ def test_line_numbers_over_many_splits(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
 
 
-def test_numbered_files_must_be_single(spark, folder):
-    first = folder("p/a.tsv", "1\n")
-    folder("p/b.tsv", "2\n")
-    with pytest.raises(ValueError, match="one file only"):
-        tables.read_phenotypes(spark, os.path.dirname(first), ["y"])
+def test_lines_of_several_parts_are_numbered_through(spark, folder):
+    """Parts in order of their names, one of them empty, several splits a part."""
+    first = folder("p/a.tsv", "".join(f"{i}\n" for i in range(3000)))
+    folder("p/b.tsv", "")
+    folder("p/c.tsv", "3000")
+    folder("p/d.tsv", "".join(f"{i}\n" for i in range(3001, 9000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = tables.read_phenotypes(spark, os.path.dirname(first), ["y"])
+        assert df.count() == 9000 and df.filter("sample_idx <> y").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
+
+
+def test_ordered_text_in_many_parts(spark):
+    """A sink of several parts and its reader agree on the order; no task holds all samples."""
+    n = 20_000
+    pheno = spark.range(n).select(F.col("id").cast("int").alias("sample_idx"), F.when(F.col("id") % 5 > 0, F.col("id") * 0.5).alias("y")).repartition(7)
+    path = scratch_path(spark, "pheno")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_phenotype(pheno, "y", path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spark.read.text(path).inputFiles()) > 4
+    back = tables.read_phenotypes(spark, path, ["y"])
+    assert back.exceptAll(pheno).count() == 0 and back.count() == n
+    fam = pheno.select("sample_idx", F.lit("f").alias("family"), F.concat(F.lit("s"), "sample_idx").alias("sample_id"), *(F.lit(0).alias(c) for c in ("father", "mother", "sex")), F.col("y").alias("phenotype"))
+    path = scratch_path(spark, "fam")
+    sinks.write_fam(fam, path)
+    lines = tables.numbered_lines(spark, path)
+    assert lines.count() == n and lines.filter("split(value, ' ')[1] <> concat('s', sample_idx)").count() == 0
 
 
 LRT = "chr\trs\tps\tn_miss\tallele1\tallele0\taf\tl_mle\tp_lrt\n"
@@ -103,9 +128,18 @@ def test_measurements_by_name_pattern(spark, folder):
     assert {(r.Label, r.Area, r.source_file) for r in df.collect()} == {
         ("Col_1.tif", 1.5, "one_nuclei.txt"), ("Col_2.tif", None, "one_nuclei.txt"), ("Ler_1.tif", 2.5, "two_nuclei.txt")
     }
-    folder("m/bad_nuclei.txt", "Area\tLabel\tType\n1\tx\tloose\n")
-    with pytest.raises(Exception):
-        tables.read_measurements(spark, os.path.dirname(first), r"nuclei\.txt$", schema).collect()
+    folder("m/other_nuclei.txt", "Area\tlabel\n7\tx_1.tif\n")
+    got = {(r.Label, r.Area, r.Type, r.source_file) for r in tables.read_measurements(spark, os.path.dirname(first), r"nuclei\.txt$", schema).collect()}
+    assert ("x_1.tif", 7.0, None, "other_nuclei.txt") in got and ("Ler_1.tif", 2.5, "loose", "two_nuclei.txt") in got and len(got) == 4
+    assert tables.read_measurements(spark, os.path.dirname(first), "absent", schema).collect() == []
+    folder("m/new_nuclei.txt", "Area\tShape\tLabel\n1\tround\ty\n")
+    with pytest.raises(ValueError, match=r"new_nuclei.txt.*unknown columns \['Shape'\]"):
+        tables.read_measurements(spark, os.path.dirname(first), r"nuclei\.txt$", schema)
+    rows = tables.read_measurements(spark, os.path.dirname(first), r"nuclei\.txt$", schema, unknown="drop")
+    assert rows.columns == ["Label", "Area", "Type", "source_file"] and rows.filter("Label = 'y' AND Area = 1").count() == 1
+    folder("m/twice_nuclei.txt", "Area\tArea\tLabel\n1\t2\tz\n")
+    with pytest.raises(ValueError, match="repeated columns"):
+        tables.read_measurements(spark, os.path.dirname(first), "twice", schema)
 
 
 def test_text_outputs(spark):
