@@ -18,10 +18,19 @@ hit AS (SELECT doc_id, i, n, item_id FROM places JOIN win USING (n, k)),
 words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id),
+at_doc AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM dw),
+at_item AS (SELECT item_id, unnest(w) AS word, unnest(range(len(w))) AS j FROM iw),
+pairs AS MATERIALIZED (SELECT doc_id, item_id, i, i - j AS diagonal FROM at_doc JOIN at_item USING (word)),
+runs AS (
+  SELECT doc_id, min(i) AS first, count(*) AS n FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY i) AS island FROM pairs)
+  GROUP BY doc_id, item_id, diagonal, island),
+far AS (SELECT doc_id, max(n) AS longest, arg_min(first, (-n, first)) AS longest_at FROM runs GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM dw d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(longest, 0) AS longest, CAST(longest_at AS BIGINT) AS longest_at
+FROM dw d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN far USING (doc_id)
 """
 
 _ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""

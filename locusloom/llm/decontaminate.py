@@ -2,9 +2,12 @@
 
 Every task cuts its documents into shards, orders the word suffixes of a shard that begin with a
 word of the benchmark, and looks up all benchmark suffixes by binary search: the two bounds of a
-window give every place where it occurs, and the neighbours of a suffix give its longest verbatim
-match. Documents are never split or moved, so nothing is shuffled. The benchmark comes in blocks
-of a fixed number of words; each block is one more narrow pass over the same rows.
+window give every place where it occurs. What a benchmark suffix shares with its neighbours in the array
+spreads from there over the array, as far as suffixes share words with each other, so every place of the shard gets
+its longest match of up to ``WINDOW`` words; places with that many are followed to their
+end among the fully ordered suffixes of the benchmark. Documents are never split or moved, so nothing
+is shuffled. The benchmark comes in blocks of a fixed number of words; each block is one more narrow
+pass over the same rows.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ _FOUND = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
         T.StructField("longest", T.LongType()),
+        T.StructField("longest_at", T.LongType()),
         T.StructField("hit_start", T.ArrayType(T.IntegerType())),
         T.StructField("hit_end", T.ArrayType(T.IntegerType())),
         T.StructField("items", T.ArrayType(T.StringType())),
@@ -60,8 +64,8 @@ class TestBlock:
             for s in range(max(1, len(numbers) - WINDOW + 1)):
                 windows.setdefault(tuple(numbers[s : s + WINDOW]), set()).add(item)
             starts += range(len(ids), len(ids) + len(numbers))
-            ids += numbers
-            ends += [len(ids)] * len(numbers)
+            ends += [len(ids) + len(numbers)] * len(numbers)
+            ids += [*numbers, 0]  # no match runs on into the next item
         keys = sorted(windows)
         self.lengths = np.array([len(k) for k in keys], dtype=np.int64)
         self.windows = np.zeros((len(keys), WINDOW), dtype=np.int32)
@@ -70,6 +74,25 @@ class TestBlock:
         self.items = [sorted(windows[k]) for k in keys]
         self.text = np.array([*ids, 0], dtype=np.int32)
         self.suffixes, self.suffix_ends = np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)
+        self.ordered = ordered_suffixes(self.text, self.suffixes)
+
+
+def ordered_suffixes(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``at`` in order of the whole suffixes there, each up to its first 0, by doubling the depth of their ranks."""
+    rank = text.astype(np.int64)
+    depth = 1
+    while len(at):
+        ahead = np.minimum(at + depth, len(text) - 1)
+        key = np.stack([rank[at], np.where(rank[at] > 0, rank[ahead], 0)])
+        order = np.lexsort(key[::-1])
+        at, key = at[order], key[:, order]
+        new = (key[:, 1:] != key[:, :-1]).any(axis=0)
+        deeper = np.zeros(len(text), dtype=np.int64)
+        deeper[at] = np.concatenate(([1], 1 + np.cumsum(new)))
+        if new.all() or deeper[at].max() == len(np.unique(rank[at])):  # no rank was split: the rest are equal to their ends
+            return at
+        rank, depth = deeper, 2 * depth
+    return at
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -141,35 +164,61 @@ def _bounds(text: np.ndarray, array: np.ndarray, wanted: np.ndarray, lengths: np
     return found[0], found[1]
 
 
+def _common(text: np.ndarray, a: np.ndarray, other: np.ndarray, b: np.ndarray, most: int | None = None) -> np.ndarray:
+    """How many words from ``a`` in ``text`` equal those from ``b`` in ``other``, at most ``most``, none beyond a 0."""
+    out = np.zeros(len(a), dtype=np.int64)
+    run, k = np.arange(len(a)), 0
+    while len(run) and (most is None or k < most):
+        word = text[np.minimum(a[run] + k, len(text) - 1)]
+        run = run[(word > 0) & (word == other[np.minimum(b[run] + k, len(other) - 1)])]
+        k += 1
+        out[run] = k
+    return out
+
+
 def _longest(text: np.ndarray, array: np.ndarray, block: TestBlock) -> np.ndarray:
-    """Per word place of the shard the length of the longest verbatim match that was found to begin
-    there: every test suffix is placed among the suffixes and compared with its neighbours."""
-    out = np.zeros(len(text), dtype=np.int32)
-    last = len(text) - 1
-    # Suffixes of the items: their first WINDOW words place them, then the match is followed to its end.
+    """Per word place of the shard the length of the longest match with the benchmark that begins there."""
+    out = np.zeros(len(text), dtype=np.int64)
+    if not len(array) or not len(block.suffixes):
+        return out
+    # Suffixes of the items: their first WINDOW words place them between two suffixes of the shard.
     n = np.minimum(block.suffix_ends - block.suffixes, WINDOW)
     wanted = np.zeros((len(n), WINDOW), dtype=np.int32)
     for k in range(WINDOW):
         inside = n > k
         wanted[inside, k] = block.text[block.suffixes[inside] + k]
     low, high = _bounds(text, array, wanted, n)
-    for place in (low - 1, low, high - 1, high):
-        ok = (place >= 0) & (place < len(array))
-        rows = np.flatnonzero(ok)
-        at, test, end = array[place[ok]], block.suffixes[rows].copy(), block.suffix_ends[rows]
-        begin, here = at.copy(), at.copy()
-        run = np.arange(len(rows))
-        while len(run):
-            run = run[test[run] < end[run]]
-            run = run[text[np.minimum(here[run], last)] == block.text[test[run]]]
-            here[run] += 1
-            test[run] += 1
-        np.maximum.at(out, begin, (here - begin).astype(np.int32))
+    shares = np.zeros(len(array), dtype=np.int64)
+    for place in (low - 1, low, high):
+        ok = np.flatnonzero((place >= 0) & (place < len(array)))
+        np.maximum.at(shares, place[ok], _common(text, array[place[ok]], block.text, block.suffixes[ok], WINDOW))
+    # A suffix of the shard shares with an item what it shares with all suffixes on the way to the item's place.
+    chain = np.append(0, _common(text, array[1:], text, array[:-1], WINDOW))
+    found = np.zeros(len(array), dtype=np.int64)
+    for depth in range(1, int(shares.max()) + 1):
+        group = np.cumsum(chain < depth)
+        reached = np.zeros(int(group[-1]) + 1, dtype=bool)
+        reached[group[shares >= depth]] = True
+        found[reached[group]] = depth
+    out[array] = found
+    # Whole windows go on: the nearest suffixes of the benchmark in its own full order have the longest match.
+    at = array[found == WINDOW]
+    lo, hi = np.zeros(len(at), dtype=np.int64), np.full(len(at), len(block.ordered), dtype=np.int64)
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        mid = (lo[open_] + hi[open_]) >> 1
+        test, here = block.ordered[mid], at[open_]
+        same = _common(text, here, block.text, test)
+        less = block.text[np.minimum(test + same, len(block.text) - 1)] < text[np.minimum(here + same, len(text) - 1)]
+        lo[open_[less]] = mid[less] + 1
+        hi[open_[~less]] = mid[~less]
+    for place in (lo - 1, lo):
+        ok = np.flatnonzero((place >= 0) & (place < len(block.ordered)))
+        out[at[ok]] = np.maximum(out[at[ok]], _common(text, at[ok], block.text, block.ordered[place[ok]]))
     return out
 
 
 def _search(docs: list[list[bytes]], block: TestBlock) -> list[tuple]:
-    """``(n_words, longest, hit starts, hit ends, items)`` of each document of a shard."""
+    """``(n_words, longest, longest_at, hit starts, hit ends, items)`` of each document of a shard."""
     sizes = np.array([len(d) for d in docs], dtype=np.int64)
     starts = np.zeros(len(docs) + 1, dtype=np.int64)
     np.cumsum(sizes + 1, out=starts[1:])
@@ -189,11 +238,13 @@ def _search(docs: list[list[bytes]], block: TestBlock) -> list[tuple]:
         for d in np.unique(of).tolist():
             items.setdefault(d, set()).update(block.items[w])
     longest = _longest(text, array, block)
-    best = np.maximum.reduceat(longest, starts[:-1]) if len(docs) else []
     out = []
     for d, n in enumerate(sizes.tolist()):
         spans = merge(hits.get(d, []))
-        out.append((n, int(best[d]), [s for s, _ in spans], [e for _, e in spans], sorted(items.get(d, ()))))
+        own = longest[starts[d] : starts[d] + n]
+        first = int(own.argmax()) if n else 0
+        best = int(own[first]) if n else 0
+        out.append((n, best, first if best else None, [s for s, _ in spans], [e for _, e in spans], sorted(items.get(d, ()))))
     return out
 
 
@@ -223,8 +274,9 @@ def _searcher(shared: Broadcast, place: int, column: int):
                 merged = []
                 for old, new in zip(before[begin:end].to_pylist(), found, strict=True):
                     if old is not None:
-                        spans = merge([*zip(old["hit_start"], old["hit_end"], strict=True), *zip(new[2], new[3], strict=True)])
-                        new = (new[0], max(old["longest"], new[1]), [s for s, _ in spans], [e for _, e in spans], sorted({*old["items"], *new[4]}))
+                        spans = merge([*zip(old["hit_start"], old["hit_end"], strict=True), *zip(new[3], new[4], strict=True)])
+                        far = max((new[1:3], (old["longest"], old["longest_at"])), key=lambda x: (x[0], -(x[1] or 0)))
+                        new = (new[0], *far, [s for s, _ in spans], [e for _, e in spans], sorted({*old["items"], *new[5]}))
                     merged.append(dict(zip(_FOUND.names, new, strict=True)))
                 part = batch.slice(begin, end - begin)
                 columns = list(part.columns)
@@ -255,8 +307,8 @@ def test_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_words: int = BLOCK_WORDS, name: str = "overlap") -> DataFrame:
-    """``docs`` with a struct column ``name``: n_words, longest (words of the longest verbatim match),
-    hit_start / hit_end (maximal runs of hit words) and items (sorted ids with an occurring window).
+    """``docs`` with a struct column ``name``: n_words, longest (words of the longest verbatim match with an item),
+    longest_at (the word with which it begins, the first one of several; null without a match), hit_start / hit_end (maximal runs of hit words) and items (sorted ids with an occurring window).
 
     A window is ``WINDOW`` consecutive item words, or a whole shorter item. A null or empty text has
     no words. Rows, repeated ones too, and all other columns come back as they are, except that a
@@ -290,7 +342,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def overlap_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: counts, a hash of the items found, and the decision."""
+    """One row per document: counts, a hash of the items found, the decision, and the longest match."""
     found = find_overlaps(docs.select("doc_id", "text"), benchmark)
     return found.select(
         "doc_id",
@@ -299,4 +351,6 @@ def overlap_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size("overlap.items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "overlap.items"), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
+        F.col("overlap.longest").alias("longest"),
+        F.col("overlap.longest_at").alias("longest_at"),
     )
