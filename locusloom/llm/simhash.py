@@ -325,8 +325,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with one row of each component left: of those with the smallest id the one
     with the smallest text (a null text first). Rows without an id only stay where a whole component
-    has none. An id stays once: of rows that share one and are first in several components, the one
-    with the smallest text. All columns of ``docs`` come back."""
+    has none. Unlike rows that share an id stay each for its own component. All columns of ``docs`` come back."""
     prints, named = resolve(docs, radius)
     named = store(named, "named")
     own, bits, root, first, kept_id, several, row = (fresh(c, docs) for c in ("own_bits", "their_bits", "their_root", "their_first", "kept_id", "several", "kept_row"))
@@ -352,7 +351,6 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     theirs = named.select(F.col("bits").alias(bits), F.col("root").alias(root), F.col("component_id").alias(first))
     of_first = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col(first)
     candidates = printed.join(theirs, printed[own] == theirs[bits]).filter(of_first)
-    of_null = F.when(F.col("doc_id").isNull(), F.col(root))
-    best = candidates.groupBy(F.col("doc_id").alias(kept_id), of_null.alias(root)).agg(F.min_by(F.struct(*columns), F.struct("text")).alias(row))
+    best = candidates.groupBy(F.col(root)).agg(F.min_by(F.struct(*columns), F.struct("text")).alias(row))
     others = best.select(*(F.col(row).getField(c).alias(c) for c in docs.columns))
     return firsts.unionByName(others)

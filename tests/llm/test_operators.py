@@ -245,23 +245,30 @@ def test_components(spark):
 
 
 def test_keep_first_of_rows_that_share_an_id(spark):
-    """A row stays for its id only if it is the first of its own component; the smallest text decides ties."""
+    """A row stays if it is the first of its own component, whatever other rows have its id; the smallest text decides ties."""
     rng = random.Random(14)
     copies, others = [prose(rng, 80) for _ in range(6)], [prose(rng, 80) for _ in range(6)]
     c, d, e, f = (prose(rng, 80) for _ in range(4))
     docs = [(k, t) for k, t in enumerate(copies)] + [(10 + k, t) for both in (copies, others) for k, t in enumerate(both)]
     docs += [(20, c), (20, d), (30, c), (31, d), (None, e), (None, e), (None, copies[0]), (40, f), (40, f)]
-    want = [*enumerate(copies), *((10 + k, t) for k, t in enumerate(others)), (20, min(c, d)), (None, e), (40, f)]
+    want = [*enumerate(copies), *((10 + k, t) for k, t in enumerate(others)), (20, c), (20, d), (None, e), (40, f)]
     for order in (docs, docs[::-1]):
         kept = simhash.keep_first(spark.createDataFrame(order, "doc_id int, text string").coalesce(1))
         assert rows(kept, "doc_id", "text") == ordered(want)
 
 
 def test_keep_first(odd, none, pairs):
-    kept = Counter(r["doc_id"] for r in simhash.keep_first(odd).collect())
-    groups = brute.near_duplicates(pairs)
-    assert kept.pop(None, 0) == len({t for (d, t), g in zip(pairs, groups, strict=True) if g[2] is None})
-    assert kept == Counter({g[2] for g in groups if g[2] is not None})
+    """One row for each component, found by comparing all fingerprints: its smallest id, and of those the smallest text."""
+    prints = [int(g[1], 16) for g in brute.near_duplicates(pairs)]
+    of = list(range(len(prints)))
+    for _ in prints:
+        of = [min(of[j] for j, q in enumerate(prints) if (p ^ q).bit_count() <= 4) for p in prints]
+    best = {}
+    for k, (d, t) in enumerate(pairs):
+        row = ((d is None, d or 0), t is not None, t or "")
+        best[of[k]] = min(best.get(of[k], row), row)
+    kept = rows(simhash.keep_first(odd), "doc_id", "text")
+    assert kept == ordered((None if i[0] else i[1], t if real else None) for i, real, t in best.values())
     assert simhash.keep_first(none).count() == 0 and simhash.keep_first(odd).columns == odd.columns
 
 
@@ -557,11 +564,50 @@ def test_overlaps(spark, odd, none, odd_rows, block_words, monkeypatch):
     assert decontaminate.overlap_digest(frame, items.limit(0)).filter("contaminated").count() == 0
 
 
-def test_longest_match_runs_on_beyond_the_window(spark):
-    items = spark.createDataFrame([(1, " ".join(f"k{i}" for i in range(30)))], "item_id long, text string")
-    docs = spark.createDataFrame([(1, "x " + " ".join(f"k{i}" for i in range(4, 29)) + " y"), (2, "k5 k6 z")], "doc_id long, text string")
-    found = {r["doc_id"]: r["longest"] for r in decontaminate.find_overlaps(docs, items).select("doc_id", "overlap.longest").collect()}
-    assert found == {1: 25, 2: 2}
+def brute_longest(texts, items):
+    """(longest, first place) of each text, by trying every pair of places."""
+    found = []
+    for text in texts:
+        words, best = decontaminate.words_of(text.encode()), (0, None)
+        for i in range(len(words)):
+            for item in items:
+                for j in range(len(item)):
+                    n = 0
+                    while i + n < len(words) and j + n < len(item) and words[i + n] == item[j + n]:
+                        n += 1
+                    if n > best[0]:
+                        best = (n, i)
+        found.append(best)
+    return found
+
+
+@pytest.mark.parametrize("block_words", [1_000_000, 40])
+def test_longest_matches(spark, block_words):
+    """One passage in many documents, passages beyond the window, ties, repeated words, all against every pair."""
+    rng = random.Random(31)
+    passage = [f"p{i}" for i in range(20)]
+    items = [[f"k{i}" for i in range(30)], ["a", *passage, "b"], ["c", *passage[:17], "p99", "d"], ["r"] * 25, [f"k{i}" for i in range(5, 25)] * 2, ["short"]]
+    texts = [" ".join(["x", *passage, "y"])] * 5 + [" ".join([f"z{k}", *passage[k % 4 : 18 + k % 3], "q"]) for k in range(12)]
+    texts += ["x " + " ".join(f"k{i}" for i in range(4, 29)) + " y", "k5 k6 z", "r " * 40, "r " * 13 + "x", "r " * 12, "", "nothing here", "short", "k24 k5 k6 k24 k5 k6 k7"]
+    for _ in range(60):
+        item = rng.choice(items)
+        s = rng.randrange(len(item))
+        cut = [w for _ in range(3) for w in [*rng.choice(items)[s % 3 : s % 3 + rng.randrange(1, 20)], rng.choice(["x", "k7", "r", "p3"])]]
+        texts.append(" ".join([*item[s : s + rng.randrange(1, 26)], *cut]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    found = decontaminate.find_overlaps(docs, bench, block_words=block_words).select("doc_id", "overlap.longest", "overlap.longest_at").collect()
+    words = [[w.encode() for w in i] for i in items]
+    assert {r[0]: (r[1], r[2]) for r in found} == dict(enumerate(brute_longest(texts, words)))
+
+
+def test_ordered_suffixes():
+    rng = random.Random(2)
+    for _ in range(60):
+        text = np.array([rng.randrange(0, 4) for _ in range(rng.randrange(1, 60))] + [0])
+        at = np.flatnonzero(text)
+        suffix = lambda k: tuple(text[k : k + int(np.flatnonzero(text[k:] == 0)[0])].tolist())
+        assert [suffix(k) for k in decontaminate.ordered_suffixes(text, at)] == sorted(suffix(k) for k in at)
 
 
 def test_decontaminate_keeps_clean_rows(odd, spark):
