@@ -34,13 +34,29 @@ _BLOCK = "range int, block int, ids array<long>, lengths array<long>, n_ids long
 
 def range_bounds(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> np.ndarray:
     """Document ids that part the corpus into ranges of about ``range_bytes`` bytes of text; one row
-    for each range reaches the driver. Their places change sizes, never results."""
+    for each range reaches the driver. An id that fills several ranges stands there as often, and
+    its documents are dealt to them by a hash of their ids (:func:`range_of`)."""
     size = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     n = max(1, int(size // range_bytes))
     if n == 1:
         return np.zeros(0, dtype=np.int64)
     shares = [k / n for k in range(1, n)]
-    return np.unique(np.array(docs.approxQuantile("doc_id", shares, 0.1 / n), dtype=np.int64))
+    real = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).cast("double").alias("doc_id"))
+    found = np.sort(np.array(real.approxQuantile("doc_id", shares, 0.1 / n)))
+    return np.where(found >= float(NULL_ID), NULL_ID, np.minimum(found, 2.0**62).astype(np.int64))
+
+
+def range_of(bounds: np.ndarray, doc: int, tokens: np.ndarray) -> int:
+    """The range of a document: by its id, and within an id that is a bound several times by a hash of its ids."""
+    low, high = np.searchsorted(bounds, doc, side="left"), np.searchsorted(bounds, doc, side="right")
+    if high - low < 2:
+        return int(high)
+    return int(low + 1 + tie(tokens) * int(high - low) // (1 << 32))
+
+
+def tie(tokens: np.ndarray) -> int:
+    """The order of documents that share an id, in [0, 2^32); equal ones follow each other."""
+    return zlib.crc32(tokens.tobytes())
 
 
 def _pack(path: str, end: int, shared):
@@ -72,7 +88,7 @@ def _pack(path: str, end: int, shared):
             for doc, text in zip(ids, texts, strict=True):
                 doc = NULL_ID if doc is None else doc
                 tokens = np.append(coder.encode(text), np.uint32(end)).astype(np.uint32)
-                held.setdefault(int(np.searchsorted(bounds, doc, side="right")), []).append((doc, tokens))
+                held.setdefault(range_of(bounds, doc, tokens), []).append((doc, tokens))
                 size += len(tokens)
                 if size > 8 * BLOCK_IDS:
                     yield from flush()
@@ -151,13 +167,13 @@ def _encode(shared):
 
 
 def _settle_ties(docs: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
-    """Documents of one id are ordered by their ids' bytes, so the files never depend on chance."""
+    """Documents of one id are ordered by a hash of their ids, then by the ids, so the files never depend on chance."""
     out, begin = [], 0
     while begin < len(docs):
         end = begin + 1
         while end < len(docs) and docs[end][0] == docs[begin][0]:
             end += 1
-        out += docs[begin:end] if end == begin + 1 else sorted(docs[begin:end], key=lambda d: d[1].tobytes())
+        out += docs[begin:end] if end == begin + 1 else sorted(docs[begin:end], key=lambda d: (tie(d[1]), d[1].tobytes()))
         begin = end
     return out
 
@@ -165,7 +181,7 @@ def _settle_ties(docs: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarr
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END, range_bytes: int = RANGE_BYTES) -> None:
     """Write the ids of all rows of ``docs`` below ``path``: ``blocks`` and the ``table`` of frequencies.
 
-    Documents stand in ascending doc_id order, null ids last, repeated ids by their token ids. A null
+    Documents stand in ascending doc_id order, null ids last, repeated ids by a hash of their token ids. A null
     or empty text is ``end`` alone. Other columns are not read. An empty table gives empty files.
     """
     if vocabulary is None:
@@ -185,8 +201,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     table = [(i, int(f)) for i, f in enumerate(frequencies.tolist()) if f]
     spark.createDataFrame(table, "id int, frequency int").coalesce(1).write.parquet(f"{path}/table")
     coder = spark.sparkContext.broadcast(Coder(frequencies))
-    # A range to a task: ranges have a bounded size, so no task gets more than one of them needs.
-    dealt = packs.repartition(len(bounds.value) + 1, "range").sortWithinPartitions("range")
+    # A range to a task, by its number itself: hashed, some tasks would get several of them.
+    dealt = packs.repartitionById(len(bounds.value) + 1, F.col("range")).sortWithinPartitions("range")
     dealt.mapInArrow(_encode(coder), _BLOCK).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

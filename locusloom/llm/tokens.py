@@ -2,8 +2,8 @@
 
 Both encoders give the ids that the ``tokenizers`` library gives for the same file with
 ``add_special_tokens=False``. The merges themselves are left to ``tiktoken``, which applies the same
-ranks several times faster; texts it can't be given (special tokens as text, private-use letters)
-go to ``tokenizers``. Files are named by path, loaded once for each worker and never copied.
+ranks several times faster; texts it can't be given (special tokens as text, letters newer than this
+interpreter's tables) go to ``tokenizers``. Files are named by path, loaded once for each worker and never copied.
 """
 
 from __future__ import annotations
@@ -93,6 +93,8 @@ class WordBpe:
         if "<" in text and self.special.search(text):
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         if not text.isascii():
+            if any(unicodedata.category(c) == "Cn" for c in text):  # newer letters than these tables know
+                return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: only a sigma's small form depends on its neighbours.
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])

@@ -159,7 +159,8 @@ def pieces(docs, capacity=2048):
 def token_rows(docs):
     tok = tokenizer("word_bpe_49k.json")
     coded = [(math.inf if d is None else d, tok.encode(t or "", add_special_tokens=False).ids + [1]) for d, t in docs]
-    coded.sort(key=lambda x: (x[0], np.array(x[1], dtype="<u4").tobytes()))
+    raw = lambda ids: np.array(ids, dtype="<u4").tobytes()
+    coded.sort(key=lambda x: (x[0], zlib.crc32(raw(x[1])), raw(x[1])))
     out, at = [], 0
     for doc, ids in coded:
         out.append((None if doc == math.inf else doc, at, len(ids), crc(ids)))

@@ -314,6 +314,32 @@ def test_token_files_in_several_ranges_and_blocks(spark, odd, pairs, monkeypatch
     assert rows(token_files.read_token_files(spark, path), "doc_id", "start", "n_tokens", "ids_crc32") == ordered(brute.token_rows(pairs))
 
 
+def test_token_files_of_hot_ids(spark, monkeypatch):
+    """A third of the rows without an id and a third with one id: both are spread over several ranges."""
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 300)
+    rng = random.Random(6)
+    docs = [((None, 7, k)[k % 3], prose(rng, rng.randrange(0, 30))) for k in range(900)] + [(7, "same")] * 50
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    path = token_files.scratch_path(spark, "test")
+    token_files.write_token_files(frame, path, range_bytes=4_000)
+    parts = spark.read.parquet(f"{path}/blocks").selectExpr("range", "explode(ids) AS id").distinct().groupBy("id").count().collect()
+    assert {r["id"]: r["count"] for r in parts if r["count"] > 3}.keys() == {7, token_files.NULL_ID}
+    assert rows(token_files.read_token_files(spark, path), "doc_id", "start", "n_tokens", "ids_crc32") == ordered(brute.token_rows(docs))
+
+
+def test_word_vocabulary_by_all_letters():
+    """Every code point, assigned or not, alone and between letters, digits and marks."""
+    whole, coder = brute.tokenizer("word_bpe_49k.json"), word_bpe(brute.public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{x}B1{x}1 {x} .{x}. E{x}" for x in letters[k : k + 16]) for k in range(0, len(letters), 16)]
+    for k in range(0, len(texts), 4000):
+        part = texts[k : k + 4000]
+        for text, want in zip(part, whole.encode_batch(part, add_special_tokens=False), strict=True):
+            if coder.encode(text.encode()).tolist() != want.ids:  # name the letter
+                bad = [x for x in text if coder.encode(f"a{x}B1{x}1 {x}".encode()).tolist() != whole.encode(f"a{x}B1{x}1 {x}", add_special_tokens=False).ids]
+                raise AssertionError([hex(ord(x)) for x in bad] or text)
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 511, 512, 513, 600_000])
 def test_range_coder(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.3, n), 49_000).astype(np.uint32)
