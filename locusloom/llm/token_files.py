@@ -9,6 +9,7 @@ the code words in one binary column, ids and lengths of its documents beside the
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,12 +47,10 @@ def range_bounds(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> np.ndarray:
     return np.where(found >= float(NULL_ID), NULL_ID, np.minimum(found, 2.0**62).astype(np.int64))
 
 
-def range_of(bounds: np.ndarray, doc: int, tokens: np.ndarray) -> int:
+def range_of(bounds: list[int], doc: int, tokens: np.ndarray) -> int:
     """The range of a document: by its id, and within an id that is a bound several times by a hash of its ids."""
-    low, high = np.searchsorted(bounds, doc, side="left"), np.searchsorted(bounds, doc, side="right")
-    if high - low < 2:
-        return int(high)
-    return int(low + 1 + tie(tokens) * int(high - low) // (1 << 32))
+    low, high = bisect_left(bounds, doc), bisect_right(bounds, doc)
+    return high if high - low < 2 else low + 1 + tie(tokens) * (high - low) // (1 << 32)
 
 
 def tie(tokens: np.ndarray) -> int:
@@ -65,7 +64,8 @@ def _pack(path: str, end: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_bpe(path)
         squeeze = zstandard.ZstdCompressor(level=3)
-        bounds = shared.value
+        last = np.array([end], dtype="<u4")
+        bounds = shared.value.tolist()
         held: dict[int, list[tuple[int, np.ndarray]]] = {}
         size = 0
 
@@ -87,7 +87,7 @@ def _pack(path: str, end: int, shared):
             ids, texts = rows(batch)
             for doc, text in zip(ids, texts, strict=True):
                 doc = NULL_ID if doc is None else doc
-                tokens = np.append(coder.encode(text), np.uint32(end)).astype(np.uint32)
+                tokens = np.append(coder.encode(text), last)
                 held.setdefault(range_of(bounds, doc, tokens), []).append((doc, tokens))
                 size += len(tokens)
                 if size > 8 * BLOCK_IDS:

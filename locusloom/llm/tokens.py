@@ -26,6 +26,7 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 END_OF_WORD = "</w>"
 #: Marks that are one part where they end a chunk of letters (no apostrophe: it may begin a part).
 PUNCTUATION = ".,;:!?|#$%&*()-"
+_PUNCTUATION = PUNCTUATION.encode()
 #: Words whose ids a worker keeps; when full it starts anew.
 MEMO = 700_000
 
@@ -89,43 +90,51 @@ class WordBpe:
         self.words: dict[bytes, bytes] = {}
 
     def _chunk(self, chunk: bytes) -> bytes:
+        if b"<" not in chunk and chunk.isascii():  # most chunks: no special token, and nothing but A-Z changes
+            chunk = chunk.lower()
+            body = chunk.rstrip(_PUNCTUATION)
+            if body.isalpha():  # letters, and at most punctuation behind them
+                return self._part(body) + self._part(chunk[len(body) :])
+            return b"".join([self._part(part.encode()) for part in self.parts(chunk.decode())])
         text = chunk.decode()
         if "<" in text and self.special.search(text):
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         if not text.isascii():
-            if any(unicodedata.category(c) == "Cn" for c in text):  # newer letters than these tables know
+            # Newer letters than these tables know; they are never printable.
+            if not text.isprintable() and any(unicodedata.category(c) == "Cn" for c in text):
                 return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: only a sigma's small form depends on its neighbours.
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
         body = text.rstrip(PUNCTUATION)
-        if body.isalpha():  # letters, and at most punctuation behind them, as most chunks are
-            return self._part(body) + self._part(text[len(body) :])
-        return b"".join([self._part(part) for part in self.parts(text)])
+        if body.isalpha():
+            return self._part(body.encode()) + self._part(text[len(body) :].encode())
+        return b"".join([self._part(part.encode()) for part in self.parts(text)])
 
-    def _part(self, part: str) -> bytes:
+    def _part(self, part: bytes) -> bytes:
         """Ids of one part, remembered on its own: chunks of other case or punctuation share them."""
-        if not part:
-            return b""
-        raw = part.encode()
-        ids = self.words.get(raw)
+        ids = self.words.get(part)
         if ids is None:
-            ids = self.words[raw] = array("I", self.merge(raw + self.MARK)).tobytes()
+            ids = self.words[part] = array("I", self.merge(part + self.MARK)).tobytes() if part else b""
         return ids
 
     def encode(self, text: bytes) -> np.ndarray:
-        memo = self.memo
-        chunks = text.split()
+        memo, chunks = self.memo, text.split()
+        found = list(map(memo.get, chunks))
         try:
-            return np.frombuffer(b"".join([memo[c] for c in chunks]), dtype="<u4")
-        except KeyError:
+            return np.frombuffer(b"".join(found), dtype="<u4")
+        except TypeError:  # some chunks are new
             if len(memo) + len(self.words) > MEMO:
                 memo.clear()
                 self.words.clear()
-            for c in chunks:
-                if c not in memo:
-                    memo[c] = self._chunk(c)
-            return np.frombuffer(b"".join([memo[c] for c in chunks]), dtype="<u4")
+            for k, ids in enumerate(found):
+                if ids is None:
+                    chunk = chunks[k]
+                    ids = memo.get(chunk)
+                    if ids is None:
+                        ids = memo[chunk] = self._chunk(chunk)
+                    found[k] = ids
+            return np.frombuffer(b"".join(found), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
