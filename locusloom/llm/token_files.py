@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from .common import NULL_ID, id_and_text, rows, store
+from .common import NULL_ID, id_and_text, store
 from .rans import Coder, frequency_table
-from .tokens import word_bpe
+from .tokens import slices, word_bpe
 
 END = 1
 #: Ids in a block, unless one document has more.
@@ -64,7 +64,6 @@ def _pack(path: str, end: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_bpe(path)
         squeeze = zstandard.ZstdCompressor(level=3)
-        last = np.array([end], dtype="<u4")
         bounds = shared.value.tolist()
         held: dict[int, list[tuple[int, np.ndarray]]] = {}
         size = 0
@@ -84,12 +83,16 @@ def _pack(path: str, end: int, shared):
             held.clear()
 
         for batch in batches:
-            ids, texts = rows(batch)
-            for doc, text in zip(ids, texts, strict=True):
-                doc = NULL_ID if doc is None else doc
-                tokens = np.append(coder.encode(text), last)
-                held.setdefault(range_of(bounds, doc, tokens), []).append((doc, tokens))
-                size += len(tokens)
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for begin, behind in slices(texts):
+                values, places = coder.encode_all(texts.slice(begin, behind - begin))
+                values = np.insert(values, places[1:], end)  # behind every document
+                places = (places + np.arange(len(places))).tolist()
+                for doc, at, to in zip(ids[begin:behind], places, places[1:]):
+                    doc = NULL_ID if doc is None else doc
+                    tokens = values[at:to]
+                    held.setdefault(range_of(bounds, doc, tokens), []).append((doc, tokens))
+                size += len(values)
                 if size > 8 * BLOCK_IDS:
                     yield from flush()
                     size = 0

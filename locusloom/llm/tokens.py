@@ -12,9 +12,12 @@ import json
 import re
 import unicodedata
 from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from tokenizers import Tokenizer
@@ -24,11 +27,12 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 #: The same for the vocabulary with word ends, after lower case.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 END_OF_WORD = "</w>"
-#: Marks that are one part where they end a chunk of letters (no apostrophe: it may begin a part).
+#: Marks that are one part together where they end a chunk of letters (no apostrophe: it may begin a part).
 PUNCTUATION = ".,;:!?|#$%&*()-"
-_PUNCTUATION = PUNCTUATION.encode()
 #: Words whose ids a worker keeps; when full it starts anew.
 MEMO = 700_000
+#: Text bytes whose chunks are numbered together.
+SLICE_BYTES = 16_000_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -90,12 +94,6 @@ class WordBpe:
         self.words: dict[bytes, bytes] = {}
 
     def _chunk(self, chunk: bytes) -> bytes:
-        if b"<" not in chunk and chunk.isascii():  # most chunks: no special token, and nothing but A-Z changes
-            chunk = chunk.lower()
-            body = chunk.rstrip(_PUNCTUATION)
-            if body.isalpha():  # letters, and at most punctuation behind them
-                return self._part(body) + self._part(chunk[len(body) :])
-            return b"".join([self._part(part.encode()) for part in self.parts(chunk.decode())])
         text = chunk.decode()
         if "<" in text and self.special.search(text):
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -106,35 +104,96 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: only a sigma's small form depends on its neighbours.
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
-        body = text.rstrip(PUNCTUATION)
-        if body.isalpha():
-            return self._part(body.encode()) + self._part(text[len(body) :].encode())
         return b"".join([self._part(part.encode()) for part in self.parts(text)])
 
     def _part(self, part: bytes) -> bytes:
         """Ids of one part, remembered on its own: chunks of other case or punctuation share them."""
         ids = self.words.get(part)
         if ids is None:
-            ids = self.words[part] = array("I", self.merge(part + self.MARK)).tobytes() if part else b""
+            ids = self.words[part] = self._merged(part)
         return ids
 
+    def _merged(self, part: bytes) -> bytes:
+        return array("I", self.merge(part + self.MARK)).tobytes() if part else b""
+
     def encode(self, text: bytes) -> np.ndarray:
-        memo, chunks = self.memo, text.split()
-        found = list(map(memo.get, chunks))
-        try:
-            return np.frombuffer(b"".join(found), dtype="<u4")
-        except TypeError:  # some chunks are new
-            if len(memo) + len(self.words) > MEMO:
-                memo.clear()
-                self.words.clear()
-            for k, ids in enumerate(found):
-                if ids is None:
-                    chunk = chunks[k]
-                    ids = memo.get(chunk)
-                    if ids is None:
-                        ids = memo[chunk] = self._chunk(chunk)
-                    found[k] = ids
-            return np.frombuffer(b"".join(found), dtype="<u4")
+        return self.encode_all(pa.array([text], pa.binary()))[0]
+
+    def encode_all(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``texts`` one after the other, and where each begins, with the end of all last.
+
+        Chunks are numbered first, so only distinct ones are looked up here.
+        """
+        chunks = pc.ascii_split_whitespace(texts.view(pa.string()))  # an empty chunk has no ids
+        numbered = chunks.flatten().dictionary_encode()
+        ids, place = self._ids(numbered.dictionary)
+        found = ids.take(pa.array(place[numbered.indices.to_numpy()]))
+        _, ends, values = found.buffers()
+        if not len(found) or values is None:
+            return np.zeros(0, dtype="<u4"), np.zeros(len(texts) + 1, dtype=np.int64)
+        ends = np.frombuffer(ends, dtype="<i8")[: len(found) + 1] // 4
+        return np.frombuffer(values, dtype="<u4")[: ends[-1]], ends[chunks.offsets.to_numpy()]
+
+    def _ids(self, chunks: pa.StringArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """Ids of distinct chunks in some order, and the place of each chunk in it.
+
+        Words of the letters below U+0100, with at most punctuation behind them, are parted here all
+        together, so that words of other case or punctuation are looked up once; the rest one by one.
+        """
+        if len(self.memo) + len(self.words) > MEMO:
+            self.memo.clear()
+            self.words.clear()
+        plain = _below_100(chunks)
+        lower = pc.utf8_lower(chunks.filter(pa.array(plain)))
+        bodies = pc.utf8_rtrim(lower, characters=PUNCTUATION)
+        word = pc.utf8_is_alpha(bodies).to_numpy(zero_copy_only=False)
+        plain[plain] = word
+        lower, bodies = lower.filter(pa.array(word)), bodies.filter(pa.array(word))
+        ends, data = _offsets(lower), lower.buffers()[2]
+        cuts = np.empty(2 * len(lower) + 1, dtype=np.int32)  # a body, what is behind it, the next body
+        cuts[::2], cuts[1::2] = ends, ends[:-1] + pc.binary_length(bodies).to_numpy(zero_copy_only=False)
+        parts = pa.StringArray.from_buffers(2 * len(lower), pa.py_buffer(cuts), data or pa.py_buffer(b"")).dictionary_encode()
+        known = pa.array(self._looked_up(self.words, self._merged, parts.dictionary), pa.large_binary()).take(parts.indices)
+        joined = pa.py_buffer(np.ascontiguousarray(_offsets(known)[::2]))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lower), [None, joined, known.buffers()[2] or pa.py_buffer(b"")])
+        others = self._looked_up(self.memo, self._chunk, chunks.filter(pa.array(~plain)))
+        place = np.where(plain, np.cumsum(plain), len(words) + np.cumsum(~plain)) - 1
+        return pa.concat_arrays([words, pa.array(others, pa.large_binary())]), place
+
+    def _looked_up(self, memo: dict[bytes, bytes], compute: Callable[[bytes], bytes], keys: pa.StringArray) -> list[bytes]:
+        keys = keys.view(pa.binary()).to_pylist()
+        found = list(map(memo.get, keys))
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = memo[keys[k]] = compute(keys[k])
+        return found
+
+
+def _offsets(strings: pa.Array) -> np.ndarray:
+    """Where the strings of an array that is no slice begin, with the end of the last."""
+    width = "<i8" if pa.types.is_large_binary(strings.type) else "<i4"
+    raw = strings.buffers()[1]
+    return np.frombuffer(raw, dtype=width)[: len(strings) + 1] if len(strings) else np.zeros(1, dtype=width)
+
+
+def _below_100(strings: pa.StringArray) -> np.ndarray:
+    """Which strings are of ASCII and U+00C0 to U+00FF alone, without ``<`` that may begin a special token.
+    Such letters have one form only, and their small ones are in all tables."""
+    ends, data = _offsets(strings), strings.buffers()[2]
+    raw = np.frombuffer(data or b"", dtype=np.uint8)[: ends[-1]]
+    other = np.concatenate(([0], np.cumsum((raw >= 0xC4) | (raw == 0xC2) | (raw == ord("<")), dtype=np.int32)))
+    return other[ends[1:]] == other[ends[:-1]]
+
+
+def slices(texts: pa.BinaryArray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """``(begin, end)`` of runs of texts with about ``size`` bytes each; a longer text is a run of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield begin, end
+        begin = end
 
 
 @lru_cache(maxsize=2)
