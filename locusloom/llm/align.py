@@ -2,7 +2,8 @@
 
 A text is encoded with both vocabularies; the cumulative byte ends of each side become a dictionary
 from end to token index. The intersection of the two key sets, sorted, slices both id lists into
-groups, and the tokens that end a group together are linked.
+groups, and the tokens that end a group together are linked. Neither vocabulary has a token across a
+single space, so the distinct parts between them are aligned once for many texts, as a text of their own.
 
 How often a pair of ids is linked is counted over the whole corpus. Pairs with at least one in
 ``MOST`` of all links (so at most ``MOST`` pairs, whatever the corpus) are broadcast; all others are
@@ -12,8 +13,10 @@ joined, and none of those keys holds more than that share of the rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, rows, store
-from .tokens import byte_bpe
+from .tokens import byte_bpe, slices
 
 #: Pairs of ids that may be broadcast: those with at least one in ``MOST`` of all links.
 MOST = 200_000
 #: Rows that a task holds before it passes them on.
 _ROWS = 500
+#: Where both vocabularies part a text whatever stands around: at a single space between other characters.
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Parts a worker remembers before it starts anew, and text bytes whose new parts are aligned together.
+_MEMO, _SLICE = 400_000, 2_000_000
+Chunk = tuple[int, int, str, bytes]
 
 _PART = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
 _SCORED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, rest array<long>, times array<long>"
@@ -90,13 +98,81 @@ class Aligner:
         behind it: a comma, or a bar or semicolon where it is the last of its side."""
         if not len(a):
             return ""
+        return _sha256("".join(self.marked(a, b, to_a, to_b)))
+
+    def marked(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> list[str]:
+        """All ids in the order of the groups, each with its mark."""
         marked_a, marked_b = a.copy(), b.copy()
         marked_a[to_a - 1] += self.many
         marked_b[to_b - 1] += 2 * self.many
         in_order = np.empty(len(a) + len(b), dtype=np.int64)
         in_order[np.arange(len(a)) + np.repeat(np.append(0, to_b[:-1]), np.diff(to_a, prepend=0))] = marked_a
         in_order[np.arange(len(b)) + np.repeat(to_a, np.diff(to_b, prepend=0))] = marked_b
-        return hashlib.sha256("".join(map(self.written.__getitem__, in_order.tolist()))[:-1].encode()).hexdigest()
+        return list(map(self.written.__getitem__, in_order.tolist()))
+
+    def learn(self, chunks: list[str], memo: dict[str, Chunk | None]) -> None:
+        """What ``memo`` lacks of the parts of texts that :data:`_BETWEEN` leaves: ``(n_a, n_b, marked ids, linked pairs)``
+        for each, or None where a side rewrites it. They are aligned together, as one text.
+        """
+        inner = [c for c in chunks if c and not (c[0].isspace() or c[-1].isspace())]
+        if len(inner) < len(chunks):  # the first or last of a text, with white space that must not meet another's
+            for c in chunks:
+                if not c or c[0].isspace() or c[-1].isspace():
+                    self._learn([c], memo)
+        narrow = [c for c in inner if c.isascii()]
+        wide = [c for c in inner if not c.isascii()]  # more often rewritten
+        self._learn(narrow, memo)
+        self._learn(wide, memo)
+
+    def _learn(self, chunks: list[str], memo: dict[str, Chunk | None]) -> None:
+        if not chunks:
+            return
+        a, b = self.ids(" ".join(chunks).encode())
+        if not len(a):
+            if len(chunks) == 1:
+                memo[chunks[0]] = None if chunks[0] else (0, 0, "", b"")
+            else:
+                half = len(chunks) // 2
+                self._learn(chunks[:half], memo)
+                self._learn(chunks[half:], memo)
+            return
+        to_a, to_b = self.cuts(a, b)
+        marked, pairs = self.marked(a, b, to_a, to_b), memoryview(_pairs(a, b, to_a, to_b).tobytes())
+        ends = np.cumsum([1 + len(c.encode()) for c in chunks])  # both sides part before a space between letters
+        at = np.searchsorted(np.cumsum(self.size_a[a])[to_a - 1], ends) + 1
+        i = j = k = 0
+        for chunk, group, u, v in zip(chunks, at.tolist(), to_a[at - 1].tolist(), to_b[at - 1].tolist(), strict=True):
+            memo[chunk] = u - i, v - j, "".join(marked[i + j : u + v]), bytes(pairs[8 * k : 8 * group])
+            i, j, k = u, v, group
+
+    def align(self, text: bytes, memo: dict[str, Chunk | None], chunks: list[str]) -> tuple[int, int, int, str, np.ndarray]:
+        """``(n_a, n_b, n_groups, digest, linked pairs)`` of a text, from its parts where neither side rewrites one."""
+        found = list(map(memo.__getitem__, chunks))
+        if not chunks or None in found:
+            a, b = self.ids(text)
+            to_a, to_b = self.cuts(a, b)
+            return len(a), len(b), len(to_a), self.digest(a, b, to_a, to_b), _pairs(a, b, to_a, to_b)
+        n_a, n_b, marked, pairs = zip(*found, strict=True)
+        links = np.frombuffer(b"".join(pairs), dtype=np.int64)
+        n = sum(n_a)
+        return n, sum(n_b), len(links), _sha256("".join(marked)) if n else "", links
+
+
+def parted(text: bytes) -> list[str]:
+    """The parts of a text that are aligned on their own; none of a text that is not UTF-8."""
+    try:
+        return _BETWEEN.split(text.decode())
+    except UnicodeDecodeError:
+        return []
+
+
+def _sha256(marked: str) -> str:
+    return hashlib.sha256(marked[:-1].encode()).hexdigest()
+
+
+def _pairs(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> np.ndarray:
+    """The linked pairs: the last tokens of each group."""
+    return a[to_a - 1] << 32 | b[to_b - 1]
 
 
 @lru_cache(maxsize=2)
@@ -116,18 +192,24 @@ def _parts(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
         row = TaskContext.get().partitionId() << 33
+        memo: dict[str, Chunk | None] = {}
         for batch in batches:
-            out = []
-            for doc, text in zip(*rows(batch), strict=True):
-                a, b = both.ids(text)
-                to_a, to_b = both.cuts(a, b)
-                pairs, times = np.unique(a[to_a - 1] << 32 | b[to_b - 1], return_counts=True)
-                out.append((row, doc, len(a), len(b), len(to_a), len(to_a), both.digest(a, b, to_a, to_b), pairs, times))
-                row += 1
-                if len(out) == _ROWS:
-                    yield _batch(out, _PART)
-                    out = []
-            yield _batch(out, _PART)
+            for begin, end in slices(batch.column(1), _SLICE):
+                ids, texts = rows(batch.slice(begin, end - begin))
+                chunks = list(map(parted, texts))
+                if len(memo) > _MEMO:
+                    memo.clear()
+                both.learn(list(set(chain.from_iterable(chunks)) - memo.keys()), memo)
+                out = []
+                for doc, text, parts in zip(ids, texts, chunks, strict=True):
+                    n_a, n_b, n, digest, links = both.align(text, memo, parts)
+                    pairs, times = np.unique(links, return_counts=True)
+                    out.append((row, doc, n_a, n_b, n, n, digest, pairs, times))
+                    row += 1
+                    if len(out) == _ROWS:
+                        yield _batch(out, _PART)
+                        out = []
+                yield _batch(out, _PART)
 
     return run
 

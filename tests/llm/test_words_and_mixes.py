@@ -109,6 +109,25 @@ def test_byte_vocabulary_by_all_letters():
         assert [e.ids for e in slow.encode_batch(part, add_special_tokens=False)] == [fast.encode_ordinary(t) for t in part]
 
 
+def test_parts_of_texts_align_like_whole_texts():
+    """Single spaces beside white space, letters that one side rewrites, special tokens as text, bytes that are no text."""
+    both = align.aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    rng, memo = random.Random(3), {}
+    usual = [" ", " ", "a", "the", "word", "\u00e9", "\u65e5\u672c", "12", "!?", "\u03a9", "<s>"]
+    rare = ["  ", "\n", "\t", "\ufb01", "\u00a0", "\u3000", "\u0301", "\u2581", "\u200b", "\x00", "\x1c", "\x85", "\u0130", "<0x0A>", "<|endoftext|>", "'s"]
+    texts = ["".join(rng.choice(usual + rare * (k % 2)) for _ in range(rng.randrange(14))).encode() for k in range(4000)]
+    texts += [b"", b" ", b"\xff a b", b"a b c " * 2000]
+    for begin in range(0, len(texts), 500):
+        chunks = [align.parted(t) for t in texts[begin : begin + 500]]
+        both.learn(sorted({c for parts in chunks for c in parts} - memo.keys()), memo)
+        for text, parts in zip(texts[begin : begin + 500], chunks):
+            a, b = both.ids(text)
+            to_a, to_b = both.cuts(a, b)
+            *found, links = both.align(text, memo, parts)
+            assert found == [len(a), len(b), len(to_a), both.digest(a, b, to_a, to_b)], text
+            assert links.tolist() == (a[to_a - 1] << 32 | b[to_b - 1]).tolist()
+
+
 # 12 spelling
 
 
