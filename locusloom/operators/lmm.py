@@ -356,7 +356,7 @@ def null_model(
     """``fit_null`` on tables: ``pheno(sample_idx, <trait>)``, ``kin(i, j, k)`` with i <= j (or its
     matrix) and optionally ``covar(sample_idx, w array<double>)``.
 
-    The tables live in sample space and are collected only within the stated limit on samples.
+    The tables live in sample space and are collected: 8 n^2 bytes for n samples.
     """
     y = np.array(_per_sample(pheno, trait, n_samples, "phenotypes"), dtype=float)
     K = kin if isinstance(kin, np.ndarray) else relatedness_matrix(kin, len(y))
