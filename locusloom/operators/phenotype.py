@@ -60,11 +60,15 @@ def _strict(column: str) -> Column:
 def contingency(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:
     """Counts per ``row`` value with one column per ``column`` value, 0 where none.
 
-    Column names must be known before a plan is, so without ``values`` the levels are fetched; for a
-    column with more levels than a table should have columns, use :func:`contingency_long`.
+    Column names must be known before a plan is, so without ``values`` the levels are fetched, as many as
+    ``spark.sql.pivotMaxValues`` allows; more are an error, and :func:`contingency_long` counts any number.
     """
     if values is None:
-        values = levels(df, column).toArrow().column(0).to_pylist()
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).toArrow().column(0).to_pylist()
+        if len(found) > most:
+            raise ValueError(f"{column} has more than {most} levels: name the values, or use contingency_long")
+        values = sorted(found)
     return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(str(v)) for v in values])
 
 

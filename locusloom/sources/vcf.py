@@ -38,7 +38,8 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
     """``variant_id, chrom, pos, id, ref, alts, calls``: one row per site, calls in sample order.
 
     All files under ``path`` must list the same samples. ``variant_id`` is ``chrom:pos:ref:alts``, the same in every run. A gzip file is one split,
-    so its lines are spread over ``partitions`` tasks right away; plain text splits by itself.
+    alone or in a folder, so where there are fewer files than tasks their lines are spread over ``partitions`` tasks
+    right away; plain text splits by itself.
     Keep the result with ``write_variants`` and read that for repeated work.
     """
     header = _header(spark, path)
@@ -50,9 +51,13 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
         .when(~F.col("value").startswith("#CHROM") | same, False)
         .otherwise(F.raise_error(F.lit("the files list different samples")).cast("boolean"))
     )
-    lines = spark.read.text(path).filter(is_site)
-    if partitions is None and path.endswith(".gz"):
-        partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    text = spark.read.text(path)
+    lines = text.filter(is_site)
+    if partitions is None:
+        files = text.inputFiles()  # the scan has listed them
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        if len(files) < tasks and any(f.endswith(".gz") for f in files):
+            partitions = tasks
     if partitions:
         lines = lines.repartition(partitions, F.xxhash64("value"))
     fields = F.split(_unix(F.col("value")), "\t")

@@ -96,3 +96,12 @@ def test_nan_is_no_outlier(spark):
 def test_counts_of_any_number_of_levels(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("b", None)], "g string, t string")
     assert sorted(tuple(r) for r in P.contingency_long(df, "g", "t").collect()) == [("a", "x", 2), ("b", "y", 1)]
+    assert P.contingency(df, "g", "t").columns == ["g", "x", "y"]
+    most = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "1")
+    try:
+        with pytest.raises(ValueError, match="more than 1 levels"):
+            P.contingency(df, "g", "t")
+        assert P.contingency(df, "g", "t", ["y"]).filter("y = 1").count() == 1
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", most)

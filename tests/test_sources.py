@@ -281,3 +281,12 @@ def test_keep_list_and_numbers(spark, folder):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_folder_of_gzip_files_is_spread(spark, tmp_path):
+    for k in (1, 2):
+        body = "".join(f"Chr{k}\t{i}\t.\tA\tC\t.\tPASS\t.\tGT\t0/0\t0/1\t1/1\n" for i in range(1, 201))
+        (tmp_path / f"part{k}.vcf.gz").write_bytes(gzip.compress((VCF.split("Chr1\t10")[0] + body).encode()))
+    sites = vcf.read_vcf(spark, str(tmp_path))
+    assert sites.count() == sites.select("variant_id").distinct().count() == 400
+    assert "Exchange hashpartitioning" in sites._jdf.queryExecution().executedPlan().toString()
