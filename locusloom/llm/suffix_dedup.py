@@ -16,9 +16,14 @@ travels as one short context.
    bytes and place, so no anchor is one group; equal ones meet, and there is nothing to sort.
 3. Shards mark the windows of every document that a smaller document has, and cut them.
 
+No sender writes to more than ``FAN`` receivers, so the messages grow with the bytes and not with shards
+times buckets. Where there are more buckets, messages go by ranges of them: a router takes what about
+as many shards sent to one range, merges equal keys, contexts and windows, and sends them on to the
+parts of that range; answers come back the same way. A router holds about as much as a shard.
+
 The text is shuffled once; the same exchange serves all three steps. An anchor or a passage that a
-third of all documents share is one entry for each shard; a short string between ever different
-neighbours is spread over all buckets.
+third of all documents share is one entry for each shard, and one behind each router; a short string
+between ever different neighbours is spread over all buckets.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +44,11 @@ from .common import NULL_ID, id_and_text
 DEPTH = 50
 ANCHOR = 16
 #: Text bytes, about, of a shard of documents, and of the corpus for each bucket of anchors. They bound
-#: the memory of a task; a message is sent for each pair of both, so larger machines take larger ones.
+#: the memory of a task.
 SHARD_BYTES = 6_000_000
 BUCKET_BYTES = 3_000_000
+#: Receivers that a shard or a router sends to at most.
+FAN = 256
 #: Windows that are sorted at once, unless one anchor has more.
 WINDOWS = 250_000
 #: Contexts (of at most 35 windows each) that one anchor may have in a bucket; the windows of an anchor
@@ -74,6 +81,29 @@ def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _hashes(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Of ``ANCHOR`` bytes as two words."""
+    hashes = low * _MIX[0] + (high ^ (high >> np.uint64(31))) * _MIX[1]
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= _MIX[2]
+    hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
+def _keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of anchors. An anchor is the least of 35 hashes, so its own hash is a small number: mixed
+    again, keys are even."""
+    keys = hashes * _MIX[1]
+    keys ^= keys >> np.uint64(32)
+    keys *= _MIX[2]
+    return (keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)
+
+
+def _edges(first: int, fan: int, n: int) -> np.ndarray:
+    """Bounds of the keys of ``fan`` of ``n`` buckets from ``first`` on; a bucket is a range of the key."""
+    return np.array([-(-(k << _KEY_BITS) // n) for k in range(first, first + fan + 1)], dtype=np.int64)
+
+
 def _segments(texts: list[bytes]) -> Iterator[tuple[bytes, list[tuple[int, int, int, int]]]]:
     """Buffers of bounded size and what they hold: (document, place in the buffer, place in the document,
     bytes). A longer document comes in pieces that overlap so that each window lies in one of them."""
@@ -103,10 +133,7 @@ def window_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     for buffer, held in _segments(texts):
         n = len(buffer)
         words = np.ndarray((n + 1,), dtype="<u8", buffer=buffer + bytes(8), strides=(1,)).copy()
-        hashes = words[: n - 15] * _MIX[0] + (words[8 : n - 7] ^ (words[8 : n - 7] >> np.uint64(31))) * _MIX[1]
-        hashes ^= hashes >> np.uint64(32)
-        hashes *= _MIX[2]
-        hashes ^= hashes >> np.uint64(29)
+        hashes = _hashes(words[: n - 15], words[8 : n - 7])
         least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
         reach = 1
         while 2 * reach <= width:
@@ -123,11 +150,7 @@ def window_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         begin, anchor = windows[first], anchors[first]
         docs, places, offsets, _ = (np.array(c, dtype=np.int64) for c in zip(*held, strict=True))
         of = np.searchsorted(places, begin, side="right") - 1
-        # An anchor is the least of 35 hashes, so its own hash is a small number: mixed again, keys are even.
-        keys = hashes[anchor] * _MIX[1]
-        keys ^= keys >> np.uint64(32)
-        keys *= _MIX[2]
-        parts.append((docs[of], begin - places[of] + offsets[of], count, anchor - begin, (keys >> np.uint64(64 - _KEY_BITS)).astype(np.int64)))
+        parts.append((docs[of], begin - places[of] + offsets[of], count, anchor - begin, _keys(hashes[anchor])))
     if not parts:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
@@ -146,9 +169,8 @@ class Shard:
         self.keys, self.key_of = np.unique(keys, return_inverse=True)
 
     def buckets(self, n: int) -> np.ndarray:
-        """Bounds of the buckets in the sorted distinct keys: ranges of the key."""
-        edges = np.array([-(-(k << _KEY_BITS) // n) for k in range(n + 1)], dtype=np.int64)
-        return np.searchsorted(self.keys, edges)
+        """Bounds of the buckets in the sorted distinct keys."""
+        return np.searchsorted(self.keys, _edges(0, n, n))
 
     def shared_inside(self) -> np.ndarray:
         """For each distinct key whether two documents of different ids have it."""
@@ -243,65 +265,84 @@ def _offer(n_buckets: int):
     return run
 
 
+def _offered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys that senders offered, whether two documents may have each, in how many contexts each
+    is, and for each message the numbers of its keys."""
+    bodies = [_unpack(b, "u1", "u1", "<u4") for b in table.column("body").to_pylist()]
+    keys = [_undeltas(k) for k, _, _ in bodies]
+    distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
+    numbers = np.split(of, np.cumsum([len(k) for k in keys])[:-1])
+    mark = np.bincount(of, minlength=len(distinct)) > 1
+    total = np.zeros(len(distinct), dtype=np.int64)
+    for own, (_, inside, n) in zip(numbers, bodies, strict=True):
+        mark[own] |= np.unpackbits(inside, count=len(own)).astype(bool)
+        total[own] += n
+    return distinct, mark, total, numbers
+
+
+def _mark(table: pa.Table, numbers: list[np.ndarray], mark: np.ndarray, many: np.ndarray) -> pa.Table:
+    """To each sender of ``table`` two bits for each of its keys."""
+    rows = []
+    for b, s, own in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), numbers, strict=True):
+        if mark[own].any():
+            rows.append((b, s, 1, _pack(np.packbits(mark[own]), np.packbits((mark & many)[own]))))
+    return _messages(rows)
+
+
 def _shared(hot_contexts: int = HOT):
-    """Bucket -> shards: two bits for each key that was offered: it is in two documents; it is hot."""
+    """Bucket -> senders: two bits for each key that was offered: it is in two documents; it is hot."""
 
     def run(table: pa.Table) -> pa.Table:
-        bodies = [_unpack(b, "u1", "u1", "<u4") for b in table.column("body").to_pylist()]
-        keys = [_undeltas(k) for k, _, _ in bodies]
-        distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-        twice = np.bincount(of, minlength=len(distinct)) > 1
-        total = np.zeros(len(distinct), dtype=np.int64)
-        np.add.at(total, of, np.concatenate([n for _, _, n in bodies]).astype(np.int64))
-        many = total > hot_contexts
-        rows, at = [], 0
-        for b, s, own, (_, inside, _) in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), keys, bodies, strict=True):
-            here = of[at : at + len(own)]
-            at += len(own)
-            mark = np.unpackbits(inside, count=len(own)).astype(bool) | twice[here]
-            if mark.any():
-                rows.append((b, s, 1, _pack(np.packbits(mark), np.packbits(mark & many[here]))))
-        return _messages(rows)
+        _, mark, total, numbers = _offered(table)
+        return _mark(table, numbers, mark, total > hot_contexts)
 
     return run
 
 
-def _wanted(shard: Shard, bounds: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """For each distinct key of the shard: its contexts are wanted; its windows are, one by one."""
-    wanted, hot = np.zeros((2, len(shard.keys)), dtype=bool)
+def _wanted(n_keys: int, bounds: np.ndarray, answers: pa.Table, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct key of a sender to the buckets from ``first`` on: its contexts are wanted; its
+    windows are, one by one."""
+    wanted, hot = np.zeros((2, n_keys), dtype=bool)
     for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
         if kind == 1:
-            lo, hi = int(bounds[b]), int(bounds[b + 1])
+            lo, hi = int(bounds[b - first]), int(bounds[b - first + 1])
             mark, many = (np.unpackbits(x, count=hi - lo).astype(bool) for x in _unpack(body, "u1", "u1"))
             wanted[lo:hi], hot[lo:hi] = mark & ~many, many
     return wanted, hot
 
 
-def _send(n_buckets: int):
+def _context_rows(first: int, sender: int, edges: np.ndarray, contexts: list[bytes], low: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+    rows = []
+    for b in np.flatnonzero(np.diff(edges)).tolist():
+        lo, hi = int(edges[b]), int(edges[b + 1])
+        part = contexts[lo:hi]
+        sizes = np.array([len(c) for c in part], dtype="u1")
+        rows.append((first + b, sender, 2, _pack(sizes, low[lo:hi], np.frombuffer(b"".join(part), dtype="u1"))))
+    return rows
+
+
+def _window_rows(first: int, sender: int, edges: np.ndarray, data: np.ndarray, low: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+    parts = [(b, slice(int(edges[b]), int(edges[b + 1]))) for b in np.flatnonzero(np.diff(edges)).tolist()]
+    return [(first + b, sender, 4, _pack(low[part], data[part])) for b, part in parts]
+
+
+def _send(n_buckets: int, leaves: int | None = None):
     """Shard -> buckets: the distinct contexts of shared anchors, and the distinct windows of hot ones, each
-    with its smallest document."""
+    with its smallest document. The buckets are ranges of ``leaves`` ones."""
+    leaves = leaves or n_buckets
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not answers.num_rows or not docs.num_rows:
             return _messages([])
         shard = Shard(docs)
         bounds = shard.buckets(n_buckets)
-        wanted, hot = _wanted(shard, bounds, answers)
-        contexts, at, low, _, _ = shard.contexts(wanted)
-        edges = np.searchsorted(at, bounds)  # contexts are in order of key
-        rows = []
-        for b in range(n_buckets):
-            lo, hi = int(edges[b]), int(edges[b + 1])
-            if lo < hi:
-                part = contexts[lo:hi]
-                sizes = np.array([len(c) for c in part], dtype="u1")
-                rows.append((b, key[0].as_py(), 2, _pack(sizes, low[lo:hi], np.frombuffer(b"".join(part), dtype="u1"))))
+        wanted, hot = _wanted(len(shard.keys), bounds, answers)
+        contexts, at, low, _, _ = shard.contexts(wanted)  # in order of key
+        rows = _context_rows(0, key[0].as_py(), np.searchsorted(at, bounds), contexts, low)
         if hot.any():
-            data, bucket, low, _, _, _ = shard.windows(hot, n_buckets)
-            edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
-            for b in np.unique(bucket).tolist():
-                part = slice(int(edges[b]), int(edges[b + 1]))
-                rows.append((b, key[0].as_py(), 4, _pack(low[part], data[part])))
+            data, leaf, low, _, _, _ = shard.windows(hot, leaves)
+            edges = np.searchsorted(leaf // (leaves // n_buckets), np.arange(n_buckets + 1))
+            rows += _window_rows(0, key[0].as_py(), edges, data, low)
         return _messages(rows)
 
     return run
@@ -363,88 +404,257 @@ def _split(contexts: list[bytes], some: np.ndarray, groups: np.ndarray, sizes: n
         split.setdefault(c, []).append((w, length, doc))
 
 
-def _same_windows(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
-    """For windows of hot anchors, the smallest document where it is smaller than the shard's own."""
+def _of_kind(table: pa.Table, kind: int) -> pa.Table:
+    """Messages of a kind in order of sender, so that a router numbers them alike each time it runs."""
+    return table.filter(pa.array(table.column("kind").to_numpy() == kind)).sort_by("shard")
+
+
+def _distinct(bodies: list[tuple[np.ndarray, list[bytes]]]) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+    """Distinct items of messages ``(smallest documents, items)``, the smallest document of each, and for
+    each message the numbers of its items."""
     numbers: dict[bytes, int] = {}
-    of, own, rows = [], [], []
+    of = [np.array([numbers.setdefault(item, len(numbers)) for item in items], dtype=np.int64) for _, items in bodies]
+    least = np.full(len(numbers), np.iinfo(np.int64).max)
+    for mine, (low, _) in zip(of, bodies, strict=True):
+        np.minimum.at(least, mine, low)
+    return list(numbers), least, of
+
+
+def _context_bodies(table: pa.Table) -> list[tuple[np.ndarray, list[bytes]]]:
+    bodies = []
+    for body in table.column("body").to_pylist():
+        sizes, low, data = _unpack(body, "u1", "<i8", "u1")
+        raw, ends = data.tobytes(), np.cumsum(sizes, dtype=np.int64).tolist()
+        bodies.append((low, [raw[begin:end] for begin, end in zip([0, *ends[:-1]], ends, strict=True)]))
+    return bodies
+
+
+def _window_bodies(table: pa.Table) -> list[tuple[np.ndarray, list[bytes]]]:
+    bodies = []
     for body in table.column("body").to_pylist():
         low, data = _unpack(body, "<i8", "u1")
         raw = data.tobytes()
-        of.append(np.array([numbers.setdefault(raw[k : k + DEPTH + 1], len(numbers)) for k in range(0, len(raw), DEPTH + 1)], dtype=np.int64))
-        own.append(low)
-    least = np.full(len(numbers), np.iinfo(np.int64).max)
-    for mine, low in zip(of, own, strict=True):
-        np.minimum.at(least, mine, low)
-    for b, shard, mine, low in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, own, strict=True):
+        bodies.append((low, [raw[k : k + DEPTH + 1] for k in range(0, len(raw), DEPTH + 1)]))
+    return bodies
+
+
+def _tell_windows(table: pa.Table, bodies: list[tuple[np.ndarray, list[bytes]]], least: np.ndarray, of: list[np.ndarray]) -> list[tuple[int, int, int, bytes]]:
+    """To each sender, for its windows of hot anchors, the smallest document where it is smaller than its own."""
+    rows = []
+    for b, shard, mine, (low, _) in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, bodies, strict=True):
         k = np.flatnonzero(least[mine] < low)
         if len(k):
             rows.append((b, shard, 5, _pack(k.astype("<u4"), least[mine[k]])))
     return rows
 
 
+def _tell_contexts(
+    table: pa.Table, bodies: list[tuple[np.ndarray, list[bytes]]], of: list[np.ndarray], sizes: np.ndarray, least: np.ndarray, split: dict[int, list[tuple[int, int, int]]]
+) -> list[tuple[int, int, int, bytes]]:
+    """To each sender, for runs of windows of its contexts, the smallest document where it is smaller than
+    its own: that of the run in ``split``, or that of the whole context."""
+    rows = []
+    for b, shard, mine, (low, _) in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, bodies, strict=True):
+        found = []
+        for k, (c, doc) in enumerate(zip(mine.tolist(), low.tolist(), strict=True)):
+            for w, length, smallest in split.get(c) or ((0, int(sizes[c]), int(least[c])),):
+                if smallest < doc:
+                    found.append((k, w, length, smallest))
+        if found:
+            k, w, length, doc = (np.array(x) for x in zip(*found, strict=True))
+            rows.append((b, shard, 3, _pack(k.astype("<u4"), w.astype("u1"), length.astype("u1"), doc.astype("<i8"))))
+    return rows
+
+
+def _n_windows(contexts: list[bytes]) -> np.ndarray:
+    return np.array([len(c) - DEPTH for c in contexts], dtype=np.int64)  # bytes less the place, less 49
+
+
 def _resolve(table: pa.Table) -> pa.Table:
-    """Bucket -> shards: for runs of windows of their contexts, the smallest document of the corpus, where
-    it is smaller than the shard's own smallest; and the same for single windows."""
-    kind = table.column("kind").to_numpy()
-    return _messages(_same_contexts(table.filter(pa.array(kind == 2))) + _same_windows(table.filter(pa.array(kind == 4))))
+    """Bucket -> senders: for runs of windows of their contexts, the smallest document of the corpus, where
+    it is smaller than the sender's own smallest; and the same for single windows."""
+    rows = _same_contexts(_of_kind(table, 2))
+    windows = _of_kind(table, 4)
+    bodies = _window_bodies(windows)
+    _, least, of = _distinct(bodies)
+    return _messages(rows + _tell_windows(windows, bodies, least, of))
 
 
 def _same_contexts(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
     if not table.num_rows:
         return []
-    numbers: dict[bytes, int] = {}
-    shards, of, own = [], [], []
-    for body in table.column("body").to_pylist():
-        sizes, low, data = _unpack(body, "u1", "<i8", "u1")
-        raw, ends = data.tobytes(), np.cumsum(sizes, dtype=np.int64).tolist()
-        begin, mine = 0, []
-        for end in ends:
-            mine.append(numbers.setdefault(raw[begin:end], len(numbers)))
-            begin = end
-        of.append(np.array(mine, dtype=np.int64))
-        own.append(low)
-    shards = table.column("shard").to_pylist()
-    contexts = list(numbers)
-    least = np.full(len(contexts), np.iinfo(np.int64).max)
-    np.minimum.at(least, np.concatenate(of), np.concatenate(own))
+    bodies = _context_bodies(table)
+    contexts, least, of = _distinct(bodies)
+    bodies = [(low, []) for low, _ in bodies]
     anchors: dict[bytes, int] = {}
     groups = np.array([anchors.setdefault(c[c[-1] : c[-1] + ANCHOR], len(anchors)) for c in contexts], dtype=np.int64)
     several = np.flatnonzero(np.bincount(groups)[groups] > 1)
-    sizes = np.array([len(c) - DEPTH for c in contexts], dtype=np.int64)  # windows: bytes less the place, less 49
+    sizes = _n_windows(contexts)
     several = several[np.argsort(groups[several], kind="stable")]
     split: dict[int, list[tuple[int, int, int]]] = {}
     for part in _parts(groups[several], sizes[several]):
         _split(contexts, several[part], groups, sizes, least, split)
-    rows = []
-    for shard, mine, low in zip(shards, of, own, strict=True):
-        found = []
-        for k, (c, doc) in enumerate(zip(mine.tolist(), low.tolist(), strict=True)):
-            for w, length, smallest in split.get(c) or ((0, int(sizes[c]), int(least[c])),):
-                if smallest < doc:
-                    found.append((k, w, length, smallest))
-        if found:
-            k, w, length, doc = (np.array(x) for x in zip(*found, strict=True))
-            rows.append((table.column("bucket")[0].as_py(), shard, 3, _pack(k.astype("<u4"), w.astype("u1"), length.astype("u1"), doc.astype("<i8"))))
-    return rows
+    return _tell_contexts(table, bodies, of, sizes, least, split)
+
+
+# ---------------------------------------------------------------- routers
+
+
+def _in_order(rank: np.ndarray, items: list[bytes], least: np.ndarray, of: list[np.ndarray]) -> tuple[np.ndarray, list[bytes], np.ndarray, list[np.ndarray]]:
+    """Distinct items by ``rank``, and the messages' numbers of them."""
+    order = np.argsort(rank, kind="stable")
+    turned = np.empty(len(order), dtype=np.int64)
+    turned[order] = np.arange(len(order))
+    return rank[order], [items[k] for k in order.tolist()], least[order], [turned[mine] for mine in of]
+
+
+def _routed_contexts(table: pa.Table, first: int, fan: int, n: int):
+    """Contexts sent to a router, distinct and in order of key: bounds of its buckets in them, contexts,
+    smallest documents, the messages, and their numbers of the contexts."""
+    bodies = _context_bodies(table)
+    contexts, least, of = _distinct(bodies)
+    words = np.frombuffer(b"".join(c[c[-1] : c[-1] + ANCHOR] for c in contexts), dtype="<u8").reshape(-1, 2)
+    keys, contexts, least, of = _in_order(_keys(_hashes(words[:, 0], words[:, 1])), contexts, least, of)
+    return np.searchsorted(keys, _edges(first, fan, n)), contexts, least, bodies, of
+
+
+def _routed_windows(table: pa.Table, first: int, fan: int, n: int, leaves: int):
+    """The same of single windows, in order of bucket."""
+    bodies = _window_bodies(table)
+    windows, least, of = _distinct(bodies)
+    leaf = np.array([zlib.crc32(w) % leaves for w in windows], dtype=np.int64)
+    leaf, windows, least, of = _in_order(leaf, windows, least, of)
+    return np.searchsorted(leaf // (leaves // n), np.arange(first, first + fan + 1)), windows, least, bodies, of
+
+
+def _offer_on(fan: int, n: int):
+    """Router -> the ``fan`` parts of its range, of ``n`` in all: the keys it was offered, once each."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        first, sender = key[0].as_py() * fan, key[1].as_py()
+        distinct, mark, total, _ = _offered(table.sort_by("shard"))
+        edges, rows = np.searchsorted(distinct, _edges(first, fan, n)), []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            part = slice(int(edges[b]), int(edges[b + 1]))
+            rows.append((first + b, sender, 0, _pack(_deltas(distinct[part]), np.packbits(mark[part]), np.minimum(total[part], 2**32 - 1).astype("<u4"))))
+        return _messages(rows)
+
+    return run
+
+
+def _mark_back(fan: int, n: int):
+    """Router -> senders: the bits of their keys, from those of all that it offered."""
+
+    def run(key: tuple, offers: pa.Table, answers: pa.Table) -> pa.Table:
+        if not offers.num_rows or not answers.num_rows:
+            return _messages([])
+        first, offers = key[0].as_py() * fan, offers.sort_by("shard")
+        distinct, _, _, numbers = _offered(offers)
+        wanted, hot = _wanted(len(distinct), np.searchsorted(distinct, _edges(first, fan, n)), answers, first)
+        return _mark(offers, numbers, wanted | hot, hot)
+
+    return run
+
+
+def _send_on(fan: int, n: int, leaves: int):
+    """Router -> the parts of its range: distinct contexts and windows, each with its smallest document."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        first, sender = key[0].as_py() * fan, key[1].as_py()
+        edges, contexts, low, _, _ = _routed_contexts(_of_kind(table, 2), first, fan, n)
+        rows = _context_rows(first, sender, edges, contexts, low)
+        edges, windows, low, _, _ = _routed_windows(_of_kind(table, 4), first, fan, n, leaves)
+        data = np.frombuffer(b"".join(windows), dtype="u1").reshape(-1, DEPTH + 1)
+        return _messages(rows + _window_rows(first, sender, edges, data, low))
+
+    return run
+
+
+def _filled(runs: list[tuple[int, int, int]], size: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """``runs`` with those between them, of which nothing was told: no document is smaller than ``least``."""
+    at = 0
+    for w, length, doc in sorted(runs):
+        if at < w:
+            yield at, w - at, least
+        yield w, length, doc
+        at = w + length
+    if at < size:
+        yield at, size - at, least
+
+
+def _told(answers: pa.Table, edges: np.ndarray, first: int = 0) -> dict[int, list[tuple[int, int, int]]]:
+    """Runs (first window, windows, smallest document) that a sender was told for its contexts."""
+    told: dict[int, list[tuple[int, int, int]]] = {}
+    for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
+        if kind == 3:
+            columns = _unpack(body, "<u4", "u1", "u1", "<i8")
+            for k, w, length, doc in zip(*(c.tolist() for c in columns), strict=True):
+                told.setdefault(int(edges[b - first]) + k, []).append((w, length, doc))
+    return told
+
+
+def _told_windows(answers: pa.Table, edges: np.ndarray, low: np.ndarray, first: int = 0) -> None:
+    """Into ``low``: the smaller documents that a sender was told for its single windows."""
+    for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
+        if kind == 5:
+            k, least = _unpack(body, "<u4", "<i8")
+            low[edges[b - first] + k.astype(np.int64)] = least
+
+
+def _tell_back(fan: int, n: int, leaves: int):
+    """Router -> senders: the answers to what it sent on, for the contexts and windows of each."""
+
+    def run(key: tuple, sent: pa.Table, answers: pa.Table) -> pa.Table:
+        if not sent.num_rows:
+            return _messages([])
+        first = key[0].as_py() * fan
+        table = _of_kind(sent, 2)
+        edges, contexts, least, bodies, of = _routed_contexts(table, first, fan, n)
+        sizes = _n_windows(contexts)
+        split = {c: list(_filled(runs, int(sizes[c]), int(least[c]))) for c, runs in _told(answers, edges, first).items()}
+        rows = _tell_contexts(table, bodies, of, sizes, least, split)
+        table = _of_kind(sent, 4)
+        edges, _, least, bodies, of = _routed_windows(table, first, fan, n, leaves)
+        _told_windows(answers, edges, least, first)
+        return _messages(rows + _tell_windows(table, bodies, least, of))
+
+    return run
+
+
+def _levels(buckets: int, most: int) -> tuple[int, int]:
+    """``(fan, levels)``: as few levels as give ``buckets`` at a fan of ``most``, and the least fan that does."""
+    levels = 1
+    while most**levels < buckets:
+        levels += 1
+    fan = max(1, int(buckets ** (1 / levels)) - 1)
+    while fan**levels < buckets:
+        fan += 1
+    return fan, levels
+
+
+def _exchange(messages: DataFrame, answer: Callable, on: Callable, back: Callable, fan: int, levels: int, level: int = 1) -> DataFrame:
+    """Answers to ``messages``, by buckets where these are the last level and else by routers."""
+    if level == levels:
+        return messages.groupBy("bucket").applyInArrow(answer, _MESSAGE)
+    n = fan ** (level + 1)
+    up = lambda column: F.floor(F.col(column) / fan).cast("int")
+    routers = lambda: messages.groupBy(F.col("bucket").alias("range"), up("shard").alias("sender"))
+    beyond = _exchange(routers().applyInArrow(on(fan, n), _MESSAGE), answer, on, back, fan, levels, level + 1)
+    return routers().cogroup(beyond.groupBy(up("bucket").alias("range"), F.col("shard").alias("sender"))).applyInArrow(back(fan, n), _MESSAGE)
 
 
-def _cut(n_buckets: int):
+def _cut(n_buckets: int, leaves: int | None = None):
     """Every document of a shard with the bytes that smaller documents have taken out."""
+    leaves = leaves or n_buckets
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(docs)
         spans: dict[int, list[tuple[int, int]]] = {}
         if answers.num_rows:
             bounds = shard.buckets(n_buckets)
-            wanted, hot = _wanted(shard, bounds, answers)
-            contexts, at, low, runs, of = shard.contexts(wanted)
-            edges = np.searchsorted(at, bounds)
-            told: dict[int, list[tuple[int, int, int]]] = {}
-            for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
-                if kind == 3:
-                    columns = _unpack(body, "<u4", "u1", "u1", "<i8")
-                    for k, w, length, doc in zip(*(c.tolist() for c in columns), strict=True):
-                        told.setdefault(int(edges[b]) + k, []).append((w, length, doc))
+            wanted, hot = _wanted(len(shard.keys), bounds, answers)
+            _, at, low, runs, of = shard.contexts(wanted)
+            told = _told(answers, np.searchsorted(at, bounds))
             ids, smallest = shard.ids[shard.doc[runs]], low[of]
             whole = ids > smallest  # a smaller document of this shard has the whole context
             columns = (shard.doc[runs].tolist(), shard.first[runs].tolist(), shard.count[runs].tolist(), of.tolist(), ids.tolist(), whole.tolist())
@@ -456,12 +666,8 @@ def _cut(n_buckets: int):
                         if other < doc:
                             spans.setdefault(d, []).append((s + w, s + w + length + DEPTH - 1))
             if hot.any():
-                _, bucket, low, docs_of, starts, of = shard.windows(hot, n_buckets)
-                edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
-                for b, kind, body in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("body").to_pylist(), strict=True):
-                    if kind == 5:
-                        k, least = _unpack(body, "<u4", "<i8")
-                        low[edges[b] + k.astype(np.int64)] = least
+                _, leaf, low, docs_of, starts, of = shard.windows(hot, leaves)
+                _told_windows(answers, np.searchsorted(leaf // (leaves // n_buckets), np.arange(n_buckets + 1)), low)
                 taken = np.flatnonzero(low[of] < shard.ids[docs_of])
                 for d, s in zip(docs_of[taken].tolist(), starts[taken].tolist(), strict=True):
                     spans.setdefault(d, []).append((s, s + DEPTH))
@@ -510,7 +716,7 @@ def deal(texts: DataFrame, shards: int) -> DataFrame:
     return once.withColumn("shard", shard).repartition(int(shards), "shard")
 
 
-def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_contexts: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES, hot_contexts: int = HOT, most: int = FAN) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte is removed if a ``DEPTH``-byte string over it also starts in a document with a smaller id.
@@ -520,13 +726,16 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes
     texts = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
     size, n = texts.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0)), F.count("*")).first()
     shards, buckets = max(1, -(-size // shard_bytes)), max(1, -(-size // bucket_bytes))
+    fan, levels = _levels(buckets, most)
+    leaves = fan**levels
     dealt = deal(texts, shards)
     grouped = lambda: dealt.groupBy("shard")
-    offers = grouped().applyInArrow(_offer(buckets), _MESSAGE)
-    shared = offers.groupBy("bucket").applyInArrow(_shared(hot_contexts), _MESSAGE)
-    contexts = grouped().cogroup(shared.groupBy("shard")).applyInArrow(_send(buckets), _MESSAGE)
-    resolved = contexts.groupBy("bucket").applyInArrow(_resolve, _MESSAGE)
+    offers = grouped().applyInArrow(_offer(fan), _MESSAGE)
+    shared = _exchange(offers, _shared(hot_contexts), _offer_on, _mark_back, fan, levels)
+    contexts = grouped().cogroup(shared.groupBy("shard")).applyInArrow(_send(fan, leaves), _MESSAGE)
+    on, back = (lambda fan, n, make=make: make(fan, n, leaves) for make in (_send_on, _tell_back))
+    resolved = _exchange(contexts, _resolve, on, back, fan, levels)
     answers = shared.unionByName(resolved)
-    found = grouped().cogroup(answers.groupBy("shard")).applyInArrow(_cut(buckets), _RESULT)
+    found = grouped().cogroup(answers.groupBy("shard")).applyInArrow(_cut(fan, leaves), _RESULT)
     each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
     return found.withColumn("each", each).drop("copies", "each")

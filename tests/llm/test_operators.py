@@ -122,9 +122,62 @@ def test_repeats(odd, none, pairs):
     want = ordered(brute.repeats(pairs))
     assert rows(suffix_dedup.remove_repeats(odd), *columns) == want
     assert rows(suffix_dedup.remove_repeats(odd, shard_bytes=3_000, bucket_bytes=2_000), *columns) == want
+    assert rows(suffix_dedup.remove_repeats(odd, shard_bytes=3_000, bucket_bytes=2_000, most=5), *columns) == want
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def shared_prose(n):
+    """Documents that share words, lines and passages, some with one passage in a third of them."""
+    rng = random.Random(18)
+    lines = [prose(rng, 12) for _ in range(40)]
+    return [(k, " ".join([prose(rng, 15), *rng.sample(lines, 3), prose(rng, 10), lines[0] if k % 3 == 0 else ""])) for k in range(n)]
+
+
+@pytest.mark.parametrize("hot", [0, 3, 10**9])
+def test_repeats_over_routers(spark, hot):
+    """Two and four levels of receivers give what one does."""
+    docs = shared_prose(150)
+    df, want = spark.createDataFrame(docs, "doc_id long, text string"), ordered(brute.repeats(docs))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    size = sum(len(t) for _, t in docs)
+    for most, buckets in ((6, 30), (2, 16)):
+        found = suffix_dedup.remove_repeats(df, shard_bytes=-(-size // 14), bucket_bytes=-(-size // buckets), hot_contexts=hot, most=most)
+        assert rows(found, *columns) == want
+
+
+def test_levels():
+    assert suffix_dedup._levels(1, 256) == (1, 1)
+    assert suffix_dedup._levels(170, 256) == (170, 1)
+    assert suffix_dedup._levels(256, 256) == (256, 1)
+    assert suffix_dedup._levels(10_000, 256) == (100, 2)
+    for buckets in (257, 65_536, 65_537, 3 * 10**7):
+        fan, levels = suffix_dedup._levels(buckets, 256)
+        assert (fan - 1) ** levels < buckets <= fan**levels and fan <= 256 < buckets ** (1 / max(1, levels - 1))
+
+
+def test_messages_grow_with_the_bytes(spark):
+    """Five times the documents, with five times the shards and buckets: as many messages for each shard."""
+
+    def count(table):
+        return suffix_dedup._messages([(b, s, 1, str(table.num_rows).encode()) for b, s in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), strict=True)][:1])
+
+    sent = {}
+    for n in (80, 400):
+        docs = shared_prose(n)
+        texts = suffix_dedup.id_and_text(spark.createDataFrame(docs, "doc_id long, text string"))
+        shards, (fan, levels) = n // 8, suffix_dedup._levels(n // 4, 5)
+        offers = suffix_dedup.deal(texts, shards).groupBy("shard").applyInArrow(suffix_dedup._offer(fan), suffix_dedup._MESSAGE)
+        at_each, messages = [], offers
+        for level in range(levels):
+            found = messages.groupBy("bucket").applyInArrow(count, suffix_dedup._MESSAGE).collect()
+            at_each.append(sum(int(r["body"]) for r in found))
+            routers = messages.groupBy("bucket", suffix_dedup.F.floor(suffix_dedup.F.col("shard") / fan).cast("int").alias("sender"))
+            messages = routers.applyInArrow(suffix_dedup._offer_on(fan, fan ** (level + 2)), suffix_dedup._MESSAGE)
+        sent[n] = max(at_each) / shards
+        assert levels > 1 and max(at_each) <= 2 * fan * shards < n // 4 * shards
+    assert sent[400] <= 1.5 * sent[80]
+
+
 def test_repeats_sorted_in_parts(odd, pairs):
     """Whole anchors at a time, a few windows each."""
     groups, sizes = np.array([0, 0, 1, 2, 2, 2, 3]), np.array([3, 4, 10, 1, 1, 1, 2])
