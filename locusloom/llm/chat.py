@@ -3,7 +3,9 @@
 For every participant the dialogue is rendered with that speaker as assistant and all others as named
 users, with the span of each turn that a loss may count. A rendered dialogue is kept as its turns with
 their places, not as one string, so a conversation of any length is spread over many rows and tasks;
-places come from sums within runs of turns and over the runs.
+places come from sums within runs of turns and over the runs. Turns that are alike are counted before
+they are put in order, and runs are cut from that order, so a conversation with a third of all rows is
+spread also where its turns have equal numbers, or none.
 """
 
 from __future__ import annotations
@@ -11,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import place_in_order, running_total
 from ..session import require_columns
 
 SYSTEM = "system"
 ASSISTANT_HEAD, SYSTEM_HEAD, END = "<|assistant|>\n", "<|system|>\n", "<|end|>\n"
 #: Name of a speaker whose role is null; such a turn is context, and nobody's perspective.
 NOBODY = "unknown"
-#: Consecutive turn numbers that make a run.
+#: Consecutive turns that make a run at most, and copies of a repeated turn that are kept as one row.
 RUN = 256
 
 
@@ -38,20 +41,41 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
     """
     require_columns(turns, "conv_id", "turn", "role", "text")
     rows = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("said"))
-    speakers = rows.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
-    seen = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    placed = _in_order(rows.groupBy("conv_id", "turn", "role", "said").agg(F.count("*").alias("n")))
+    speakers = placed.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
+    seen = placed.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
     seen = seen.withColumn("head", head(F.col("role"), F.col("speaker"))).withColumn("text", F.concat("head", "said", F.lit(END)))
-    seen = seen.withColumn("size", F.length("text").cast("long")).withColumn("run", F.coalesce(F.floor(F.col("turn") / RUN), F.lit(2**62)).cast("long"))
-    runs = seen.groupBy("conv_id", "speaker", "run").agg(F.sum("size").alias("total"))
-    earlier = Window.partitionBy("conv_id", "speaker").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(F.col("conv_id").alias("c"), F.col("speaker").alias("s"), F.col("run").alias("r"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("run_start"))
-    within = Window.partitionBy("conv_id", "speaker", "run").orderBy(F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), "said").rowsBetween(Window.unboundedPreceding, -1)
-    placed = seen.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    placed = placed.join(runs, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s")) & (F.col("run") == F.col("r")))
-    start = F.col("run_start") + F.col("inside")
+    seen = seen.withColumn("size", F.length("text").cast("long")).withColumn("total", F.col("size") * F.col("n"))
+    runs = _run_starts(seen.groupBy("conv_id", "speaker", "run").agg(F.sum("total").alias("total")))
+    within = Window.partitionBy("conv_id", "speaker", "run").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = seen.withColumn("inside", F.coalesce(F.sum("total").over(within), F.lit(0)))
+    inside = inside.join(runs, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s")) & (F.col("run") == F.col("r")))
+    each = inside.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    start = F.col("run_start") + F.col("inside") + F.col("copy") * F.col("size")
     own = F.col("role") == F.col("speaker")
     mask = F.when(own, start + F.length("head")), F.when(own, start + F.col("size"))
-    return placed.select("conv_id", "speaker", "turn", "role", "text", start.alias("start"), (start + F.col("size")).alias("end"), mask[0].alias("mask_start"), mask[1].alias("mask_end"))
+    return each.select("conv_id", "speaker", "turn", "role", "text", start.alias("start"), (start + F.col("size")).alias("end"), mask[0].alias("mask_start"), mask[1].alias("mask_end"))
+
+
+def _in_order(once: DataFrame) -> DataFrame:
+    """Distinct turns with their number ``n``, in order: ``at`` grows with it, and ``run`` is a run of at
+    most ``RUN`` rows. A turn with more than ``RUN`` copies is a row for each ``RUN`` of them."""
+    zero, step, many = F.lit(0).cast("long"), F.lit(RUN).cast("long"), F.lit(RUN * RUN).cast("long")
+    parts = once.withColumn("_from", F.explode(F.sequence(zero, F.col("n") - 1, many)))
+    parts = parts.withColumn("_from", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + many, F.col("n")) - 1, step)))
+    parts = parts.withColumn("n", F.least(F.col("n") - F.col("_from"), step))
+    parts = parts.withColumn("_no_turn", F.col("turn").isNull()).withColumn("_no_role", F.col("role").isNull())
+    placed = place_in_order(parts, ["conv_id", "_no_turn", "turn", "_no_role", "role", "said", "_from"])
+    placed = placed.withColumn("at", F.monotonically_increasing_id())  # its partitions are stored, so it stays
+    return placed.withColumn("run", F.floor(F.col("at") / RUN)).drop("_from", "_no_turn", "_no_role", "_part")
+
+
+def _run_starts(totals: DataFrame) -> DataFrame:
+    """``c, s, r, run_start``: what lies before each run in the rendered dialogue."""
+    ranked, _ = running_total(place_in_order(totals, ["conv_id", "speaker", "run"]), "total", "before")
+    firsts = ranked.groupBy(F.col("conv_id").alias("c"), F.col("speaker").alias("s")).agg(F.min("before").alias("first"))
+    found = ranked.join(firsts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s")))
+    return found.select("c", "s", F.col("run").alias("r"), (F.col("before") - F.col("first")).alias("run_start"))
 
 
 SQL = f"""

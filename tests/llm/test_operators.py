@@ -350,6 +350,33 @@ def test_perspectives(spark):
     assert chat.rotate_perspectives(frame.limit(0)).count() == 0
 
 
+def test_perspectives_of_a_hot_conversation(spark, monkeypatch):
+    """Many turns without a number, many with one number, many copies of one turn, and a very long text:
+    runs stay short, and the rendered dialogues are gapless and in order."""
+    monkeypatch.setattr(chat, "RUN", 4)
+    turns = [(1, None, "ann", f"lost {k}") for k in range(60)] + [(1, 5, "bob", f"tie {k % 25}") for k in range(60)] + [(1, 2, "ann", "again")] * 90
+    turns += [(1, 0, "system", "be kind"), (1, 3, "cy", "x" * 200_000), (2, 1, "dee", "alone"), (2, 1, None, None)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    placed = chat._in_order(frame.selectExpr("conv_id", "turn", "role", "coalesce(text, '') said").groupBy("conv_id", "turn", "role", "said").count().withColumnRenamed("count", "n"))
+    held = [(r["run"], r["n"]) for r in placed.collect()]
+    assert max(Counter(run for run, _ in held).values()) <= 4 and max(n for _, n in held) == 4 and sum(n for _, n in held) == len(turns)
+    found = {}
+    for r in chat.rotate_perspectives(frame).collect():
+        found.setdefault((r["conv_id"], r["speaker"]), []).append(r)
+    assert set(found) == {(1, "ann"), (1, "bob"), (1, "cy"), (2, "dee")}
+    for (conv, speaker), said in found.items():
+        mine = sorted((t for t in turns if t[0] == conv), key=lambda t: (t[1] is None, t[1] or 0, t[2] is None, t[2] or "", t[3] or ""))
+        heads = ["<|assistant|>\n" if t[2] == speaker else "<|system|>\n" if t[2] == "system" else f"<|user:{t[2] or 'unknown'}|>\n" for t in mine]
+        want, at = [], 0
+        for (_, turn, role, text), h in zip(mine, heads, strict=True):
+            end = at + len(h) + len(text or "") + 8
+            own = role == speaker
+            want.append((turn, role, f"{h}{text or ''}<|end|>\n", at, end, at + len(h) if own else None, end if own else None))
+            at = end
+        said.sort(key=lambda r: r["start"])
+        assert [(r["turn"], r["role"], r["text"], r["start"], r["end"], r["mask_start"], r["mask_end"]) for r in said] == want
+
+
 # 5 token files
 
 
