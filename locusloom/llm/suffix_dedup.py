@@ -47,8 +47,9 @@ ANCHOR = 16
 #: the memory of a task.
 SHARD_BYTES = 6_000_000
 BUCKET_BYTES = 3_000_000
-#: Receivers that a shard or a router sends to at most.
-FAN = 256
+#: Receivers that a shard or a router sends to at most: a message is still some kilobytes. Each level
+#: of receivers beyond the first shuffles the keys and contexts once more.
+FAN = 1024
 #: Windows that are sorted at once, unless one anchor has more.
 WINDOWS = 250_000
 #: Contexts (of at most 35 windows each) that one anchor may have in a bucket; the windows of an anchor
@@ -409,39 +410,38 @@ def _of_kind(table: pa.Table, kind: int) -> pa.Table:
     return table.filter(pa.array(table.column("kind").to_numpy() == kind)).sort_by("shard")
 
 
-def _distinct(bodies: list[tuple[np.ndarray, list[bytes]]]) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+def _distinct(bodies: Iterator[tuple[np.ndarray, list[bytes]]]) -> tuple[list[bytes], np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """Distinct items of messages ``(smallest documents, items)``, the smallest document of each, and for
-    each message the numbers of its items."""
+    each message the numbers of its items and its own smallest documents. One message is open at a time."""
     numbers: dict[bytes, int] = {}
-    of = [np.array([numbers.setdefault(item, len(numbers)) for item in items], dtype=np.int64) for _, items in bodies]
+    of, own = [], []
+    for low, items in bodies:
+        of.append(np.array([numbers.setdefault(item, len(numbers)) for item in items], dtype=np.int64))
+        own.append(low)
     least = np.full(len(numbers), np.iinfo(np.int64).max)
-    for mine, (low, _) in zip(of, bodies, strict=True):
+    for mine, low in zip(of, own, strict=True):
         np.minimum.at(least, mine, low)
-    return list(numbers), least, of
+    return list(numbers), least, of, own
 
 
-def _context_bodies(table: pa.Table) -> list[tuple[np.ndarray, list[bytes]]]:
-    bodies = []
-    for body in table.column("body").to_pylist():
-        sizes, low, data = _unpack(body, "u1", "<i8", "u1")
+def _contexts(table: pa.Table) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    for body in table.column("body"):
+        sizes, low, data = _unpack(body.as_py(), "u1", "<i8", "u1")
         raw, ends = data.tobytes(), np.cumsum(sizes, dtype=np.int64).tolist()
-        bodies.append((low, [raw[begin:end] for begin, end in zip([0, *ends[:-1]], ends, strict=True)]))
-    return bodies
+        yield low, [raw[begin:end] for begin, end in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def _window_bodies(table: pa.Table) -> list[tuple[np.ndarray, list[bytes]]]:
-    bodies = []
-    for body in table.column("body").to_pylist():
-        low, data = _unpack(body, "<i8", "u1")
+def _windows(table: pa.Table) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    for body in table.column("body"):
+        low, data = _unpack(body.as_py(), "<i8", "u1")
         raw = data.tobytes()
-        bodies.append((low, [raw[k : k + DEPTH + 1] for k in range(0, len(raw), DEPTH + 1)]))
-    return bodies
+        yield low, [raw[k : k + DEPTH + 1] for k in range(0, len(raw), DEPTH + 1)]
 
 
-def _tell_windows(table: pa.Table, bodies: list[tuple[np.ndarray, list[bytes]]], least: np.ndarray, of: list[np.ndarray]) -> list[tuple[int, int, int, bytes]]:
+def _tell_windows(table: pa.Table, of: list[np.ndarray], own: list[np.ndarray], least: np.ndarray) -> list[tuple[int, int, int, bytes]]:
     """To each sender, for its windows of hot anchors, the smallest document where it is smaller than its own."""
     rows = []
-    for b, shard, mine, (low, _) in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, bodies, strict=True):
+    for b, shard, mine, low in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, own, strict=True):
         k = np.flatnonzero(least[mine] < low)
         if len(k):
             rows.append((b, shard, 5, _pack(k.astype("<u4"), least[mine[k]])))
@@ -449,12 +449,12 @@ def _tell_windows(table: pa.Table, bodies: list[tuple[np.ndarray, list[bytes]]],
 
 
 def _tell_contexts(
-    table: pa.Table, bodies: list[tuple[np.ndarray, list[bytes]]], of: list[np.ndarray], sizes: np.ndarray, least: np.ndarray, split: dict[int, list[tuple[int, int, int]]]
+    table: pa.Table, of: list[np.ndarray], own: list[np.ndarray], sizes: np.ndarray, least: np.ndarray, split: dict[int, list[tuple[int, int, int]]]
 ) -> list[tuple[int, int, int, bytes]]:
     """To each sender, for runs of windows of its contexts, the smallest document where it is smaller than
     its own: that of the run in ``split``, or that of the whole context."""
     rows = []
-    for b, shard, mine, (low, _) in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, bodies, strict=True):
+    for b, shard, mine, low in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), of, own, strict=True):
         found = []
         for k, (c, doc) in enumerate(zip(mine.tolist(), low.tolist(), strict=True)):
             for w, length, smallest in split.get(c) or ((0, int(sizes[c]), int(least[c])),):
@@ -475,17 +475,14 @@ def _resolve(table: pa.Table) -> pa.Table:
     it is smaller than the sender's own smallest; and the same for single windows."""
     rows = _same_contexts(_of_kind(table, 2))
     windows = _of_kind(table, 4)
-    bodies = _window_bodies(windows)
-    _, least, of = _distinct(bodies)
-    return _messages(rows + _tell_windows(windows, bodies, least, of))
+    _, least, of, own = _distinct(_windows(windows))
+    return _messages(rows + _tell_windows(windows, of, own, least))
 
 
 def _same_contexts(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
     if not table.num_rows:
         return []
-    bodies = _context_bodies(table)
-    contexts, least, of = _distinct(bodies)
-    bodies = [(low, []) for low, _ in bodies]
+    contexts, least, of, own = _distinct(_contexts(table))
     anchors: dict[bytes, int] = {}
     groups = np.array([anchors.setdefault(c[c[-1] : c[-1] + ANCHOR], len(anchors)) for c in contexts], dtype=np.int64)
     several = np.flatnonzero(np.bincount(groups)[groups] > 1)
@@ -494,7 +491,7 @@ def _same_contexts(table: pa.Table) -> list[tuple[int, int, int, bytes]]:
     split: dict[int, list[tuple[int, int, int]]] = {}
     for part in _parts(groups[several], sizes[several]):
         _split(contexts, several[part], groups, sizes, least, split)
-    return _tell_contexts(table, bodies, of, sizes, least, split)
+    return _tell_contexts(table, of, own, sizes, least, split)
 
 
 # ---------------------------------------------------------------- routers
@@ -510,21 +507,19 @@ def _in_order(rank: np.ndarray, items: list[bytes], least: np.ndarray, of: list[
 
 def _routed_contexts(table: pa.Table, first: int, fan: int, n: int):
     """Contexts sent to a router, distinct and in order of key: bounds of its buckets in them, contexts,
-    smallest documents, the messages, and their numbers of the contexts."""
-    bodies = _context_bodies(table)
-    contexts, least, of = _distinct(bodies)
+    smallest documents, and of each message the numbers of its contexts and its own smallest documents."""
+    contexts, least, of, own = _distinct(_contexts(table))
     words = np.frombuffer(b"".join(c[c[-1] : c[-1] + ANCHOR] for c in contexts), dtype="<u8").reshape(-1, 2)
     keys, contexts, least, of = _in_order(_keys(_hashes(words[:, 0], words[:, 1])), contexts, least, of)
-    return np.searchsorted(keys, _edges(first, fan, n)), contexts, least, bodies, of
+    return np.searchsorted(keys, _edges(first, fan, n)), contexts, least, of, own
 
 
 def _routed_windows(table: pa.Table, first: int, fan: int, n: int, leaves: int):
     """The same of single windows, in order of bucket."""
-    bodies = _window_bodies(table)
-    windows, least, of = _distinct(bodies)
+    windows, least, of, own = _distinct(_windows(table))
     leaf = np.array([zlib.crc32(w) % leaves for w in windows], dtype=np.int64)
     leaf, windows, least, of = _in_order(leaf, windows, least, of)
-    return np.searchsorted(leaf // (leaves // n), np.arange(first, first + fan + 1)), windows, least, bodies, of
+    return np.searchsorted(leaf // (leaves // n), np.arange(first, first + fan + 1)), windows, least, of, own
 
 
 def _offer_on(fan: int, n: int):
@@ -609,14 +604,14 @@ def _tell_back(fan: int, n: int, leaves: int):
             return _messages([])
         first = key[0].as_py() * fan
         table = _of_kind(sent, 2)
-        edges, contexts, least, bodies, of = _routed_contexts(table, first, fan, n)
+        edges, contexts, least, of, own = _routed_contexts(table, first, fan, n)
         sizes = _n_windows(contexts)
         split = {c: list(_filled(runs, int(sizes[c]), int(least[c]))) for c, runs in _told(answers, edges, first).items()}
-        rows = _tell_contexts(table, bodies, of, sizes, least, split)
+        rows = _tell_contexts(table, of, own, sizes, least, split)
         table = _of_kind(sent, 4)
-        edges, _, least, bodies, of = _routed_windows(table, first, fan, n, leaves)
+        edges, _, least, of, own = _routed_windows(table, first, fan, n, leaves)
         _told_windows(answers, edges, least, first)
-        return _messages(rows + _tell_windows(table, bodies, least, of))
+        return _messages(rows + _tell_windows(table, of, own, least))
 
     return run
 
