@@ -31,8 +31,8 @@ HEADLINE = (
     "association_run",
 )
 COPIES = 200
-#: Sites of the one published run, about.
-SITES = 1_500_000
+#: Sites of the one published run, about, and its samples.
+SITES, SAMPLES = 1_500_000, 64
 
 
 def consume(df) -> None:
@@ -61,21 +61,24 @@ def scan_rates(spark, sf_dir: str, cores: int) -> dict[str, float]:
 
 def end_to_end(spark, sf_dir: str, cores: int) -> dict[str, float]:
     """Seconds from stored calls through funnel, markers and scan to the cleaned result, on the sites of
-    the call fixture repeated to about ``SITES`` at places of their own. Storing is not timed."""
+    the call fixture repeated to about ``SITES`` at places of their own, each with ``SAMPLES`` calls drawn from
+    the site's ten by a hash of place and sample. Storing is not timed."""
     sites = fx.called_sites(spark, sf_dir)
     copies = max(1, SITES // sites.count())
     path = scratch_path(spark, "bench-sites")
     many = sites.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(cores)
-    write_variants(many.withColumn("pos", F.col("pos") + F.col("copy") * 10_000_000).drop("copy"), path)
-    pheno = spark.createDataFrame([(i, float((i * 7) % 10) + i / 3) for i in range(fx.N_CALL_SAMPLES)], "sample_idx int, y double")
+    many = many.withColumn("pos", F.col("pos") + F.col("copy") * 10_000_000).drop("copy")
+    drawn = F.transform(F.sequence(F.lit(1), F.lit(SAMPLES)), lambda i: F.get("calls", F.pmod(F.hash("pos", i), F.lit(fx.N_CALL_SAMPLES))))
+    write_variants(many.withColumn("calls", drawn), path)
+    pheno = spark.createDataFrame([(i, float((i * 7) % 10) + i / 3) for i in range(SAMPLES)], "sample_idx int, y double")
 
     def run() -> None:
-        kept = quality_funnel(read_variants(spark, path), chromosomes=[f"Chr{i}" for i in range(1, 6)], quality=(0, 0), max_missing=1)
+        kept = quality_funnel(read_variants(spark, path), chromosomes=[f"Chr{i}" for i in range(1, 6)], quality=(0, 0), max_missing=SAMPLES // 10)
         geno = cut_lineage(markers(kept))
         counts["markers"] = geno.count()
-        consume(association_run(geno, pheno, fx.N_CALL_SAMPLES, "y", maf=0.1, max_missing=0.2).clean)
+        consume(association_run(geno, pheno, SAMPLES, "y", maf=0.1, max_missing=0.2).clean)
 
-    counts = {"sites": copies * sites.count()}
+    counts = {"sites": copies * sites.count(), "samples": SAMPLES}
     return {"seconds": round(timed(run), 1), **counts}
 
 
