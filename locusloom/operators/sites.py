@@ -10,7 +10,7 @@ to the long layout, one row per (site, sample).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,19 +211,34 @@ def _having(sites: DataFrame, condition) -> DataFrame:
     return sites.filter(G.bind(_counts(sites), lambda s: condition(s["ac"], s["n_called"], s["n"])))
 
 
+def _decoded(sites: DataFrame, test) -> tuple[str, Callable[[Column], Column]]:
+    """The array of dosages or calls, and ``test`` of the dosage of an element."""
+    if "dosage" in sites.columns:
+        return "dosage", test
+    return "calls", lambda c: test(G.gt_dosage(c["gt"]))
+
+
+def _missing(sites: DataFrame) -> Column:
+    """Number of missing calls of a row, in one pass over them."""
+    return F.size(F.filter(*_decoded(sites, lambda d: d.isNull())))
+
+
 def min_ac(sites: DataFrame, k: int = 1) -> DataFrame:
     """Keep sites with at least ``k`` non-reference alleles among the called ones."""
+    if k == 1:  # the first one found settles a site
+        return sites.filter(F.exists(*_decoded(sites, lambda d: d > 0)))
     return _having(sites, lambda ac, called, n: ac >= k)
 
 
 def max_missing_count(sites: DataFrame, k: int) -> DataFrame:
     """Drop sites with more than ``k`` missing calls (``k`` itself stays)."""
-    return _having(sites, lambda ac, called, n: n - called <= k)
+    return sites.filter(_missing(sites) <= k)
 
 
 def missing_rate_filter(sites: DataFrame, rate: float = 0.05) -> DataFrame:
     """Keep sites whose share of missing calls is at most ``rate``."""
-    return _having(sites, lambda ac, called, n: n - called <= rate * n)
+    array, _ = _decoded(sites, lambda d: d)
+    return sites.filter(_missing(sites) <= rate * F.size(array))
 
 
 def maf_filter(sites: DataFrame, threshold: float = 0.05) -> DataFrame:
