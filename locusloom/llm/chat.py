@@ -42,14 +42,14 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
     require_columns(turns, "conv_id", "turn", "role", "text")
     rows = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("said"))
     placed = _in_order(rows.groupBy("conv_id", "turn", "role", "said").agg(F.count("*").alias("n")))
-    speakers = placed.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
-    seen = placed.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    speakers = placed.filter(F.col("role") != SYSTEM).select("key", F.col("role").alias("speaker")).distinct()
+    seen = placed.join(speakers, "key")
     seen = seen.withColumn("head", head(F.col("role"), F.col("speaker"))).withColumn("text", F.concat("head", "said", F.lit(END)))
     seen = seen.withColumn("size", F.length("text").cast("long")).withColumn("total", F.col("size") * F.col("n"))
-    runs = _run_starts(seen.groupBy("conv_id", "speaker", "run").agg(F.sum("total").alias("total")))
-    within = Window.partitionBy("conv_id", "speaker", "run").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    runs = _run_starts(seen.groupBy("key", "speaker", "run").agg(F.sum("total").alias("total")))
+    within = Window.partitionBy("key", "speaker", "run").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     inside = seen.withColumn("inside", F.coalesce(F.sum("total").over(within), F.lit(0)))
-    inside = inside.join(runs, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s")) & (F.col("run") == F.col("r")))
+    inside = inside.join(runs, ["key", "speaker", "run"])  # the window's keys: the texts stay where they are
     each = inside.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     start = F.col("run_start") + F.col("inside") + F.col("copy") * F.col("size")
     own = F.col("role") == F.col("speaker")
@@ -59,7 +59,8 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
 
 def _in_order(once: DataFrame) -> DataFrame:
     """Distinct turns with their number ``n``, in order: ``at`` grows with it, and ``run`` is a run of at
-    most ``RUN`` rows. A turn with more than ``RUN`` copies is a row for each ``RUN`` of them."""
+    most ``RUN`` rows. A turn with more than ``RUN`` copies is a row for each ``RUN`` of them. ``key`` is the
+    conversation as a text, which no null is."""
     zero, step, many = F.lit(0).cast("long"), F.lit(RUN).cast("long"), F.lit(RUN * RUN).cast("long")
     parts = once.withColumn("_from", F.explode(F.sequence(zero, F.col("n") - 1, many)))
     parts = parts.withColumn("_from", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + many, F.col("n")) - 1, step)))
@@ -67,15 +68,15 @@ def _in_order(once: DataFrame) -> DataFrame:
     parts = parts.withColumn("_no_turn", F.col("turn").isNull()).withColumn("_no_role", F.col("role").isNull())
     placed = place_in_order(parts, ["conv_id", "_no_turn", "turn", "_no_role", "role", "said", "_from"])
     placed = placed.withColumn("at", F.monotonically_increasing_id())  # its partitions are stored, so it stays
+    placed = placed.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
     return placed.withColumn("run", F.floor(F.col("at") / RUN)).drop("_from", "_no_turn", "_no_role", "_part")
 
 
 def _run_starts(totals: DataFrame) -> DataFrame:
-    """``c, s, r, run_start``: what lies before each run in the rendered dialogue."""
-    ranked, _ = running_total(place_in_order(totals, ["conv_id", "speaker", "run"]), "total", "before")
-    firsts = ranked.groupBy(F.col("conv_id").alias("c"), F.col("speaker").alias("s")).agg(F.min("before").alias("first"))
-    found = ranked.join(firsts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s")))
-    return found.select("c", "s", F.col("run").alias("r"), (F.col("before") - F.col("first")).alias("run_start"))
+    """``key, speaker, run, run_start``: what lies before each run in the rendered dialogue."""
+    ranked, _ = running_total(place_in_order(totals, ["key", "speaker", "run"]), "total", "before")
+    firsts = ranked.groupBy("key", "speaker").agg(F.min("before").alias("first"))
+    return ranked.join(firsts, ["key", "speaker"]).select("key", "speaker", "run", (F.col("before") - F.col("first")).alias("run_start"))
 
 
 SQL = f"""
