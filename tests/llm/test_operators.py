@@ -721,3 +721,24 @@ def test_decontaminate_keeps_clean_rows(odd, spark):
     kept = decontaminate.decontaminate(odd, items)
     assert kept.columns == odd.columns
     assert odd.count() - kept.count() == 2
+
+
+def test_decontaminate_shard_memory_is_bounded():
+    """A full shard is searched in little memory beside its text (before: about 13 times its bytes)."""
+    import tracemalloc
+
+    rng = random.Random(7)
+    vocab = [f"w{i}".encode() for i in range(5000)]
+    passage = [rng.choice(vocab) for _ in range(40)]
+    block = decontaminate.TestBlock([("1", passage)])
+    docs, held = [], 0
+    while held < decontaminate.SHARD_BYTES:
+        words = [rng.choice(vocab) for _ in range(rng.randrange(50, 400))] + passage
+        docs.append(words)
+        held += sum(len(w) + 1 for w in words)
+    tracemalloc.start()
+    found = decontaminate._search(docs, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(f[1] == 40 and f[4][-1] - f[3][-1] == 40 for f in found)
+    assert peak < 64_000_000
