@@ -96,10 +96,15 @@ def read_clean_assoc(spark: SparkSession, path: str) -> DataFrame:
 
 def file_headers(spark: SparkSession, folder: str, name_pattern: str) -> DataFrame:
     """``header, files``: the first line of all files whose name matches, and the files that have it. One pass over
-    the text; a row for each layout comes out, with the paths of its files."""
+    the text; a row for each layout comes out, with the paths of its files.
+
+    The first line's number per file is found by a fixed-width minimum, and that line alone is
+    joined back: no task holds or sorts the lines of its files to find it."""
     at = {c: F.col(f"_metadata.{c}") for c in ("file_name", "file_path", "file_block_start")}
     lines = spark.read.text(folder).select("value", *(c.alias(k) for k, c in at.items()), F.monotonically_increasing_id().alias("id"))
-    first = lines.filter(F.col("file_name").rlike(name_pattern) & (F.col("file_block_start") == 0)).groupBy("file_path").agg(F.min_by("value", "id").alias("header"))
+    heads = lines.filter(F.col("file_name").rlike(name_pattern) & (F.col("file_block_start") == 0))
+    starts = heads.groupBy("file_path").agg(F.min("id").alias("id"))
+    first = heads.join(F.broadcast(starts), ["file_path", "id"]).select("file_path", F.col("value").alias("header"))
     return first.groupBy("header").agg(F.array_sort(F.collect_list("file_path")).alias("files"))
 
 

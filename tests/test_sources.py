@@ -290,3 +290,13 @@ def test_folder_of_gzip_files_is_spread(spark, tmp_path):
     sites = vcf.read_vcf(spark, str(tmp_path))
     assert sites.count() == sites.select("variant_id").distinct().count() == 400
     assert "Exchange hashpartitioning" in sites._jdf.queryExecution().executedPlan().toString()
+
+
+def test_file_headers_hold_no_lines(spark, tmp_path):
+    """The first line of each file is found without sorting or buffering the files' lines (before: a sort of all of them)."""
+    for name, lines in (("a.csv", ["x\ty", "1\t2", "3\t4"]), ("b.csv", ["y\tx", "5\t6"]), ("c.txt", ["z", "7"])):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    found = tables.file_headers(spark, str(tmp_path), r"\.csv$")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "min_by" not in plan
+    assert sorted((r.header, [p.rsplit("/", 1)[-1] for p in r.files]) for r in found.collect()) == [("x\ty", ["a.csv"]), ("y\tx", ["b.csv"])]
